@@ -47,6 +47,10 @@ def size_class(size: Column) -> Column:
     return bits * 4 + F.call_function("shiftright", n, F.greatest(bits - 3, F.lit(0))).cast("int")
 
 
+#: A block. The first is the source as a key that is never null and sorts a null source last.
+BLOCK_KEYS = ["__lx_source", "__lx_class", "__lx_salt"]
+
+
 def source_targets(blocks: DataFrame, mixture: Mixture) -> DataFrame:
     """One row per source: source_size and target.
 
@@ -54,7 +58,7 @@ def source_targets(blocks: DataFrame, mixture: Mixture) -> DataFrame:
     of the excess directly: in the order of stop / weight, the first source that the level of
     the remaining mass doesn't lift over its stop, sets the level for itself and all after it.
     """
-    by_name = Window.orderBy(F.col("__lx_source").asc_nulls_last())
+    by_name = Window.orderBy("__lx_source")
     by_ratio = Window.orderBy("__lx_ratio", "__lx_rank")
     before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
     onward = by_ratio.rowsBetween(0, Window.unboundedFollowing)
@@ -86,13 +90,14 @@ def with_copies(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     rows = docs.count()
     salts = max(LEAST_SALTS, -(-rows // (3 * BLOCK_ROWS)))
     keyed = (
-        docs.withColumn("__lx_size", word_count(text_of()))
+        docs.withColumn("__lx_source", F.coalesce(F.concat(F.lit("1"), F.col("source")), F.lit("2")))
+        .withColumn("__lx_size", word_count(text_of()))
         .withColumn("__lx_class", size_class(F.col("__lx_size")))
         .withColumn("__lx_salt", F.coalesce(F.pmod(F.col("doc_id"), F.lit(salts)), F.lit(0)).cast("int"))
     )
-    keys = ["__lx_source", "__lx_class", "__lx_salt"]
+    keys = BLOCK_KEYS
     blocks = scratch_table(
-        keyed.groupBy(F.col("source").alias("__lx_source"), "__lx_class", "__lx_salt")
+        keyed.groupBy(*keys)
         .agg(F.count("*").alias("__lx_rows"), F.sum("__lx_size").alias("__lx_words")),
         "mixing-blocks",
     )
@@ -100,25 +105,21 @@ def with_copies(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     offsets = blocks.withColumn("__lx_before", F.sum("__lx_rows").over(in_source) - F.col("__lx_rows"))
     targets = source_targets(blocks, mixture)
     starts = (
-        offsets.join(targets.withColumnRenamed("__lx_source", "__lx_s"), F.col("__lx_source").eqNullSafe(F.col("__lx_s")))
-        .select(*[F.col(k).alias(f"{k}_b") for k in keys], "__lx_before", "source_size", "target")
+        offsets.join(targets, "__lx_source").select(*keys, "__lx_before", F.col("source_size").alias("__lx_total"), F.col("target").alias("__lx_target"))
     )
-    in_block = Window.partitionBy("source", "__lx_class", "__lx_salt").orderBy("__lx_size", "doc_id")
+    in_block = Window.partitionBy(*keys).orderBy("__lx_size", "doc_id")
     numbered = keyed.withColumn("__lx_row", F.row_number().over(in_block))
-    joined = numbered.join(
-        starts,
-        F.col("source").eqNullSafe(F.col("__lx_source_b")) & (F.col("__lx_class") == F.col("__lx_class_b")) & (F.col("__lx_salt") == F.col("__lx_salt_b")),
-    )
-    each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    joined = numbered.join(starts, keys)
+    each = F.when(F.col("__lx_total") > 0, F.col("__lx_target") / F.col("__lx_total")).otherwise(F.lit(0.0))
     offset = unit_interval(F.lit(mixture.seed), F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")))
     last = F.col("__lx_row") + F.col("__lx_before")
     copies = F.floor(each * last + offset) - F.floor(each * (last - 1) + offset)
     return joined.select(
-        *[docs[c] for c in docs.columns],
+        *docs.columns,
         F.struct(
             F.col("__lx_size").alias("size"),
-            F.col("source_size").alias("source_size"),
-            F.col("target").alias("target"),
+            F.col("__lx_total").alias("source_size"),
+            F.col("__lx_target").alias("target"),
             F.least(copies, F.ceil(each)).cast("long").alias("copies"),
         ).alias("__lx_mix"),
     )

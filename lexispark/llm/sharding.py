@@ -30,27 +30,27 @@ def place(rows: DataFrame, shards: int = 24, seed: str = "shard-1") -> DataFrame
     """Add shard and slot (place in the shard, from 0) to rows with doc_id, source and text_crc32."""
     total = rows.count()
     blocks = max(LEAST_BLOCKS, -(-total // BLOCK_ROWS))
-    keyed = rows.withColumn("__lx_key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))).withColumn(
+    keyed = rows.withColumn("__lx_source", F.coalesce(F.concat(F.lit("1"), F.col("source")), F.lit("2"))).withColumn("__lx_key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))).withColumn(
         "__lx_block", F.floor(F.conv(F.substring("__lx_key", 1, 8), 16, 10).cast("double") * blocks / 4294967296.0).cast("int")
     )
-    counts = scratch_table(keyed.groupBy(F.col("source").alias("__lx_s"), F.col("__lx_block").alias("__lx_b")).count(), "shard-blocks")
-    in_source = Window.partitionBy("__lx_s")
+    counts = scratch_table(keyed.groupBy("__lx_source", "__lx_block").count(), "shard-blocks")
+    in_source = Window.partitionBy("__lx_source")
     counts = counts.select(
-        "__lx_s", "__lx_b",
-        (F.sum("count").over(in_source.orderBy("__lx_b")) - F.col("count")).alias("__lx_before"),
+        "__lx_source", "__lx_block",
+        (F.sum("count").over(in_source.orderBy("__lx_block")) - F.col("count")).alias("__lx_before"),
         F.sum("count").over(in_source).alias("__lx_n"),
     )
-    in_block = Window.partitionBy("source", "__lx_block").orderBy("__lx_key", "doc_id", "text_crc32")
+    in_block = Window.partitionBy("__lx_source", "__lx_block").orderBy("__lx_key", "doc_id", "text_crc32")
     ranked = (
         keyed.withColumn("__lx_row", F.row_number().over(in_block))
-        .join(counts, F.col("source").eqNullSafe(F.col("__lx_s")) & (F.col("__lx_block") == F.col("__lx_b")))
+        .join(counts, ["__lx_source", "__lx_block"])
         .withColumn("__lx_rank", F.col("__lx_before") + F.col("__lx_row"))
         .withColumn("__lx_fraction", (F.col("__lx_rank") * 2 - 1).cast("double") / (F.col("__lx_n") * 2).cast("double"))
         .withColumn("__lx_range", F.floor(F.col("__lx_fraction") * blocks).cast("int"))
     )
     ranges = ranked.groupBy(F.col("__lx_range").alias("__lx_r")).count()
     ranges = ranges.select("__lx_r", (F.sum("count").over(Window.orderBy("__lx_r")) - F.col("count")).alias("__lx_start"))
-    in_range = Window.partitionBy("__lx_range").orderBy("__lx_fraction", F.col("source").asc_nulls_last(), "__lx_rank")
+    in_range = Window.partitionBy("__lx_range").orderBy("__lx_fraction", "__lx_source", "__lx_rank")
     return (
         ranked.withColumn("__lx_place", F.row_number().over(in_range))
         .join(ranges, F.col("__lx_range") == F.col("__lx_r"))

@@ -3,9 +3,12 @@
 A sentence's score is the logistic of a bias and the weights of its hashed features: each word and its first 4 to 8
 bytes. A document's score is the noisy-or of its sentences, 1 - prod(1 - p). Only documents have labels; the gradient of
 the noisy-or's log-likelihood spreads a label over the sentences, so that the fitted sentence scores locate the
-sentences that make a document toxic. Weights are fitted by AdaGrad over mini-batches.
+sentences that make a document toxic. Weights are fitted by AdaGrad over mini-batches, of the features whose presence in
+a document tells more about its label than chance would for one of all features (`least_evidence`); they start at
+`start` times the log ratio of their frequencies in toxic and in other documents.
 
-The model is fitted on a bounded sample of labelled documents (`positives` and `negatives` at most); every document is
+The model is fitted on a bounded sample of labelled documents (`positives` and `negatives` at most), for `epochs` rounds, or more where those make fewer than
+`least_updates` steps; every document is
 scored whole. Scoring keeps rows in place and shuffles nothing; the weights (4 MB) are broadcast.
 
 Sentences end at `.`, `!`, `?` or a line's end. Spans are in code points. Defined results: a null or empty text has one empty sentence,
@@ -37,11 +40,13 @@ class Training:
     positives: int = 4_000
     negatives: int = 8_000
     epochs: int = 6
-    batch_documents: int = 64
-    rate: float = 0.15
+    least_updates: int = 600
+    batch_bytes: int = 1 << 16
+    rate: float = 0.3
     decay: float = 1e-5
-    least_documents: int = 4
-    bias: float = -6.0
+    least_evidence: float = 16.0
+    start: float = 0.8
+    bias: float = -8.0
 
 
 def features(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -80,19 +85,33 @@ def noisy_or(p: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(owner, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n))
 
 
+def evidence(with_: np.ndarray, toxic_with: np.ndarray, all_: int, toxic: float) -> np.ndarray:
+    """Likelihood ratio statistic of each feature's presence in a document against the label."""
+    total = np.zeros(len(with_))
+    for a, row, column in (
+        (toxic_with, with_, toxic), (with_ - toxic_with, with_, all_ - toxic),
+        (toxic - toxic_with, all_ - with_, toxic), (all_ - with_ - toxic + toxic_with, all_ - with_, all_ - toxic),
+    ):
+        total += a * np.log(np.maximum(a, 1e-9) * all_ / np.maximum(row * column, 1e-9))
+    return 2 * total
+
+
 def fit(texts: pa.Array, label: np.ndarray, how: Training) -> np.ndarray:
     """Weights, the bias last."""
-    bags, documents = [], np.zeros(DIMENSIONS, dtype=np.int32)
-    for part in slices(texts, fold=True, limit=1 << 18):
+    bags, documents, toxic = [], np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
+    for part in slices(texts, fold=True, limit=how.batch_bytes):
         ids, where, owner, _ = features(part)
-        pair = np.unique((owner[where].astype(np.int64) << 20) | ids) & (DIMENSIONS - 1)
-        documents += np.bincount(pair, minlength=DIMENSIONS).astype(np.int32)
+        pair = np.unique((owner[where].astype(np.int64) << 20) | ids)
+        document, pair = pair >> 20, pair & (DIMENSIONS - 1)
+        documents += np.bincount(pair, minlength=DIMENSIONS)
+        toxic += np.bincount(pair, weights=label[part.first + document], minlength=DIMENSIONS)
         bags.append((ids.astype(np.int32), where.astype(np.int32), owner + part.first))
-    common = documents >= how.least_documents
-    bags = [(ids[common[ids]], where[common[ids]], owner) for ids, where, owner in bags]
-    w, squares, bias, bias_squares = np.zeros(DIMENSIONS), np.full(DIMENSIONS, 1e-4), how.bias, 1e-4
+    telling = evidence(documents, toxic, len(label), label.sum()) >= how.least_evidence
+    bags = [(ids[telling[ids]], where[telling[ids]], owner) for ids, where, owner in bags]
+    odds = np.log((toxic + 0.5) / (label.sum() + 1)) - np.log((documents - toxic + 0.5) / (len(label) - label.sum() + 1))
+    w, squares, bias, bias_squares = np.where(telling, how.start * odds, 0.0), np.full(DIMENSIONS, 1e-4), how.bias, 1e-4
     rng = np.random.default_rng(7)
-    for _ in range(how.epochs):
+    for _ in range(max(how.epochs, how.least_updates // max(len(bags), 1))):
         for k in rng.permutation(len(bags)):
             ids, where, owner = bags[k]
             low = owner.min()
