@@ -1,13 +1,13 @@
 """Document fingerprints by Merkle trees, in DataFrame operations only.
 
-Leaves are the clauses of a paragraph: its text cut behind each sign of `.!?,;:|%&#*$` that a space follows. A
-paragraph is a line. Paragraphs are grouped into sections by content: a section ends behind a paragraph whose hash ends in
+Leaves are the clauses of a paragraph: its text cut behind each sign of `.!?,;:|%&#*$` that a space follows, or each of its words
+if it has no such sign. A paragraph is a line. Paragraphs are grouped into sections by content: a section ends behind a paragraph whose hash ends in
 0, 4, 8 or c, so that an insertion moves section borders only near itself. The root hashes the section
 hashes. The fingerprint is `root/sections`: sections joined by `;`, their paragraphs by a space, the leaf hashes of
 a paragraph by `,`. Inner hashes follow from the leaves and are not stored.
 
 Equal texts have equal roots and fingerprints. Likeness is 2 |A and B| / (|A| + |B|) over the distinct leaf
-hashes. `differing` walks two trees and returns the paragraphs whose branches differ.
+hashes. `with_differing` walks two trees and returns the paragraphs whose branches differ.
 
 The next document is found without one global window: ids are cut into ranges of about equal counts, the first
 row of each range is also sent to the range before it, and a window over the range does the rest. Texts are shuffled once.
@@ -35,21 +35,22 @@ RANGE_ROWS = 2_000
 def paragraphs(text: Column) -> Column:
     """Array of strings: for each line the hashes of its clauses, joined by commas."""
     leaf = lambda s: F.substring(F.md5(s), 1, LEAF_HEX)
-    return F.transform(F.split(text, "\n"), lambda p: F.array_join(F.transform(F.split(p, LEAF_CUT), leaf), ","))
+    cut = lambda p: F.split(p, F.when(p.rlike(LEAF_CUT), F.lit(LEAF_CUT)).otherwise(F.lit(" ")))
+    return F.transform(F.split(text, "\n"), lambda p: F.array_join(F.transform(cut(p), leaf), ","))
 
 
 def with_fingerprint(df: DataFrame, text: Column, out: str) -> DataFrame:
     """Add the fingerprint of a text as column out."""
-    par, hashes, ends = f"__lx_p_{out}", f"__lx_h_{out}", f"__lx_e_{out}"
-    p, h, e = F.col(par), F.col(hashes), F.col(ends)
+    par, ends = f"__lx_p_{out}", f"__lx_e_{out}"
+    p, e = F.col(par), F.col(ends)
+    last = lambda x, i: (i + 1 == F.size(p)) | F.substring(F.md5(x), -1, 1).isin("0", "4", "8", "c")
     sections = F.transform(e, lambda x, j: F.array_join(F.slice(p, F.when(j > 0, F.get(e, j - 1)).otherwise(0) + 1, x - F.when(j > 0, F.get(e, j - 1)).otherwise(0)), " "))
     return (
         df.withColumn(par, paragraphs(text))
-        .withColumn(hashes, F.transform(p, lambda x: F.md5(x)))
-        .withColumn(ends, F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: (i == F.size(p)) | F.substring(F.get(h, i - 1), -1, 1).isin("0", "4", "8", "c")))
+        .withColumn(ends, F.array_compact(F.transform(p, lambda x, i: F.when(last(x, i), i + 1))))
         .withColumn(out, sections)
         .withColumn(out, F.concat(F.md5(F.array_join(F.transform(out, lambda s: F.md5(s)), "")), F.lit("/"), F.array_join(out, ";")))
-        .drop(par, hashes, ends)
+        .drop(par, ends)
     )
 
 
@@ -62,12 +63,22 @@ def likeness(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) * 2.0 / (F.size(a) + F.size(b))
 
 
-def differing(a: Column, b: Column) -> Column:
-    """Numbers (from 0) of the paragraphs of b whose branch occurs nowhere in a; empty if the roots are equal."""
-    tree = lambda f: F.split(F.substring_index(f, "/", -1), "[; ]")
-    numbered = F.transform(tree(b), lambda x, i: F.when(~F.array_contains(tree(a), x), i))
+def tree(fingerprint: Column) -> Column:
+    """The paragraphs of a fingerprint, each as its leaf hashes."""
+    return F.split(F.substring_index(fingerprint, "/", -1), "[; ]")
+
+
+def with_differing(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """Add the numbers (from 0) of the paragraphs of fingerprint b whose branch occurs nowhere in a; none if the roots are equal."""
+    of_a, of_b = F.col("__lx_ta"), F.col("__lx_tb")
+    changed = F.array_compact(F.transform(of_b, lambda x, i: F.when(~F.array_contains(of_a, x), i)))
     none = F.expr("cast(array() as array<int>)")
-    return F.when(F.substring_index(a, "/", 1) == F.substring_index(b, "/", 1), none).otherwise(F.array_compact(numbered))
+    # of_a stands outside the lambda as well: with one use only, the optimizer would split the string anew for each element
+    return (
+        df.withColumn("__lx_ta", tree(F.col(a))).withColumn("__lx_tb", tree(F.col(b)))
+        .withColumn(out, F.when(F.size(of_a) == 0, none).when(F.substring_index(a, "/", 1) == F.substring_index(b, "/", 1), none).otherwise(changed))
+        .drop("__lx_ta", "__lx_tb")
+    )
 
 
 def with_next(docs: DataFrame, parts: int) -> DataFrame:
@@ -110,7 +121,7 @@ def compare_with_edit(docs: DataFrame) -> DataFrame:
         "edited_fingerprint",
         likeness(F.col("__lx_a"), F.col("__lx_b")).alias("near_edited"),
         likeness(F.col("__lx_a"), F.col("__lx_c")).alias("near_next"),
-        F.size(differing(F.col("fingerprint"), F.col("edited_fingerprint"))).cast("long").alias("n_edited_paragraphs"),
+        F.size(F.array_except(tree(F.col("edited_fingerprint")), tree(F.col("fingerprint")))).cast("long").alias("n_edited_paragraphs"),
     )
 
 
