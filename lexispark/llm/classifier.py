@@ -1,8 +1,8 @@
 """Quality classifier: logistic regression over hashed word n-grams, trained with FTRL-proximal updates.
 
 Words here are runs of letters and digits and runs of other signs (lower-cased), so that junk signs glued to words are words
-too. The features of a document are its one- and two-word n-grams, hashed into DIMENSIONS buckets, each with its share of all
-n-grams times SCALE. A score is the logistic of the sparse dot product; it is computed over whole texts without grouping:
+too. The features of a document are its one- and two-word n-grams, hashed into DIMENSIONS buckets, and two buckets for n-grams
+that say a word again, at once or one word later; each has its share of all n-grams times SCALE. A score is the logistic of the sparse dot product; it is computed over whole texts without grouping:
 the weights of all n-grams are summed and divided by their number.
 
 The follow-the-regularised-leader state (z, n per bucket) is updated one document at a time, in an order the seed
@@ -35,21 +35,25 @@ class Ftrl:
     positives: int = 8_000
     negatives: int = 4_000
     epochs: int = 3
-    alpha: float = 0.5
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 0.05
+    l1: float = 0.2
     l2: float = 0.1
     seed: int = 3
 
 
 def ngrams(part: Slice) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all one- and two-word n-grams of a slice, and their texts."""
+    """Buckets of all one- and two-word n-grams of a slice and of words said again, and their texts."""
     starts, ends, doc = part.pieces()
     one = part.hashes(starts, ends)
     same = doc[1:] == doc[:-1]
     two = mix(one[:-1] * np.uint64(0xD6E8FEB86659FD93) + one[1:])[same]
-    keys = np.concatenate([one, two]) & np.uint64(DIMENSIONS - 1)
-    return keys.astype(np.int64), np.concatenate([doc, doc[1:][same]])
+    keys, owners = [one, two], [doc, doc[1:][same]]
+    for gap in (1, 2):
+        again = (one[gap:] == one[:-gap]) & (doc[gap:] == doc[:-gap])
+        keys.append(np.full(int(again.sum()), gap, dtype=np.uint64))
+        owners.append(doc[gap:][again])
+    return (np.concatenate(keys) & np.uint64(DIMENSIONS - 1)).astype(np.int64), np.concatenate(owners)
 
 
 def fit(texts: pa.Array, label: np.ndarray, how: Ftrl) -> np.ndarray:
