@@ -121,14 +121,12 @@ def find_span(text: Column, phrase: Column) -> Column:
 
 def ngram_phrases(tokens: Column, longest: int = 4) -> Column:
     """Distinct n-grams of a token array, edges stripped, n ascending and then start ascending."""
-    n = F.size(tokens)
-
-    def of_size(k: int) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: strip_term_punctuation(F.array_join(F.slice(tokens, i, k), " ")))
-        return F.when(n >= k, grams).otherwise(F.array().cast("array<string>"))
-
-    grams = [of_size(k) for k in range(1, longest + 1)]
-    return F.array_distinct(F.filter(F.concat(*grams), lambda p: p != ""))
+    grams = [tokens]
+    # zip with the tokens moved by one more place each time: a lambda that refers to tokens would split the text for each element
+    for k in range(2, longest + 1):
+        grams.append(F.zip_with(grams[-1], F.slice(tokens, k, F.greatest(F.size(tokens), F.lit(1))), lambda g, w: F.concat(g, F.lit(" "), w)))
+    phrases = F.transform(F.array_compact(F.concat(*grams)), strip_term_punctuation)
+    return F.array_distinct(F.filter(phrases, lambda p: p != ""))
 
 
 def target_phrases(text: Column, longest: int = 4) -> Column:

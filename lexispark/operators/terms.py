@@ -84,7 +84,8 @@ def pattern_spans(tokens: str, tagger: Callable[[Column], Column], text: str) ->
 
 def term_rows(spans: DataFrame, key: str, column: str = "spans") -> DataFrame:
     """Spans as terms: valid ones, the first of each lower-cased form per text, with their domain."""
-    rows = spans.select(key, F.posexplode(column).alias("pos", "s")).select(key, "pos", T.strip(F.col("s.text")).alias("term"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))
+    # posexplode_outer: for posexplode, the optimizer would derive a filter that evaluates the spans once more
+    rows = spans.select(key, F.posexplode_outer(column).alias("pos", "s")).filter("s IS NOT NULL").select(key, "pos", T.strip(F.col("s.text")).alias("term"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))
     return _first_by_form(rows.filter(validity.is_extractable(F.col("term"))), key).withColumn("domain", scoring.classify_domain(F.col("term")))
 
 
