@@ -118,7 +118,7 @@ def op6_quality_classifier(spark, sf_dir: str) -> DataFrame:
     s = annotate(docs, train(docs, table(spark, sf_dir, "labels")))
     return s.select(
         "doc_id",
-        (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"),
+        F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
         F.col("quality_score").alias("score"),
         (F.col("quality_score") >= KEEP_FROM).cast("int").alias("predicted"),
     )

@@ -265,7 +265,8 @@ def solve(spark: SparkSession, demand: Counter, search: Search = Search()) -> So
 
     state = spark.range(search.islands).select(F.col("id").cast("int").alias("island"), F.lit("").alias("state"))
     for number in range(search.epochs):
-        new = scratch_table(state.groupBy("island").applyInPandas(epoch(number), "island int, state string"), "packing-islands")
+        # by number, so that small states are not put together: each island has a task of its own
+        new = scratch_table(state.repartition(search.islands, "island").groupBy("island").applyInPandas(epoch(number), "island int, state string"), "packing-islands")
         drop_scratch(state)
         state = new
     finals = [s for row in state.collect() for s in _load(row["state"])]

@@ -206,7 +206,7 @@ def op5_toxicity(spark, sf_dir: str) -> DataFrame:
     s = annotate(docs, model)
     return s.select(
         "doc_id",
-        (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"),
+        F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"),
         "toxicity.score",
         (F.col("toxicity.score") >= REJECT_FROM).cast("int").alias("predicted"),
         "toxicity.sentences", "toxicity.worst_start", "toxicity.worst_length", "toxicity.worst_score",
