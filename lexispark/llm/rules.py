@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexispark.llm.native import WORD, text_of
+from lexispark.llm.native import text_of
 from lexispark.session import table
 
 
@@ -37,24 +37,35 @@ class Rules:
     trusted_rows: int = 20_000
 
 
-TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
-SYMBOLS = "#*$%&|<>"
+SIGNS = r"([^\p{L}\p{N}\s]+)"
+SYMBOLS = "[#*$%&|<>]"
 
 
-def ngram_buckets(tokens: str, buckets: int) -> Column:
-    """Buckets of all tokens and of all pairs of neighbours. tokens names an array column."""
-    t = F.col(tokens)
-    n = F.size(t)
-    ones = F.transform(t, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    twos = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.pmod(F.xxhash64(F.get(t, i - 1), F.get(t, i)), F.lit(buckets)).cast("int"))
-    return F.when(n >= 2, F.concat(ones, twos)).otherwise(ones)
+def split_words(text: Column) -> Column:
+    """The words of a text. White space becomes spaces first: splitting at one fixed sign needs no regular expression."""
+    for c in "\t\n\x0b\f\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
-def bucketed(docs: DataFrame, rules: Rules) -> DataFrame:
-    """Add `__lx_buckets`."""
-    return docs.withColumn("__lx_tokens", F.regexp_extract_all(F.lower(text_of()), F.lit(TOKEN), F.lit(0))).withColumn(
-        "__lx_buckets", ngram_buckets("__lx_tokens", rules.buckets)
-    ).drop("__lx_tokens")
+def tokens(text: Column) -> Column:
+    """Runs of letters and digits and runs of other signs, lower-cased."""
+    return split_words(F.regexp_replace(F.lower(text), SIGNS, " $1 "))
+
+
+def unigram(token: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+
+
+def bigram(before: Column, token: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(before, token), F.lit(buckets)).cast("int")
+
+
+def ngram_buckets(column: str, buckets: int) -> Column:
+    """Buckets of all tokens and of all pairs of neighbours, of which the first has an empty one. column names a token array."""
+    t = F.col(column)
+    pairs = F.zip_with(F.slice(F.concat(F.array(F.lit("")), t), 1, F.greatest(F.size(t), F.lit(1))), t, lambda x, y: bigram(x, y, buckets))
+    return F.when(F.size(t) > 0, F.concat(F.transform(t, lambda w: unigram(w, buckets)), pairs)).otherwise(F.expr("cast(array() as array<int>)"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> np.ndarray:
@@ -64,7 +75,8 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> np.ndarra
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.trusted_rows)
         .select(F.col("doc_id").alias("__lx_id"))
     )
-    rows = bucketed(docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("__lx_id"), "left"), rules)
+    rows = docs.select("doc_id", tokens(text_of()).alias("__lx_tokens")).join(F.broadcast(trusted), F.col("doc_id") == F.col("__lx_id"), "left")
+    rows = rows.withColumn("__lx_buckets", ngram_buckets("__lx_tokens", rules.buckets))
     # explode_outer: for explode, the optimizer would derive a filter that evaluates the array once more
     counts = (
         rows.select(F.col("__lx_id").isNotNull().cast("long").alias("good"), F.explode_outer("__lx_buckets").alias("bucket"))
@@ -91,8 +103,8 @@ def annotate(docs: DataFrame, weights: np.ndarray, rules: Rules = Rules(), out:
     start = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("covered"))
     table_ = F.lit(np.ascontiguousarray(weights, dtype=np.float64))
     rows = (
-        docs.withColumn("__lx_words", F.regexp_extract_all(text_of(), F.lit(WORD), F.lit(0)))
-        .withColumn("__lx_n", F.size("__lx_words").cast("long"))
+        docs.withColumn("__lx_words", split_words(text_of()))
+        .withColumns({"__lx_n": F.size("__lx_words").cast("long"), "__lx_chars": F.length(F.array_join("__lx_words", "")).cast("long")})
         .withColumn(
             "__lx_tri",
             F.when(F.size(w) >= 3, F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i), F.get(w, i + 1))))
@@ -101,7 +113,7 @@ def annotate(docs: DataFrame, weights: np.ndarray, rules: Rules = Rules(), out:
         .drop("__lx_words")
         .withColumn(
             "__lx_at",
-            F.when(F.size(F.array_distinct(tri)) < F.size(tri), F.array_sort(F.transform(tri, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+            F.when(F.size(F.array_distinct(tri)) < F.size(tri), F.sort_array(F.transform(tri, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
             .otherwise(F.expr("cast(array() as array<struct<h:bigint,i:int>>)")),
         )
         .drop("__lx_tri")
@@ -120,18 +132,22 @@ def annotate(docs: DataFrame, weights: np.ndarray, rules: Rules = Rules(), out:
         .drop("__lx_at", "__lx_starts")
         .withColumn("__lx_lines", lines)
     )
+    step = lambda a, t: F.struct(
+        t.alias("before"), (a["sum"] + F.get(table_, unigram(t, rules.buckets)) + F.get(table_, bigram(a["before"], t, rules.buckets))).alias("sum")
+    )
+    opening = F.struct(F.lit("").alias("before"), F.lit(0.0).alias("sum"))
     rows = (
-        bucketed(rows, rules)
-        .withColumn("__lx_sum", F.aggregate("__lx_buckets", F.lit(0.0), lambda a, b: a + F.get(table_, b)))
-        .withColumn("__lx_llr", F.when(F.size("__lx_buckets") > 0, F.col("__lx_sum") / F.size("__lx_buckets")).otherwise(0.0))
+        rows.withColumn("__lx_tokens", tokens(text_of()))
+        .withColumn("__lx_sum", F.aggregate("__lx_tokens", opening, step, lambda a: a["sum"]))
+        .withColumn("__lx_llr", F.when(F.size("__lx_tokens") > 0, F.col("__lx_sum") / (F.size("__lx_tokens") * 2)).otherwise(0.0))
     )
     failed = (n < rules.least_words) | (F.col("__lx_repeat") * 100 > n * rules.most_repeated_percent)
     return rows.select(
         *own,
         F.struct(
             n.alias("n_words"),
-            F.length(F.regexp_replace(text_of(), r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
-            (F.length(text_of()) - F.length(F.translate(text_of(), SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            F.col("__lx_chars").alias("word_chars"),
+            F.regexp_count(text_of(), F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
             (F.size("__lx_lines") - F.size(F.array_distinct("__lx_lines"))).cast("long").alias("n_dup_lines"),
             F.col("__lx_repeat").alias("n_repeat_words"),
             failed.alias("base_failed"),
