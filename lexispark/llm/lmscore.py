@@ -46,7 +46,7 @@ class Backoff:
 
 
 BATCH_BYTES = 4 << 20
-BUCKET_KEYS = 4_000_000
+BUCKET_KEYS = 2_500_000
 _KEY_BITS = 48
 
 
@@ -72,7 +72,7 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = b"".join(texts)
         part = Slice(0, np.frombuffer(data, dtype=np.uint8), np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64), True)
         number = (TaskContext.get().partitionId() << 32) + serial
-        row = [[number], [ids], [lengths], [zstandard.ZstdCompressor(level=3).compress(data)], [len(part.words()[0])]]
+        row = [[number], [ids], [lengths], [zstandard.ZstdCompressor(level=6).compress(data)], [len(part.words()[0])]]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], ["batch", "ids", "lengths", "texts", "words"])
 
