@@ -12,8 +12,8 @@ scores summed per document. A batch asks once for an n-gram however often it occ
 no hot key: a bucket gets at most one request per batch for it. Sorted keys travel as differences
 and answers in the order of the requests, about 4 bytes a key and less than one an answer.
 
-Memory: a bucket holds about BUCKET_KEYS keys (their number follows from the size of the corpus), a batch about
-BATCH_BYTES of text. Batches are written to the shared folder, so no later loss repeats the packing.
+Memory: a bucket holds about `bucket_keys` keys (the number of buckets follows from the size of the corpus), a batch about
+`batch_bytes` of text. A batch without keys in a bucket sends it nothing. Batches are written to the shared folder, so no later loss repeats the packing.
 
 Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Two n-grams of one order that share a 48-bit key count together;
 among 10^9 distinct ones that holds for 4 in a million.
@@ -40,13 +40,18 @@ from lexispark.session import scratch_table, table
 
 @dataclass(frozen=True)
 class Backoff:
+    """batch_bytes and bucket_keys bound the memory of a task; the requests have batches times buckets cells at most.
+
+    For over some 10 TB of text, raise both (64 MB and 40 million keys, for tasks of some 3 GB), so that cells stay filled.
+    """
+
     order: int = 3
     alpha: float = 0.4
     least_count: int = 2
+    batch_bytes: int = 4 << 20
+    bucket_keys: int = 2_500_000
 
 
-BATCH_BYTES = 4 << 20
-BUCKET_KEYS = 2_500_000
 _KEY_BITS = 48
 
 
@@ -64,8 +69,8 @@ def _expand(blob: bytes) -> np.ndarray:
 PACKED = "batch long, ids array<long>, lengths array<long>, texts binary, words long"
 
 
-def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, text) into batches of about BATCH_BYTES."""
+def pack(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text) into batches of about `most` bytes."""
     ids, lengths, texts, size, serial = [], [], [], 0, 0
 
     def flush() -> pa.RecordBatch:
@@ -82,7 +87,7 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = (text or "").encode()
             ids.append(doc), lengths.append(len(raw)), texts.append(raw)
             size += len(raw)
-            if size >= BATCH_BYTES:
+            if size >= most:
                 yield flush()
                 ids, lengths, texts, size, serial = [], [], [], 0, serial + 1
     if ids:
@@ -112,18 +117,23 @@ def _requests(order: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for number, lengths, texts in zip(b.column("batch").to_pylist(), b.column("lengths").to_pylist(), b.column("texts").to_pylist(), strict=True):
-                keys, counts = [[] for _ in range(buckets)], [[] for _ in range(buckets)]
+                keys, counts, held = [[] for _ in range(buckets)], [[] for _ in range(buckets)], np.zeros(buckets, dtype=np.int64)
                 for _, found in ngrams(lengths, texts, order)[1]:
                     distinct, times = np.unique(found, return_counts=True)
                     cut = np.searchsorted(distinct, edges)
+                    held += np.diff(cut)
                     for k in range(buckets):
                         part = distinct[cut[k] : cut[k + 1]]
                         keys[k].append(_squeeze(np.diff(part, prepend=np.uint64(0))))
                         counts[k].append(_squeeze(times[cut[k] : cut[k + 1]]))
+                filled = [k for k in range(buckets) if held[k]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(buckets), pa.int32()), pa.array([number] * buckets, pa.int64()), pa.array(keys, pa.list_(pa.binary())), pa.array(counts, pa.list_(pa.binary()))],
+                    [
+                        pa.array(filled, pa.int32()), pa.array([number] * len(filled), pa.int64()),
+                        pa.array([keys[k] for k in filled], pa.list_(pa.binary())), pa.array([counts[k] for k in filled], pa.list_(pa.binary())),
+                    ],
                     ["bucket", "batch", "keys", "counts"],
-                )
+                )
 
     return run
 
@@ -153,7 +163,7 @@ def _scores(model: Backoff, all_words: int):
         log_s = np.zeros(len(doc))
         shorter = None
         for n, (at, key) in enumerate(found):
-            totals = np.concatenate([_expand(a[n]) for a in answers])
+            totals = np.concatenate([np.zeros(0, dtype=np.uint64), *[_expand(a[n]) for a in answers]])
             count = totals[np.unique(key, return_inverse=True)[1]].astype(np.float64)
             if n == 0:
                 log_s = np.log(count / all_words) if len(count) else log_s
@@ -172,9 +182,9 @@ def _scores(model: Backoff, all_words: int):
 
 def score(docs: DataFrame, model: Backoff = Backoff()) -> DataFrame:
     """doc_id, n_words, log_score for each row of docs, counted and scored over all of docs."""
-    packed = scratch_table(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pack, PACKED), "lm-batches")
+    packed = scratch_table(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda rows: pack(rows, model.batch_bytes), PACKED), "lm-batches")
     all_words = int(packed.agg(F.sum("words")).first()[0] or 0)
-    buckets = max(1, -(-all_words * model.order // BUCKET_KEYS))
+    buckets = max(1, -(-all_words * model.order // model.bucket_keys))
     requests = packed.select("batch", "lengths", "texts").mapInArrow(
         _requests(model.order, buckets), "bucket int, batch long, keys array<binary>, counts array<binary>"
     )

@@ -30,6 +30,8 @@ LEAF_HEX = 12
 LEAF_CUT = r"(?<=[.!?,;:|%&#*$]) "
 #: Rows of an id range on average; a window over a range stays in memory.
 RANGE_ROWS = 2_000
+#: Most ranges: their borders are literals of the plan. Beyond 30 million documents ranges grow, and their windows spill.
+MOST_RANGES = 16_384
 
 
 def paragraphs(text: Column) -> Column:
@@ -104,7 +106,7 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
 def compare_with_edit(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, whose last half the next document's beginning replaces."""
     total = docs.count()
-    parts = max(1, min(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4, total // RANGE_ROWS), total // 16))
+    parts = max(1, min(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4, total // RANGE_ROWS), total // 16, MOST_RANGES))
     half = F.floor(F.length("text") / 2).cast("int")
     rows = with_next(docs, parts).withColumn(
         "__lx_edited", F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half))

@@ -23,16 +23,12 @@ def unit_interval(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def pairwise_sum(df: DataFrame, of: str) -> int:
-    return int(df.agg(F.sum(of)).first()[0] or 0)
-
-
 def range_splits(df: DataFrame, col: str, parts: int) -> list[int]:
     """Values that cut the column into about equal parts. One aggregate; at most parts - 1 numbers reach the driver."""
     if parts < 2:
         return []
     at = [i / parts for i in range(1, parts)]
-    got = df.agg(F.percentile_approx(col, at, 10_000).alias("p")).first()["p"]
+    got = df.agg(F.percentile_approx(col, at, max(10_000, 10 * parts)).alias("p")).first()["p"]
     return sorted(set(got or []))
 
 
