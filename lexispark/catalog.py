@@ -754,6 +754,62 @@ def punct_repair_diff(spark, sf_dir):
     return store.repair_punctuation(rows)[1].select("source_term", "new_source_term")
 
 
+@query("SELECT item_id, greatest(instr(lower(text), 'the en') - 1, 0) AS start, greatest(CASE WHEN instr(lower(text), 'the en') > 0 THEN instr(lower(text), 'the en') + 5 ELSE -1 END, 0) AS stop FROM benchmark")
+def find_offsets(spark, sf_dir):
+    span = T.find_span(F.col("text"), F.lit("The en"))
+    return table(spark, sf_dir, "benchmark").select("item_id", span["start"].cast("long").alias("start"), span["end"].cast("long").alias("stop"))
+
+
+@query(
+    with_candidates(
+        """SELECT id, 'Term: ' || source_term || chr(10) || 'Translation: ' || target_term || chr(10) || 'Similarity: ' || format('{:.3f}', similarity)
+        || CASE WHEN lower(source_term) = lower(target_term) THEN chr(10) || 'Both sides are equal: is it a brand?' ELSE '' END AS prompt FROM candidates"""
+    )
+)
+def user_prompts(spark, sf_dir):
+    return S.candidates(spark, sf_dir).select("id", review.user_prompt(2).alias("prompt"))
+
+
+@query()
+def decision_tallies(spark, sf_dir):
+    return dedupe.tallies(dedupe.decide_groups(dedupe.similar_groups(S.ascii_terms(spark, sf_dir))))
+
+
+@query(
+    with_candidates(
+        """, b AS (SELECT source_term, target_locale, arg_max(target_term, (final_score, frequency, target_term)) AS best, sum(frequency) AS f, max(final_score) AS s FROM candidates GROUP BY 1, 2)
+        SELECT source_term, CAST(sum(f) AS BIGINT) AS total_frequency, max(s) AS best_score, string_agg(target_locale || '=' || best, ';' ORDER BY target_locale) AS translations FROM b GROUP BY 1"""
+    )
+)
+def group_preview(spark, sf_dir):
+    c = S.candidates(spark, sf_dir)
+    groups = c.select("source_term").distinct().select(dedupe.group_key(F.array("source_term")).alias("group_key"), F.array("source_term").alias("members"))
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("translations")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return dedupe.preview(groups, c).select("source_term", "total_frequency", "best_score", shown.alias("translations"))
+
+
+GROUPS = [("100 cm|90 cm",), ("100 cm|100 cm wide",), ("82%|82 %",), ("wool|woll",)]
+
+
+@query(f"SELECT members FROM {values(GROUPS, 'members')} WHERE members IN ('100 cm|100 cm wide', 'wool|woll')")
+def measurement_groups(spark, sf_dir):
+    rows = spark.createDataFrame(GROUPS, "m string").select(F.split("m", "[|]").alias("members"))
+    return dedupe.drop_measurement_groups(rows).select(F.array_join("members", "|").alias("members"))
+
+
+@query(f"SELECT term FROM (SELECT unnest([{quoted([*fixed.EXPORT_EXCLUSIONS, 'Ideal', 'wool', 'BRIEFS'])}]) AS term) WHERE lower(term) NOT IN ({quoted(fixed.EXPORT_EXCLUSIONS)})")
+def exclusions(spark, sf_dir):
+    rows = spark.createDataFrame([(t,) for t in [*fixed.EXPORT_EXCLUSIONS, "Ideal", "wool", "BRIEFS"]], "term string")
+    return rows.filter(~validity.is_excluded(F.col("term")))
+
+
+@query(with_candidates("SELECT target_locale, string_agg(DISTINCT evidence_product_ids, ',' ORDER BY evidence_product_ids) AS ids FROM candidates GROUP BY 1"))
+def evidence_as_json(spark, sf_dir):
+    """Lists go to JSON text at the edge and come back whole."""
+    lists = S.candidates(spark, sf_dir).groupBy("target_locale").agg(F.to_json(F.array_sort(F.collect_set("evidence_product_ids"))).alias("j"))
+    return lists.select("target_locale", F.array_join(F.from_json("j", "array<string>"), ",").alias("ids"))
+
+
 @query()
 def mine_candidates(spark, sf_dir):
     """The whole mining plan over the stand-in sheet."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexispark import fixed
 from lexispark.functions import merging
 from lexispark.functions import text as T
+from lexispark.functions.validity import is_measurement
 
 #: Rows of a block of the sorted sequence; a block also sees the first rows of the next one.
 BLOCK_ROWS = 2048
@@ -83,6 +84,16 @@ def similar_groups(terms: DataFrame, width: int = fixed.NEIGHBOURS, term: str =
     return marks.unionByName(lev.alias("l").join(marks.alias("m"), twice, "left_anti"))
 
 
+def drop_measurement_groups(groups: DataFrame) -> DataFrame:
+    """Groups with at least one member that is more than a number, a dimension or a unit."""
+    return groups.filter(~F.forall("members", is_measurement))
+
+
+def tallies(decisions: DataFrame) -> DataFrame:
+    """action, reason, n, with the largest first."""
+    return decisions.groupBy("action", "reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "action", "reason")
+
+
 def group_key(members: Column) -> Column:
     """A stable key of a group, whatever else is in the table: decisions stay valid when terms change."""
     return F.md5(F.array_join(F.array_sort(members), "\u0001"))

@@ -22,10 +22,8 @@ def to_pairs(sheet: DataFrame, row_order: str = "row_no", source_locale: str = f
         for k, x in enumerate(locales)
     ]
     return (
-        sheet.select(F.col(row_order), cell("sys_id").alias("product_id"), cell("sys_entitytype").alias("entity_type"), F.array(*cells).alias("cells"))
-        .filter("product_id IS NOT NULL AND entity_type IS NOT NULL")
-        .select(row_order, "product_id", "entity_type", F.inline("cells"))
-        .filter("source_text IS NOT NULL AND target_text IS NOT NULL")
+        sheet.select(F.col(row_order), cell("sys_id").alias("product_id"), cell("sys_entitytype").alias("entity_type"), F.inline_outer(F.array(*cells)))
+        .filter("product_id IS NOT NULL AND entity_type IS NOT NULL AND source_text IS NOT NULL AND target_text IS NOT NULL")
         .withColumn("source_locale", F.lit(source_locale))
     )
 

@@ -6,11 +6,13 @@ library, so that any store that Spark can read will do. One file is one task.
 
 from __future__ import annotations
 
+import glob
 import io
 import re
 import sqlite3
 import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -61,19 +63,39 @@ def workbook_rows(data: bytes, sheet: str) -> Iterator[list[str | None]]:
             yield cells
 
 
+def resolve_workbook(path: str, expected: str | None = None) -> str:
+    """The workbook that a path means: a file, the first match of a pattern, the expected (else the first) workbook of a folder, or the path itself.
+
+    Only for local paths; a path with a scheme is left to Spark.
+    """
+    if "://" in path or Path(path).is_file():
+        return path
+    if any(c in path for c in "*?[]"):
+        found = sorted(glob.glob(path))
+    elif Path(path).is_dir():
+        found = sorted(map(str, Path(path).glob("*.xlsx")))
+        found = [f for f in found if Path(f).name == expected] or found
+    else:
+        found = []
+    return found[0] if found else path
+
+
 def read_workbook(spark: SparkSession, path: str, sheet: str = fixed.ITEM_SHEET, columns: list[str] | None = None) -> DataFrame:
     """row_no and the named columns (by header) of a sheet, as strings. Columns that the sheet lacks are null."""
 
+    wanted = columns or SHEET_COLUMNS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for data in b.column(0).to_pylist():
                 rows = workbook_rows(data, sheet)
-                header = [h or "" for h in next(rows, [])]
-                found = [[(h, v) for h, v in zip(header, r, strict=False) if h] for r in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(found)), pa.int64()), pa.array(found, pa.map_(pa.string(), pa.string()))], ["row_no", "cells"])
+                place = {h: i for i, h in enumerate(next(rows, [])) if h}
+                found = [[r[place[c]] if c in place and place[c] < len(r) else None for c in wanted] for r in rows]
+                arrays = [pa.array(range(len(found)), pa.int64()), *[pa.array([r[k] for r in found], pa.string()) for k in range(len(wanted))]]
+                yield pa.RecordBatch.from_arrays(arrays, ["row_no", *wanted])
 
-    cells = spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "row_no long, cells map<string,string>")
-    return cells.select("row_no", *[F.try_element_at("cells", F.lit(c)).alias(c) for c in columns or SHEET_COLUMNS])
+    schema = ", ".join(["row_no long", *[f"`{c}` string" for c in wanted]])
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
 
 
 def read_sqlite(spark: SparkSession, path: str, query: str, schema: str) -> DataFrame:
