@@ -54,6 +54,8 @@ def neighbours(terms: DataFrame, key: Column, width: int = fixed.NEIGHBOURS, ter
     lends = (F.col("rank") % BLOCK_ROWS < width) & (block > 0)
     homes = F.when(lends, F.array(block, block - 1)).otherwise(F.array(block))
     placed = ranked.select("t", "rank", block.alias("own"), F.explode(homes).alias("block"))
+    # by number: the rows are few bytes but make `width` pairs each, so they must not be put together into few tasks
+    placed = placed.repartition(int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block")
     band = Window.partitionBy("block").orderBy("rank").rowsBetween(1, width)
     near = placed.withColumn("next", F.collect_list("t").over(band)).filter("own = block")
     size = F.length("t")
