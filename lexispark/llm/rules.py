@@ -64,8 +64,9 @@ def bigram(before: Column, token: Column, buckets: int) -> Column:
 def ngram_buckets(column: str, buckets: int) -> Column:
     """Buckets of all tokens and of all pairs of neighbours, of which the first has an empty one. column names a token array."""
     t = F.col(column)
-    pairs = F.zip_with(F.slice(F.concat(F.array(F.lit("")), t), 1, F.greatest(F.size(t), F.lit(1))), t, lambda x, y: bigram(x, y, buckets))
-    return F.when(F.size(t) > 0, F.concat(F.transform(t, lambda w: unigram(w, buckets)), pairs)).otherwise(F.expr("cast(array() as array<int>)"))
+    ones = F.transform(t, lambda w: unigram(w, buckets))
+    twos = F.transform(t, lambda w, i: bigram(F.when(i > 0, F.get(t, i - 1)).otherwise(""), w, buckets))
+    return F.concat(ones, twos)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> np.ndarray:
