@@ -27,8 +27,10 @@ def case_canonical(terms: DataFrame, term: str = "term") -> DataFrame:
 def punctuation_groups(terms: DataFrame, term: str = "term") -> DataFrame:
     """stripped, members, size: terms that are equal once signs at their edges are gone, with the clean form if it is a term."""
     t = terms.select(F.col(term).alias("term")).distinct().withColumn("stripped", T.strip_punctuation(F.col("term"))).filter("stripped <> ''")
-    groups = t.groupBy("stripped").agg(F.array_sort(F.collect_set("term")).alias("members"))
-    return groups.filter("size(members) > 1").select("stripped", "members", F.size("members").cast("long").alias("size"))
+    # counted first: most forms have one term, and lists are gathered for the rest only
+    shared = t.groupBy("stripped").agg(F.count("*").alias("size")).filter("size > 1")
+    groups = t.join(shared, "stripped").groupBy("stripped", "size").agg(F.array_sort(F.collect_list("term")).alias("members"))
+    return groups.select("stripped", "members", "size")
 
 
 def with_rank(rows: DataFrame, key: Column, tie: str) -> DataFrame:
