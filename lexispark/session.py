@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIRS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -43,12 +46,27 @@ def scratch_dir(spark: SparkSession) -> str:
     return _OWN_DIRS[app]
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: their workers may start where it can't be imported."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="lexispark-")) / f"lexispark-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of df: write it once below the shared folder and read it back.
 
     The files outlive any executor, so a later stage never recomputes what stands above.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{scratch_dir(spark).rstrip('/')}/lexispark/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -66,4 +84,5 @@ def drop_scratch(df: DataFrame) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
