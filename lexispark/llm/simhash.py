@@ -111,20 +111,25 @@ def links(distinct: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (long), component_id: the smallest id that links reach."""
     rows = scratch_table(with_fingerprint(docs.select("doc_id", "text"), "fp").select("doc_id", "fp"), "simhash-rows")
+    return named(rows, components(links(rows.select("fp").distinct())))
+
+
+def named(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (doc_id, fp) with the smallest id of their component; roots: node and root of the classes that have links."""
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(classes.select("fp")))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = rooted.join(named, "root").select("fp", "component_id")
     return rows.join(of_class, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """The documents without near-duplicates: of each component, the one with the smallest id stays.
 
     Rows that repeat an id and a text count as one document; a component of null ids keeps all its texts once.
+    found: doc_id and component_id from elsewhere than op8's links.
     """
-    found = near_duplicates(docs)
+    found = near_duplicates(docs) if found is None else found
     stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__lx_id")).distinct()
     kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__lx_id")), "left_semi")
     repeats = docs.groupBy("doc_id").count().filter("count > 1").limit(1).count()

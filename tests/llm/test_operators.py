@@ -357,3 +357,42 @@ def test_the_pipeline_keeps_one_of_each_group_and_all_its_words(spark, edge, sma
         for r in rows:
             used[r.sequence_id] += r.length
         assert all(v <= 1024 for v in used.values())
+
+
+def test_the_near_duplicate_stage_links_as_brute_force_jaccard(spark, monkeypatch):
+    from lexispark.llm import jaccard
+
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(400)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    docs = [None, "", " \n", "one two", "One  two", "one two three", "a b c d e", "a b c d e f"]
+    for _ in range(12):
+        base = [rng.choice(vocabulary) for _ in range(rng.randint(20, 120))]
+        for k in range(6):
+            copy = list(base)
+            for _ in range(k):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            docs.append(" ".join(copy))
+            docs.append(" ".join(passage + copy[: 10 + 2 * k]))
+    rows = [(i, t, "en", "a", len(t or "")) for i, t in enumerate(docs)]
+
+    def shingles(text):
+        w = (text or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+    found = [shingles(t) for t in docs]
+    linked = lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b)
+    least = list(range(len(docs)))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(found):
+            for j, b in enumerate(found):
+                if least[j] < least[i] and linked(a, b):
+                    least[i], changed = least[j], True
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for sample in (jaccard.SAMPLE, 10):
+        monkeypatch.setattr(jaccard, "SAMPLE", sample)
+        assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(table).collect()} == dict(enumerate(least))
+    kept = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, table, "").collect())
+    assert kept == sorted(set(least))
