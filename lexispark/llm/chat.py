@@ -124,12 +124,20 @@ def read_back(rendered: DataFrame) -> DataFrame:
     )
 
 
+def messages(rows: DataFrame) -> DataFrame:
+    """Conversations of plain rows (conv_id, turn, role, text): every row is a message of its own.
+
+    Rows that repeat a turn follow each other in the order of role and text. A null turn comes last, as in op9's SQL.
+    """
+    clean = F.struct(F.col("turn").isNull().alias("last"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(clean)).alias("messages"))
+
+
 def op9_chat_format(spark, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
-    events = rows.unionByName(extra).select("conv_id", F.col("turn").alias("seq"), "turn", F.lit("message").alias("kind"), "role", "text")
-    return read_back(render(fold(events)))
+    return read_back(render(messages(rows.unionByName(extra))))
 
 
 OP9_SQL = r"""

@@ -396,3 +396,15 @@ def test_the_near_duplicate_stage_links_as_brute_force_jaccard(spark, monkeypatc
         assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(table).collect()} == dict(enumerate(least))
     kept = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, table, "").collect())
     assert kept == sorted(set(least))
+
+
+def test_chat_rows_that_repeat_a_turn_or_have_none_all_stay(spark, tmp_path):
+    talks = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, "assistant", "y"), (1, None, "assistant", "x"), (2, None, None, "q"), (2, None, "assistant", None), (None, 3, "user", "<s>"), (None, 3, "assistant", "\\")]
+    spark.createDataFrame(talks, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    found = {r.conv_id: r for r in Q["op9"](spark, str(tmp_path)).collect()}
+    for conv in (1, 2, None):
+        rows = sorted((t is None, t or 0, r or "", x or "") for c, t, r, x in talks if c == conv)
+        said = "".join(x for *_, r, x in rows if r == "assistant")
+        assert found[conv].n_turns == len(rows)
+        assert found[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for *_, r, x in rows).encode()).hexdigest()
+        assert (found[conv].loss_chars, found[conv].loss_sha256) == (len(said), hashlib.sha256(said.encode()).hexdigest())
