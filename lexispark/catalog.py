@@ -456,9 +456,9 @@ def align_best(spark, sf_dir):
 
 @query()
 def align_terms(spark, sf_dir):
-    """Terms of the user's turn with the phrases of the answer, by hashed character n-grams."""
+    """All words of the user's turn with the phrases of the answer, by hashed character n-grams."""
     p = conv_pairs(spark, sf_dir).withColumn("pair_id", F.struct("conv_id", "turn"))
-    asked = p.select("pair_id", F.explode_outer(F.slice(T.words(F.col("source_text")), 1, 3)).alias("source_term")).filter("source_term IS NOT NULL").distinct()
+    asked = p.select("pair_id", F.explode_outer(T.words(F.col("source_text"))).alias("source_term")).filter("source_term IS NOT NULL").distinct()
     found = align.align(asked, p.select("pair_id", "target_text"), "pair_id", align.hashing_encoder())
     return found.select("pair_id.conv_id", "pair_id.turn", "source_term", "target_term", F.round("similarity", 4).alias("similarity"))
 
