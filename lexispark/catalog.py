@@ -454,6 +454,19 @@ def align_best(spark, sf_dir):
     return near.groupBy("id_a").agg(F.min_by("id_b", F.struct(-F.col("similarity"), F.col("id_b"))).alias("best"), F.max("similarity").alias("similarity"))
 
 
+@query()
+def align_cosine_all(spark, sf_dir):
+    """All pairs of vectors of cosine 0.3 or more, whatever their labels."""
+    return align.all_pairs(table(spark, sf_dir, "embeddings"), "vec_id", 0.3)
+
+
+@query()
+def align_best_all(spark, sf_dir):
+    """The nearest later vector of each vector among all, the form of align_best without labels."""
+    near = align.all_pairs(table(spark, sf_dir, "embeddings"), "vec_id", -2.0)
+    return near.groupBy("id_a").agg(F.min_by("id_b", F.struct(-F.col("similarity"), F.col("id_b"))).alias("best"), F.max("similarity").alias("similarity"))
+
+
 @query()
 def align_terms(spark, sf_dir):
     """All words of the user's turn with the phrases of the answer, by hashed character n-grams."""

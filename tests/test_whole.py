@@ -30,3 +30,17 @@ def test_align_terms_takes_every_word(spark, tmp_path):
     assert found.keys() == want.keys()
     assert all(abs(found[k] - want[k]) < 0.002 for k in want)
     assert {"green", "lantern"} <= {term for _, term, _ in found}
+
+
+def test_vectors_meet_all_others(spark, small):
+    from lexispark.operators import align
+
+    vectors = spark.read.parquet(f"{small}/embeddings.parquet")
+    rows = {r.vec_id: np.array(r.embedding, dtype=float) / np.linalg.norm(r.embedding) for r in vectors.collect()}
+    every = {(a, b): round(float(rows[a] @ rows[b]), 6) for a in rows for b in rows if a < b}
+    want = {k for k, v in every.items() if v >= 0.3}
+    for found in (catalog.align_cosine_all(spark, small), align.all_pairs(vectors, "vec_id", 0.3, block=40)):
+        pairs = [(r.id_a, r.id_b) for r in found.collect()]
+        assert len(pairs) == len(set(pairs)) and set(pairs) == want
+    best = {r.id_a: r.best for r in catalog.align_best_all(spark, small).collect()}
+    assert best == {a: min((-v, b) for (x, b), v in every.items() if x == a)[1] for a in {x for x, _ in every}}
