@@ -620,9 +620,20 @@ def canonical_resolve(spark, sf_dir):
     return dedupe.resolve(t.select(F.col("term").alias("source_term")), cmap).select("source_term", "canonical")
 
 
+@query()
+def similar_groups_all(spark, sf_dir):
+    """The groups over all tokens; similar_groups has SQL and takes ASCII words of six letters or more."""
+    return dedupe.similar_groups(S.doc_tokens(spark, sf_dir)).select("kind", "reason", F.array_join("members", "|").alias("members"))
+
+
+@query()
+def case_canonical_all(spark, sf_dir):
+    return dedupe.case_canonical(S.doc_tokens(spark, sf_dir))
+
+
 @query()
 def group_decisions(spark, sf_dir):
-    groups = dedupe.similar_groups(S.ascii_terms(spark, sf_dir))
+    groups = dedupe.similar_groups(S.doc_tokens(spark, sf_dir))
     return dedupe.decide_groups(groups).select("group_key", "action", "canonical", "reason")
 
 
@@ -785,7 +796,7 @@ def user_prompts(spark, sf_dir):
 
 @query()
 def decision_tallies(spark, sf_dir):
-    return dedupe.tallies(dedupe.decide_groups(dedupe.similar_groups(S.ascii_terms(spark, sf_dir))))
+    return dedupe.tallies(dedupe.decide_groups(dedupe.similar_groups(S.doc_tokens(spark, sf_dir))))
 
 
 @query(

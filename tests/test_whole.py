@@ -44,3 +44,28 @@ def test_vectors_meet_all_others(spark, small):
         assert len(pairs) == len(set(pairs)) and set(pairs) == want
     best = {r.id_a: r.best for r in catalog.align_best_all(spark, small).collect()}
     assert best == {a: min((-v, b) for (x, b), v in every.items() if x == a)[1] for a in {x for x, _ in every}}
+
+
+def test_groups_take_every_token(spark, tmp_path):
+    words = "soft. soft v-neck vneck 12cm 12-cm 50% 50 café cafés Wool wool robbed ribbed (pu pu"
+    spark.createDataFrame([(1, words)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    terms, path = words.split(), str(tmp_path)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    far = lambda a, b: 1 if max(len(a), len(b)) <= 8 else 2
+    want = {(a, b) for a in terms for b in terms if a < b and 1 <= distance(a.lower(), b.lower()) <= far(a, b)}
+    groups = catalog.similar_groups_all(spark, path).collect()
+    found = {tuple(sorted(r.members.split("|"))) for r in groups}
+    assert want <= found, want - found
+    assert {"punctuation", "levenshtein"} == {r.kind for r in groups}
+    reasons = {r.reason for r in catalog.group_decisions(spark, path).collect()}
+    assert "edge signs" in reasons
+    assert {r.reason for r in catalog.decision_tallies(spark, path).collect()} == reasons
+    assert {r.term for r in catalog.case_canonical_all(spark, path).collect()} == set(terms)
