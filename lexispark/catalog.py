@@ -699,6 +699,12 @@ def deduplicated_glossary(spark, sf_dir):
     return curation.deduplicated_glossary(c, none)
 
 
+@query()
+def merged_glossary(spark, sf_dir):
+    """The whole export with the merges that the rules decide; deduplicated_glossary has SQL and takes none."""
+    return curation.deduplicated_glossary(S.candidates(spark, sf_dir))
+
+
 MEASURES = [("100 cm",), ("82%",), ("60x60",), ("18x25 cm",), ("180 80 cm",), ("12 x",), ("10,000 mm water column",), ("23 cm Shoulder strap",), ("width cm",), ("5-pack",), ("cm",), ("Inches",)]
 
 

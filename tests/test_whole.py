@@ -69,3 +69,11 @@ def test_groups_take_every_token(spark, tmp_path):
     assert "edge signs" in reasons
     assert {r.reason for r in catalog.decision_tallies(spark, path).collect()} == reasons
     assert {r.term for r in catalog.case_canonical_all(spark, path).collect()} == set(terms)
+
+
+def test_the_glossary_holds_the_merges(spark, monkeypatch):
+    rows = [(1, "contain wool", "de-DE", "enthält Wolle", 0.5, 1), (2, "contains wool", "sv-SE", "innehåller ull", 0.6, 1), (3, "ribbed hem", "de-DE", "Saum", 0.5, 1), (4, "Ribbed hem", "de-DE", "Rippsaum", 0.9, 1)]
+    table = spark.createDataFrame(rows, "id long, source_term string, target_locale string, target_term string, final_score double, frequency long")
+    monkeypatch.setattr(catalog.S, "candidates", lambda *_: table)
+    found = {r.en: (r["de-DE"], r["sv-SE"]) for r in catalog.merged_glossary(spark, "").collect()}
+    assert found == {"contains wool": ("enthält Wolle", "innehåller ull"), "ribbed hem": ("Rippsaum", "")}
