@@ -497,9 +497,9 @@ TAGS = {w: "A" for w in "the of and is in to small red blue hot wide slim high".
 
 @query()
 def pattern_match_spans(spark, sf_dir):
-    b = table(spark, sf_dir, "benchmark").withColumn("tokens", terms.token_spans(F.col("text")))
+    b = table(spark, sf_dir, "documents").withColumn("tokens", terms.token_spans(F.col("text")))
     spans = b.withColumn("s", terms.deoverlap(terms.pattern_spans("tokens", terms.lexicon_tagger(TAGS), "text")))
-    return spans.select("item_id", F.size("s").alias("n_spans"), F.array_join(F.transform("s", lambda x: x["text"]), "|").alias("texts"))
+    return spans.select("doc_id", F.size("s").alias("n_spans"), F.array_join(F.transform("s", lambda x: x["text"]), "|").alias("texts"))
 
 
 SPAN_SETS = {1: [(0, 5, "a"), (2, 9, "b"), (9, 10, "c")], 2: [(0, 4, "a"), (0, 9, "b"), (3, 6, "c")], 3: [], 4: [(5, 6, "x"), (0, 9, "y"), (1, 12, "z"), (12, 13, "w")]}
@@ -513,7 +513,7 @@ def span_deoverlap(spark, sf_dir):
 
 @query()
 def extract_terms(spark, sf_dir):
-    return terms.extract(table(spark, sf_dir, "benchmark"), "item_id", "text", terms.lexicon_tagger(TAGS))
+    return terms.extract(table(spark, sf_dir, "documents"), "doc_id", "text", terms.lexicon_tagger(TAGS))
 
 
 @query(
@@ -534,12 +534,12 @@ def keywords_topk(spark, sf_dir):
 
 @query()
 def keyword_fallback(spark, sf_dir):
-    return terms.keywords(table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return terms.keywords(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query()
 def keyness(spark, sf_dir):
-    return terms.yake_features(table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return terms.yake_features(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 # --- duplicates ---

@@ -77,3 +77,10 @@ def test_the_glossary_holds_the_merges(spark, monkeypatch):
     monkeypatch.setattr(catalog.S, "candidates", lambda *_: table)
     found = {r.en: (r["de-DE"], r["sv-SE"]) for r in catalog.merged_glossary(spark, "").collect()}
     assert found == {"contains wool": ("enthält Wolle", "innehåller ull"), "ribbed hem": ("Rippsaum", "")}
+
+
+def test_extraction_reads_the_documents(spark, tmp_path):
+    texts = [(k, f"soft cotton shirt number{k} with wide sleeves") for k in range(5)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("pattern_match_spans", "extract_terms", "keyword_fallback", "keyness"):
+        assert {r.doc_id for r in catalog.QUERIES[name](spark, str(tmp_path)).select("doc_id").collect()} == set(range(5)), name
