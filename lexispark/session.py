@@ -6,12 +6,16 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIRS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_SCOPE: ContextVar[list[DataFrame] | None] = ContextVar("lexispark_scope", default=None)
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -35,11 +39,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster (spark.checkpoint.dir).
 
-    Only where neither the session nor the context names one (tests), a local folder is made.
+    Where neither the session nor the context names one, a local master gets a folder of its own (tests); any other
+    master is refused, as its executors share no local folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
         _OWN_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="lexispark-")
@@ -60,27 +67,60 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(archive))
 
 
-def scratch_table(df: DataFrame, name: str) -> DataFrame:
+def _hadoop_path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def scratch_table(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Cut the lineage of df: write it once below the shared folder and read it back.
 
-    The files outlive any executor, so a later stage never recomputes what stands above.
+    The files outlive any executor, so a later stage never recomputes what stands above. They are deleted when the
+    innermost scratch_scope ends (with keep: when the one around it ends), by drop_scratch, or at the end of the application.
     """
     spark = df.sparkSession
     ship(spark)
     path = f"{scratch_dir(spark).rstrip('/')}/lexispark/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    fs, found = _hadoop_path(spark, path)
+    fs.deleteOnExit(found)
     out = spark.read.schema(df.schema).parquet(path)
     out._lexispark_path = path
+    out._lexispark_keep = keep
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(out)
     return out
 
 
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Drop the scratch tables that are made inside, but for kept ones, when the scope ends.
+
+    Results of operators are read lazily: whoever opens a scope writes the result inside it.
+    """
+    outer, made = _SCOPE.get(), []
+    token = _SCOPE.set(made)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for df in made:
+            if df._lexispark_keep:
+                df._lexispark_keep = False
+                if outer is not None:
+                    outer.append(df)
+            else:
+                drop_scratch(df)
+
+
 def drop_scratch(df: DataFrame) -> None:
     """Delete the files of a scratch table that nothing will read again."""
     path = getattr(df, "_lexispark_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        fs, found = _hadoop_path(df.sparkSession, path)
+        fs.delete(found, True)
+        fs.cancelDeleteOnExit(found)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
