@@ -8,15 +8,16 @@ depends on the capacity and not on the number of documents, and the histogram of
 
 Grouping genetic algorithm over such solutions: crossover takes whole well-filled bins of one parent, keeps of
 the other parent's bins those that repeat no document (no length beyond its count), and best-fits the documents
-so displaced, longest first; mutation dissolves the worst filled bins and best-fits their documents. Islands are rows of a DataFrame that
+so displaced, longest first; mutation dissolves the worst filled bins and packs their documents anew. Before best-fit, displaced
+documents are swapped against one or two smaller ones of a bin with room, so that bins get full and small documents remain. Islands are rows of a DataFrame that
 evolve in separate tasks; after each epoch every island's best goes to the next island. The state between epochs is
 written to the shared folder, and all random choices have seeds, so reruns agree.
 
 The best solution is laid out over the documents: documents of a length are ranked in two levels (within a salt, and over the
 salts' counts), and a table of at most some thousand rank ranges gives each its sequence and offset.
 
-Tokens: tiktoken's encoder over the ranks that the tokenizer file holds; where it fails on a text, the
-library tokenizers encodes that text from the same file. Both give the same ids.
+Tokens: tiktoken's encoder over the ranks that the tokenizer file holds; a text on which it fails, or that holds an added token
+of the file, is encoded by the library tokenizers. Both give the same ids.
 
 Defined results: a null text is empty and has the end id only; repeated rows are documents of their own; an empty table gives
 no rows. Other columns are ignored.
@@ -44,6 +45,10 @@ from lexispark.session import drop_scratch, scratch_table, table
 END_ID = 2
 SALT_ROWS = 16_000
 LEAST_SALTS = 16
+#: Swaps of one crossover or mutation; what they leave is best-fitted.
+SWAPS = 60
+#: Lengths whose pairs a swap may bring in at a time; all lengths take part as singles.
+PAIRED = 64
 
 
 @dataclass(frozen=True)
@@ -69,29 +74,37 @@ def _byte_letters() -> dict[str, int]:
 
 
 def encoder(path: str):
-    """A function from text to ids for a byte-level BPE file of the library tokenizers; one per worker process."""
+    """A function from text to the ids that the library tokenizers gives; one per worker process.
+
+    A text that holds one of the file's added tokens, or on which the fast encoder fails, goes to the library itself.
+    """
     if path not in _encoders:
         import public_tokenizers
         import tiktoken
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            held = json.load(f)
+        vocabulary, marks = held["model"]["vocab"], [t["content"] for t in held.get("added_tokens") or []]
         letters = _byte_letters()
-        ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if all(c in letters for c in token)}
-        ranks.pop(b"<|endoftext|>", None)
+        ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if token not in marks and all(c in letters for c in token)}
         fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        library: list[Tokenizer] = []
+
+        def slow(text: str) -> list[int]:
+            if not library:
+                library.append(Tokenizer.from_file(path))
+            return library[0].encode(text, add_special_tokens=False).ids
 
         def encode(text: str) -> list[int]:
+            if any(m in text for m in marks):
+                return slow(text)
             try:
                 return fast.encode_ordinary(text)
             except BaseException as failed:  # a panic of the native code is no Exception
                 if isinstance(failed, (KeyboardInterrupt, SystemExit)):
                     raise
-                from tokenizers import Tokenizer
-
-                slow = Tokenizer.from_file(path)
-                slow.encode_special_tokens = True
-                return slow.encode(text, add_special_tokens=False).ids
+                return slow(text)
 
         _encoders[path] = encode
     return _encoders[path]
@@ -182,6 +195,52 @@ def fitness(bins: Solution, capacity: int) -> tuple[int, float]:
     return -count, sum(n * (sum(f) / capacity) ** 2 for f, n in bins.items()) / max(count, 1)
 
 
+def improve(need: Counter, bins: Solution, capacity: int, rng: random.Random, most: int) -> tuple[Counter, Solution]:
+    """Swap one or two lengths of need for one or two of a bin with room, where that fills the bin better.
+
+    Lengths left in need get smaller and easier to place; bins get full. A swap applies to as many equal bins at once as need has lengths for.
+    At most `most` swaps are made.
+    """
+    need, bins = +need, Counter(bins)
+    order = [f for f in bins if sum(f) < capacity]
+    rng.shuffle(order)
+    sums: dict[int, Filling] = {}
+    reach = [0] * (capacity + 1)
+
+    def gather() -> None:
+        """Sums of one or two lengths of need, and the largest at or below each size."""
+        sums.clear()
+        lengths = sorted(need)
+        some = sorted(rng.sample(lengths, min(len(lengths), PAIRED)))
+        sums.update({x + y: (x, y) for i, x in enumerate(some) for y in some[: i + 1] if x + y <= capacity and (x != y or need[x] > 1)})
+        sums.update({x: (x,) for x in lengths})
+        for size in range(1, capacity + 1):
+            reach[size] = size if size in sums else reach[size - 1]
+
+    gather()
+    for filling in order:
+        while most and need and bins[filling] and (room := capacity - sum(filling)):
+            outs = {(x,) for x in filling} | {(filling[i], filling[j]) for i in range(len(filling)) for j in range(i + 1, min(len(filling), i + 8))}
+            gain, out = max((reach[sum(o) + room] - sum(o), o) for o in outs)
+            if gain <= 0:
+                break
+            into = sums[sum(out) + gain]
+            times = min(bins[filling], *(need[x] // into.count(x) for x in into))
+            if not times:  # swapped away meanwhile
+                gather()
+                continue
+            rest = Counter(filling) - Counter(out) + Counter(into)
+            bins[filling] -= times
+            for x in into:
+                need[x] -= times
+            for x in out:
+                need[x] += times
+            need, filling, most = +need, tuple(sorted(rest.elements(), reverse=True)), most - 1
+            bins[filling] += times
+    bins += Counter()
+    return need, bins
+
+
 def crossover(one: Solution, two: Solution, demand: Counter, capacity: int, rng: random.Random) -> Solution:
     """Inject well-filled bins of two into one."""
     fill = sorted(two, key=lambda f: (-sum(f), f))
@@ -197,7 +256,7 @@ def crossover(one: Solution, two: Solution, demand: Counter, capacity: int, rng:
             child[f] += keep
             for length, times in own.items():
                 need[length] -= keep * times
-    return best_fit(+need, child, capacity)
+    return best_fit(*improve(+need, child, capacity, rng, SWAPS), capacity)
 
 
 def mutate(bins: Solution, capacity: int, rng: random.Random) -> Solution:
@@ -216,7 +275,7 @@ def mutate(bins: Solution, capacity: int, rng: random.Random) -> Solution:
                 kept[tuple(sorted((length, other), reverse=True))] += n
                 need[length] -= n
                 need[other] -= n
-    return best_fit(+need, kept, capacity)
+    return best_fit(*improve(+need, kept, capacity, rng, SWAPS), capacity)
 
 
 def first_solution(demand: Counter, capacity: int, rng: random.Random, k: int) -> Solution:
