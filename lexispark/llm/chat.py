@@ -1,9 +1,10 @@
 """Chat formatting by event-sourced reconstruction, in DataFrame operations only.
 
 The log has one event per row: conv_id, seq, turn, kind, role, text. Events of a turn are folded in
-the order of seq: `message` and `edit` set the text, `delta` appends to it, `regenerate` sets it anew
-(deltas after it build the new version) and `delete` removes the turn, which a later `message`,
-`edit` or `regenerate` brings back. The final messages of a conversation, in the order of turn, are rendered:
+the order of seq: `message` opens a message of its own, so rows that repeat a turn all stay; the other kinds address the
+last opened one (or open the first). `edit` sets its text, `delta` appends to it, `regenerate` sets it anew (deltas after it build
+the new version) and `delete` removes it, until an `edit` or `regenerate` brings it back. The final
+messages of a conversation, in the order of turn and opening, are rendered:
 
     <s>[INST]role[/INST]text</s>
 
@@ -16,12 +17,12 @@ Folding turns first spreads the deltas of a conversation over tasks by (conv_id,
 ends as one string, so its final messages do meet in one row; that is the result's own size.
 
 Defined results: a null text or role is empty; events of a turn with equal seq are ordered by kind, role and
-text; a null turn comes first; an unknown kind counts as `message`; an empty log gives no rows; other columns are ignored.
+text; a null turn comes last; a null or unknown kind counts as `message`; an empty log gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.session import table
@@ -41,24 +42,31 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
+#: Kinds of events that address an open message.
+ADDRESSING = ("delta", "edit", "regenerate", "delete")
+
+
 def fold(events: DataFrame) -> DataFrame:
-    """One row per conversation: conv_id and messages, an array of (turn, role, text) in the order of turn."""
+    """One row per conversation: conv_id and messages, an array of (last, turn, item, role, text) in the order of turn and opening."""
     sets = lambda e: ~e["kind"].isin("delta", "delete")
-    turns = (
-        events.select("conv_id", "turn", F.struct("seq", F.coalesce("kind", F.lit("message")).alias("kind"), "role", "text").alias("__lx_e"))
-        .groupBy("conv_id", "turn")
-        .agg(F.array_sort(F.collect_list("__lx_e")).alias("__lx_es"))
+    text = F.coalesce("text", F.lit(""))
+    order = Window.partitionBy("conv_id", "turn").orderBy("seq", "kind", F.coalesce("role", F.lit("")), "text").rowsBetween(Window.unboundedPreceding, 0)
+    messages = (
+        events.select("conv_id", "turn", "seq", F.coalesce("kind", F.lit("message")).alias("kind"), "role", text.alias("text"))
+        .withColumn("item", F.sum(F.when(F.col("kind").isin(*ADDRESSING), 0).otherwise(1)).over(order))
+        .groupBy("conv_id", "turn", "item")
+        .agg(F.array_sort(F.collect_list(F.struct("seq", "kind", "role", "text"))).alias("__lx_es"))
         .withColumn("__lx_from", F.array_max(F.transform("__lx_es", lambda e, i: F.when(sets(e), i + 1).otherwise(1))))
         .withColumn("__lx_gone", F.array_max(F.transform("__lx_es", lambda e, i: F.when(e["kind"] == "delete", i + 1).otherwise(0))))
         .withColumn("__lx_live", F.slice("__lx_es", F.col("__lx_from"), F.size("__lx_es")))
         .filter((F.col("__lx_gone") == 0) | (F.col("__lx_gone") < F.col("__lx_from")))
     )
     message = F.struct(
-        "turn",
+        F.col("turn").isNull().alias("last"), "turn", "item",
         F.element_at(F.concat(F.array(F.lit("")), F.filter(F.transform("__lx_es", lambda e: e["role"]), lambda r: r.isNotNull())), -1).alias("role"),
-        F.array_join(F.transform("__lx_live", lambda e: F.coalesce(e["text"], F.lit(""))), "").alias("text"),
+        F.array_join(F.transform("__lx_live", lambda e: e["text"]), "").alias("text"),
     )
-    return turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(message)).alias("messages"))
+    return messages.groupBy("conv_id").agg(F.array_sort(F.collect_list(message)).alias("messages"))
 
 
 def render(conversations: DataFrame) -> DataFrame:
@@ -124,20 +132,16 @@ def read_back(rendered: DataFrame) -> DataFrame:
     )
 
 
-def messages(rows: DataFrame) -> DataFrame:
-    """Conversations of plain rows (conv_id, turn, role, text): every row is a message of its own.
-
-    Rows that repeat a turn follow each other in the order of role and text. A null turn comes last, as in op9's SQL.
-    """
-    clean = F.struct(F.col("turn").isNull().alias("last"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(clean)).alias("messages"))
+def events_of(rows: DataFrame) -> DataFrame:
+    """The log of plain rows (conv_id, turn, role, text): each is a `message` event, and rows that repeat a turn are ordered by role and text."""
+    return rows.select("conv_id", F.lit(0).alias("seq"), "turn", F.lit("message").alias("kind"), "role", "text")
 
 
 def op9_chat_format(spark, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
-    return read_back(render(messages(rows.unionByName(extra))))
+    return read_back(render(fold(events_of(rows.unionByName(extra)))))
 
 
 OP9_SQL = r"""
@@ -153,7 +157,7 @@ e AS (
 SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        sum(length(role) + length(escaped) + length('<s>[INST][/INST]</s>'))::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
