@@ -3,19 +3,21 @@
 A fingerprint has 64 bits, so 8 bytes at fixed positions. Two fingerprints that differ in at most 2 bits differ in at
 most 2 bytes: they share at least 6 of the 8 positional bytes, the guaranteed minimum.
 
-A posting list per single byte would hold one fingerprint in 256 and make pairs by the square of that. Of four
-blocks of two adjacent bytes, at least two are shared by any linked pair, so the index has a list per pair of blocks:
-the intersection of four byte lists, of 32 bits. Pairs of a list tally all their shared positional bytes; those that reach 6
-are kept and their bits verified. Equal fingerprints are one entry, so exact copies make no pairs.
+A posting (position, byte) of one byte holds one fingerprint in 256, too many to pair. So each such list is sub-split by four bytes: of four
+blocks of two adjacent bytes, at least two are shared by any linked pair, and the six pairs of blocks are the fewest sets of four positions
+of which every six positions hold one. Within a sub-list (pair of blocks and its value) its own four bytes are shared and
+count 4; the lists of the other four positions are read, and a pair's entries in them are tallied by a grouped count. Pairs that reach 6 are kept and
+their bits verified. Equal fingerprints are one entry, so exact copies make no pairs.
 
-A list of more than LONG entries is not paired. Its members have four bytes in common and may differ in 2 of the other
+A sub-list of more than LONG entries is not paired. Its members have four bytes in common and may differ in 2 of the other
 32 bits, which holds exactly if they share a value at distance 1 or 0. Each member names those 33 values, and
-all that name a value are linked to the least of them. That is exact, and linear in the list. Every link, from
-either way, is tallied and verified. Components come from repeated contraction (components.py).
+all that name a value are linked to the least of them. That is exact, and linear in the list. These links are tallied
+byte by byte and verified as well. Components come from repeated contraction (components.py).
 
 Defined results: a null text is empty; a text without words has fingerprint zero and is linked like any other; a text of
 one or two words has one shingle; repeated rows are linked; a null id belongs to its component but never names it,
-unless all ids are null; an empty table gives no rows. Other columns are ignored.
+unless all ids are null; an empty table gives no rows. Other columns are ignored. `keep_one` keeps one row of each
+component: the smallest id (null last), of rows that share it the one whose text has the least hash, of equal rows any one.
 """
 
 from __future__ import annotations
@@ -53,6 +55,18 @@ def _shingle_hashes(words: list[bytes]) -> list[int]:
     return [digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[SHINGLE - 1 :], strict=False)]
 
 
+def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For consecutive runs of hashes: the 64 bits that are set in over half of each run; 0 for an empty run."""
+    rows = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    ones = np.zeros((len(counts), 64), dtype=np.int64)
+    for at in range(0, len(rows), _ROWS):
+        own = owner[at : at + _ROWS]
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        ones[own[first]] += np.add.reduceat(np.unpackbits(rows[at : at + _ROWS], axis=1), first, axis=0, dtype=np.int32)
+    return np.packbits((ones * 2 > counts[:, None]).astype(np.uint8), axis=1).view(">u8").ravel().astype(np.uint64)
+
+
 def fingerprints(texts: pa.Array) -> pa.Array:
     """The fingerprints of the texts as signed longs."""
     out = np.zeros(len(texts), dtype=np.uint64)
@@ -62,17 +76,7 @@ def fingerprints(texts: pa.Array) -> pa.Array:
             found = _shingle_hashes(words) if (words := data[a:b].split()) else []
             counts.append(len(found))
             hashes += found
-        if not hashes:
-            continue
-        rows = np.array(hashes, dtype=np.uint64).astype(">u8").view(np.uint8).reshape(-1, 8)
-        owner = np.repeat(np.arange(part.rows), counts)
-        ones = np.zeros((part.rows, 64), dtype=np.int64)
-        for at in range(0, len(rows), _ROWS):
-            own = owner[at : at + _ROWS]
-            first = np.flatnonzero(np.diff(own, prepend=-1))
-            ones[own[first]] += np.add.reduceat(np.unpackbits(rows[at : at + _ROWS], axis=1), first, axis=0, dtype=np.int32)
-        major = (ones * 2 > np.array(counts)[:, None]).astype(np.uint8)
-        out[part.first : part.first + part.rows] = np.packbits(major, axis=1).view(">u8").ravel().astype(np.uint64)
+        out[part.first : part.first + part.rows] = majority(np.array(hashes, dtype=np.uint64), np.array(counts))
     return pa.array(out.view(np.int64))
 
 
@@ -95,45 +99,76 @@ def links(distinct: DataFrame) -> DataFrame:
     sizes = postings.groupBy("key").count().filter("count > 1")
     lists = scratch_table(postings.join(sizes, "key"), "simhash-lists")
     short, long_ = lists.filter(F.col("count") <= LONG), lists.filter(F.col("count") > LONG)
-    left, right = short.select("key", F.col("fp").alias("a")), short.select("key", F.col("fp").alias("b"))
-    pairs = left.join(right, "key").filter("a < b").select("a", "b")
+    pair = (F.shiftrightunsigned("key", 32) + 1).cast("int")
+    outside = F.element_at(F.lit([[p for p in range(8) if p // 2 not in blocks] for blocks in BLOCKS]), pair)
+    byte = lambda p: F.call_function("shiftrightunsigned", F.col("fp"), p * 8).bitwiseAND(F.lit(0xFF))
+    bytes_ = short.select("key", "fp", F.explode(F.transform(outside, lambda p: F.struct(p.alias("position"), byte(p).alias("byte")))).alias("posting"))
+    left, right = bytes_.withColumnRenamed("fp", "a"), bytes_.withColumnRenamed("fp", "b")
+    tally = left.join(right, ["key", "posting"]).filter("a < b").groupBy("key", "a", "b").count()
+    pairs = tally.filter(F.col("count") + 4 >= LEAST_SHARED).select("a", "b")
     free = F.element_at(
-        F.array(*[F.array(*[F.lit(0), *[F.lit((1 << (16 * i + n)) - (1 << 64 if 16 * i + n == 63 else 0)) for i in range(4) if i not in pair for n in range(16)]]).cast("array<bigint>") for pair in BLOCKS]),
-        (F.shiftrightunsigned("key", 32) + 1).cast("int"),
+        F.array(*[F.array(*[F.lit(0), *[F.lit((1 << (16 * i + n)) - (1 << 64 if 16 * i + n == 63 else 0)) for i in range(4) if i not in blocks for n in range(16)]]).cast("array<bigint>") for blocks in BLOCKS]),
+        pair,
     )
     near = long_.select("key", "fp", F.explode(F.transform(free, lambda bit: F.col("fp").bitwiseXOR(bit))).alias("value"))
     hubs = near.groupBy("key", "value").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).filter("n > 1")
     stars = near.join(hubs, ["key", "value"]).filter("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
     a, b = F.col("a"), F.col("b")
-    return pairs.union(stars).filter((shared_bytes(a, b) >= LEAST_SHARED) & (F.bit_count(a.bitwiseXOR(b)) <= DISTANCE)).distinct()
+    candidates = pairs.union(stars.filter(shared_bytes(a, b) >= LEAST_SHARED))
+    return candidates.filter(F.bit_count(a.bitwiseXOR(b)) <= DISTANCE).distinct()
+
+
+def text_key() -> Column:
+    """Tells the texts of rows that share an id apart."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def printed(docs: DataFrame) -> DataFrame:
+    """A written table of doc_id, text_key and fp."""
+    keyed = with_fingerprint(docs.select("doc_id", text_key().alias("text_key"), "text"), "fp")
+    return scratch_table(keyed.select("doc_id", "text_key", "fp"), "simhash-rows")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (long), component_id: the smallest id that links reach."""
-    rows = scratch_table(with_fingerprint(docs.select("doc_id", "text"), "fp").select("doc_id", "fp"), "simhash-rows")
+    """doc_id, text_key, fingerprint (long), component_id: the smallest id that links reach."""
+    rows = printed(docs)
     return named(rows, components(links(rows.select("fp").distinct())))
 
 
-def named(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows (doc_id, fp) with the smallest id of their component; roots: node and root of the classes that have links."""
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(of_class, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
+def firsts(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """fp, root and first for each class of rows (doc_id, text_key, fp). roots: node and root of the classes that have links.
 
+    first is the row of the component that stays: (last, doc_id, text_key, copies), the least by id, null ids last, and text.
+    """
+    each = rows.groupBy("fp", "doc_id", "text_key").agg(F.count("*").alias("copies"))
+    classes = each.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "copies")).alias("least"))
+    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return rooted.join(rooted.groupBy("root").agg(F.min("least").alias("first")), "root")
 
-def keep_one(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """The documents without near-duplicates: of each component, the one with the smallest id stays.
 
-    Rows that repeat an id and a text count as one document; a component of null ids keeps all its texts once.
-    found: doc_id and component_id from elsewhere than op8's links.
-    """
-    found = near_duplicates(docs) if found is None else found
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__lx_id")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__lx_id")), "left_semi")
-    repeats = docs.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id", "text"]) if repeats else kept
+def named(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (doc_id, text_key, fp) with the smallest id of their component."""
+    of_class = firsts(rows, roots).select("fp", F.col("first.doc_id").alias("component_id"))
+    return rows.join(of_class, "fp").select("doc_id", "text_key", F.col("fp").alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The documents without near-duplicates: of each component one row stays. rows and roots: as firsts() takes them."""
+    key = lambda id_, text: [F.coalesce(id_.cast("string"), F.lit("")), id_.isNull(), text]
+    names = ["__lx_id", "__lx_null", "__lx_text"]
+    found = firsts(rows, roots).select("root", "first.*").dropDuplicates(["root"])
+    stay = scratch_table(found.select(*[c.alias(n) for n, c in zip(names, key(F.col("doc_id"), F.col("text_key")), strict=True)], "copies"), "near-duplicates-stay")
+    keyed = docs.withColumns(dict(zip(names, key(F.col("doc_id"), text_key()), strict=True)))
+    kept = keyed.join(stay.filter("copies = 1"), names, "left_semi")
+    if stay.filter("copies > 1").limit(1).count():
+        kept = kept.unionByName(keyed.join(stay.filter("copies > 1"), names, "left_semi").dropDuplicates(names))
+    return kept.select(*docs.columns)
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents without near-duplicates by op8's links: of each component one row stays."""
+    rows = printed(docs)
+    return keep_first(docs, rows, components(links(rows.select("fp").distinct())))
 
 
 def op8_simhash_dedup(spark, sf_dir: str) -> DataFrame:
