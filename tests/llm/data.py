@@ -37,6 +37,9 @@ def edge_rows() -> list[tuple]:
         (13, base, "en", "b", len(base)),
         (13, base, "en", "b", len(base)),
         (None, "no id here at all", "en", "a", 17),
+        (None, base, "en", "b", len(base)),
+        (14, "hi <|endoftext|> you<|endoftext|>", "en", "c", 33),
+        (14, "the same id again", "en", "c", 17),
     ]
     for i in range(20, 60):
         text = prose(rng, rng.randint(30, 260))
@@ -55,6 +58,6 @@ def write_tables(spark: SparkSession, path: str, rows: list[tuple], extra: bool
     docs.repartition(3).write.mode("overwrite").parquet(f"{path}/documents.parquet")
     labels = [(r[0], 1 if r[0] % 3 else 0, int(r[0] % 5 == 0)) for r in rows if r[0] is not None and r[0] >= 20] + ([(None, 1, 1), (7, None, None)] if rows else [])
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{path}/labels.parquet")
-    talks = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (1, 2, None, ""), (2, 0, "assistant", "</s>[INST] \\"), (None, None, None, None)] if rows else []
+    talks = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (1, 2, None, ""), (2, 0, "assistant", "</s>[INST] \\"), (None, None, None, None), (3, 0, "user", "a"), (3, 1, "assistant", "b"), (3, 1, "assistant", "c"), (4, 0, "user", "x"), (4, 0, "user", "x"), (4, None, "assistant", "é<s>")] if rows else []
     spark.createDataFrame(talks, "conv_id long, turn long, role string, text string").write.mode("overwrite").parquet(f"{path}/conversations.parquet")
     return path
