@@ -221,20 +221,72 @@ def test_quality_of_held_out_rows_is_told(spark):
     assert np.mean(bad) < 0.05
 
 
-def test_fingerprints_and_edits(spark, edge):
-    rows = sorted(Q["op7"](spark, edge).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
-    docs = sorted(((d, t or "") for d, t, _ in texts(edge, spark)), key=lambda r: (r[0] is not None, r[0] or 0))
+def merkle(text):
+    """(root, sections, leaves) of a text: sections as (number of the first paragraph, hash, paragraphs)."""
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    cut = r"(?<=[.!?,;:|%&#*$]) "
+    paragraphs = [",".join(md5(x)[:12] for x in re.split(cut if re.search(cut, p) else " ", p)) for p in text.split("\n")]
+    sections, held = [], []
+    for i, p in enumerate(paragraphs):
+        held.append(p)
+        if i + 1 == len(paragraphs) or md5(p)[-1] in "048c":
+            sections.append((i + 1 - len(held), md5(" ".join(held))[:16], held))
+            held = []
+    return md5("".join(h for _, h, _ in sections)), sections, {x for p in paragraphs for x in p.split(",")}
+
+
+def differing(a, b):
+    """Numbers of paragraphs of b in sections that a lacks, whose branch no section of a that b lacks has; each branch once."""
+    (_, a, _), (_, b, _) = merkle(a), merkle(b)
+    of_a, of_b = {h for _, h, _ in a}, {h for _, h, _ in b}
+    lost = {p for _, h, held in a if h not in of_b for p in held}
+    out, seen = [], set()
+    for at, h, held in b:
+        for i, p in enumerate(held):
+            if h not in of_a and p not in lost and p not in seen:
+                seen.add(p)
+                out.append(at + i)
+    return out
+
+
+def test_fingerprints_and_edits(spark, edge, monkeypatch):
+    from lexispark.llm import merkle as M
+
+    signed = lambda t: xxhash.xxh64_intdigest(t.encode(), 42) - (1 << 64) * (xxhash.xxh64_intdigest(t.encode(), 42) >> 63)
+    docs = sorted(((d, t or "") for d, t, _ in texts(edge, spark)), key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])))
     want = collections.Counter()
     for (d, t), (_, after) in zip(docs, [*docs[1:], docs[0]], strict=True):
         half = len(t) // 2
-        want[(d, len(t), hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest())] += 1
-    assert by_row(rows, "doc_id", "n_chars", "edited_sha256") == want
-    prints = {}
-    for r, (_, t) in zip(rows, docs, strict=True):
-        assert prints.setdefault(t, r.fingerprint) == r.fingerprint
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
-    assert len(set(prints.values())) == len(prints)
-    assert any(r.near_next == 1 for r in rows)
+        edited = t[: len(t) - half] + after[:half]
+        prints = []
+        for x in (t, edited):
+            root, sections, _ = merkle(x)
+            prints.append("/".join([root, ",".join(f"{n}:{h}" for n, h, _ in sections), ";".join(" ".join(p) for *_, p in sections)]))
+        a, b, c = (merkle(x)[2] for x in (t, edited, after))
+        near = [round(2 * len(a & x) / (len(a) + len(x)), 9) for x in (b, c)]
+        want[(d, len(t), hashlib.sha256(edited.encode()).hexdigest(), *prints, *near, ",".join(map(str, sorted(differing(t, edited)))))] += 1
+    for rows_each in (M.RANGE_ROWS, 3):
+        monkeypatch.setattr(M.with_next, "__defaults__", (rows_each,))
+        got = collections.Counter()
+        for r in Q["op7"](spark, edge).collect():
+            got[(r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9), r.edited_paragraphs)] += 1
+        assert got == want
+
+
+def test_ranges_keep_the_order_and_cut_what_many_rows_share(spark):
+    from pyspark.sql import functions as F
+
+    from lexispark.llm.native import cut_ranges
+
+    rng = random.Random(2)
+    ids = [None] * 300 + [7] * 500 + [rng.randrange(-50, 50) for _ in range(300)] + [rng.choice([-(1 << 63), (1 << 63) - 1, 1 << 61]) for _ in range(30)] + list(range(10_000, 11_000))
+    rows = spark.createDataFrame([(i, str(k)) for k, i in enumerate(ids)], "id long, t string").withColumn("tie", F.xxhash64("t"))
+    ranges = cut_ranges(rows, "id", 20)
+    found = rows.select("id", "tie", ranges.group(F.col("id")).alias("g"), ranges.number(F.col("id"), F.col("tie")).alias("n")).collect()
+    found.sort(key=lambda r: (r.id is not None, r.id or 0, r.tie))
+    assert [(r.g, r.n) for r in found] == sorted((r.g, r.n) for r in found)
+    sizes = collections.Counter((r.g, r.n) for r in found)
+    assert max(sizes.values()) < 100 and len(sizes) > 60
 
 
 def test_differing_branches_name_the_changed_paragraphs(spark):
