@@ -4,19 +4,22 @@ S(w | context) is count(context w) / count(context) where the n-gram was seen at
 `alpha` times the score with a shorter context; for one word it is count(w) / all words. A document's score is the sum of
 the natural logs over its words, the first words with the context they have.
 
-Texts are packed into batches of a few MB. A batch's distinct n-grams of each order are keys of 48 bits;
-the count tables are partitioned by key range into buckets. Three steps, each a relation in a table or shuffle:
-requests (bucket, batch, keys, counts in the batch), count tables joined to the requests of their bucket and
-answered (batch, bucket, totals), and answers joined to their batch, where n-grams are exploded again and scored, and
+Texts are packed into batches of some MB. A batch's distinct n-grams of all orders are keys of one key space (an n-gram's length is part of its hash);
+the count table is partitioned by key range into buckets. Three steps, each a relation in a table or shuffle:
+requests (bucket, batch, keys with their counts in the batch); the count table of a bucket, summed from its requests and joined back to
+them (batch, bucket, totals); and answers joined to their batch, where n-grams are exploded again and scored, and
 scores summed per document. A batch asks once for an n-gram however often it occurs, so a frequent n-gram is
 no hot key: a bucket gets at most one request per batch for it. Sorted keys travel as differences
-and answers in the order of the requests, about 4 bytes a key and less than one an answer.
+and answers in the order of the requests, about 4.5 bytes a key and less than one an answer, and a cell (batch, bucket) is one row with two blobs.
+
+What travels follows the distinct n-grams of the batches, not the cells: a cell is sent only where a batch has keys in a bucket. A row for each
+n-gram instead (key, batch, count) takes over twice the bytes; see the README.
 
 Memory: a bucket holds about `bucket_keys` keys (the number of buckets follows from the size of the corpus), a batch about
-`batch_bytes` of text. A batch without keys in a bucket sends it nothing. Batches are written to the shared folder, so no later loss repeats the packing.
+`batch_bytes` of text. Batches are written to the shared folder, so no later loss repeats the packing.
 
-Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Two n-grams of one order that share a 48-bit key count together;
-among 10^9 distinct ones that holds for 4 in a million.
+Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Two n-grams that share a key of 56 bits count together; among 10^9 distinct
+ones that holds for 1 in 70 million, among 10^12 for 1 in 70,000.
 
 Defined results: a null text is empty; a text without words has score 0 and no mean; repeated rows are rows of
 their own and all count; ids may be null; an empty table gives no rows. Other columns are ignored.
@@ -48,11 +51,11 @@ class Backoff:
     order: int = 3
     alpha: float = 0.4
     least_count: int = 2
-    batch_bytes: int = 4 << 20
+    batch_bytes: int = 8 << 20
     bucket_keys: int = 4_000_000
 
 
-_KEY_BITS = 48
+_KEY_BITS = 56
 #: One context per worker process: making one costs more than squeezing a cell.
 _PACK, _PACK_TEXT, _UNPACK = zstandard.ZstdCompressor(level=1), zstandard.ZstdCompressor(level=6), zstandard.ZstdDecompressor()
 
@@ -102,6 +105,7 @@ def ngrams(lengths: list[int], texts: bytes, order: int) -> tuple[np.ndarray, li
     part = Slice(0, data, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64), True)
     starts, ends, doc = part.words()
     word = part.hashes(starts, ends)
+    del starts, ends, part
     out, key, at = [], word, np.arange(len(word))
     for n in range(order):
         if n:
@@ -113,60 +117,53 @@ def ngrams(lengths: list[int], texts: bytes, order: int) -> tuple[np.ndarray, li
     return doc, out
 
 
+REQUESTS = "bucket int, batch long, keys binary, counts binary"
+
+
 def _requests(order: int, buckets: int):
-    edges = (np.arange(buckets + 1, dtype=np.float64) * (1 << _KEY_BITS) / buckets).astype(np.uint64)
+    edges = np.array([(k << _KEY_BITS) // buckets for k in range(1, buckets)], dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for number, lengths, texts in zip(b.column("batch").to_pylist(), b.column("lengths").to_pylist(), b.column("texts").to_pylist(), strict=True):
-                keys, counts, held = [[] for _ in range(buckets)], [[] for _ in range(buckets)], np.zeros(buckets, dtype=np.int64)
-                for _, found in ngrams(lengths, texts, order)[1]:
-                    distinct, times = np.unique(found, return_counts=True)
-                    cut = np.searchsorted(distinct, edges)
-                    held += np.diff(cut)
-                    for k in range(buckets):
-                        part = distinct[cut[k] : cut[k + 1]]
-                        keys[k].append(_squeeze(np.diff(part, prepend=np.uint64(0))))
-                        counts[k].append(_squeeze(times[cut[k] : cut[k + 1]]))
-                filled = [k for k in range(buckets) if held[k]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(filled, pa.int32()), pa.array([number] * len(filled), pa.int64()),
-                        pa.array([keys[k] for k in filled], pa.list_(pa.binary())), pa.array([counts[k] for k in filled], pa.list_(pa.binary())),
-                    ],
-                    ["bucket", "batch", "keys", "counts"],
-                )
+                keys, counts = np.unique(np.concatenate([key for _, key in ngrams(lengths, texts, order)[1]]), return_counts=True)
+                cut = np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+                filled = np.flatnonzero(np.diff(cut))
+                each = [(_squeeze(np.diff(keys[cut[k] : cut[k + 1]], prepend=np.uint64(0))), _squeeze(counts[cut[k] : cut[k + 1]])) for k in filled]
+                row = [pa.array(filled, pa.int32()), pa.array([number] * len(filled), pa.int64()), pa.array([k for k, _ in each], pa.binary()), pa.array([n for _, n in each], pa.binary())]
+                yield pa.RecordBatch.from_arrays(row, ["bucket", "batch", "keys", "counts"])
 
     return run
 
 
-def _answers(order: int):
-    def run(requests: pa.Table) -> pa.Table:
-        batch, bucket = requests.column("batch"), requests.column("bucket")
-        keys, counts = requests.column("keys").to_pylist(), requests.column("counts").to_pylist()
-        totals: list[list[bytes]] = [[] for _ in keys]
-        for n in range(order):
-            each = [np.cumsum(_expand(k[n]), dtype=np.uint64) for k in keys]
-            distinct, at = np.unique(np.concatenate(each), return_inverse=True)
-            total = np.bincount(at, weights=np.concatenate([_expand(c[n]) for c in counts]), minlength=len(distinct)).astype(np.uint64)[at]
-            del distinct, at
-            for row, part in zip(totals, np.split(total, np.cumsum([len(e) for e in each])[:-1]), strict=True):
-                row.append(_squeeze(part))
-        return pa.table({"batch": batch, "bucket": bucket, "totals": pa.array(totals, pa.list_(pa.binary()))})
-
-    return run
+def _answers(requests: pa.Table) -> pa.Table:
+    """The count table of a bucket, joined to what each batch asked of it."""
+    each = [np.cumsum(_expand(k), dtype=np.uint64) for k in requests.column("keys").to_pylist()]
+    counts = np.concatenate([_expand(c) for c in requests.column("counts").to_pylist()])
+    cut = np.cumsum([0, *map(len, each)])
+    asked = np.concatenate(each)
+    del each
+    order = np.argsort(asked, kind="stable")
+    first = np.ones(len(asked), dtype=bool)
+    np.not_equal(asked[order[1:]], asked[order[:-1]], out=first[1:])
+    del asked
+    total = np.empty(len(order), dtype=np.uint64)
+    total[order] = np.add.reduceat(counts[order], np.flatnonzero(first))[np.cumsum(first) - 1]
+    totals = [_squeeze(total[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    return pa.table({"batch": requests.column("batch"), "bucket": requests.column("bucket"), "totals": pa.array(totals, pa.binary())})
 
 
 def _scores(model: Backoff, all_words: int):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         ids, lengths = texts.column("ids")[0].as_py(), texts.column("lengths")[0].as_py()
         doc, found = ngrams(lengths, texts.column("texts")[0].as_py(), model.order)
-        answers = answers.sort_by("bucket").column("totals").to_pylist()
-        log_s = np.zeros(len(doc))
-        shorter = None
-        for n, (at, key) in enumerate(found):
-            totals = np.concatenate([np.zeros(0, dtype=np.uint64), *[_expand(a[n]) for a in answers]])
-            count = totals[np.unique(key, return_inverse=True)[1]].astype(np.float64)
+        blobs = answers.sort_by("bucket").column("totals").to_pylist()
+        totals = np.concatenate([np.zeros(0, dtype=np.uint64), *map(_expand, blobs)])
+        counts = totals[np.unique(np.concatenate([key for _, key in found]), return_inverse=True)[1]].astype(np.float64)
+        log_s, shorter, taken = np.zeros(len(doc)), None, 0
+        for n, (at, _) in enumerate(found):
+            count = counts[taken : taken + len(at)]
+            taken += len(at)
             if n == 0:
                 log_s = np.log(count / all_words) if len(count) else log_s
             else:
@@ -187,10 +184,8 @@ def score(docs: DataFrame, model: Backoff = Backoff()) -> DataFrame:
     packed = scratch_table(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda rows: pack(rows, model.batch_bytes), PACKED), "lm-batches")
     all_words = int(packed.agg(F.sum("words")).first()[0] or 0)
     buckets = max(1, -(-all_words * model.order // model.bucket_keys))
-    requests = packed.select("batch", "lengths", "texts").mapInArrow(
-        _requests(model.order, buckets), "bucket int, batch long, keys array<binary>, counts array<binary>"
-    )
-    answers = requests.groupBy("bucket").applyInArrow(_answers(model.order), "batch long, bucket int, totals array<binary>")
+    requests = packed.select("batch", "lengths", "texts").mapInArrow(_requests(model.order, buckets), REQUESTS)
+    answers = requests.groupBy("bucket").applyInArrow(_answers, "batch long, bucket int, totals binary")
     return (
         packed.groupBy("batch").cogroup(answers.groupBy("batch"))
         .applyInArrow(_scores(model, all_words), "doc_id long, n_words long, log_score double")
