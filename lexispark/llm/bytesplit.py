@@ -28,18 +28,19 @@ SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_powers: dict[str, np.ndarray] = {}
+#: Bytes whose hash sums are held together.
+WINDOW = 1 << 18
+_powers: list[np.ndarray] = []
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse modulo 2**64."""
-    if "up" not in _powers or len(_powers["up"]) < n:
-        size = max(n, SLICE_BYTES + 1024)
-        for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
+def _power() -> list[np.ndarray]:
+    """The powers of the base and of its inverse modulo 2**64 over a window and a range that begins in it."""
+    if not _powers:
+        for base in (_BASE, _BASE_INVERSE):
+            steps = np.full(2 * WINDOW, base, dtype=np.uint64)
             steps[0] = 1
-            _powers[name] = np.cumprod(steps, dtype=np.uint64)
-    return _powers["up"][:n], _powers["down"][:n]
+            _powers.append(np.cumprod(steps, dtype=np.uint64))
+    return _powers
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,17 +58,41 @@ class Slice:
         self.rows = len(offsets) - 1
         self.offsets = offsets
         self.data = LOWER[data] if fold else data
-        self._sums: np.ndarray | None = None
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """64-bit hashes of the byte ranges, equal for equal bytes wherever they stand."""
-        up, down = _power(len(self.data) + 1)
-        if self._sums is None:
-            self._sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=self._sums[1:])
-        raw = (self._sums[ends] - self._sums[starts]) * down[starts]
+        """64-bit hashes of the byte ranges (in the order of their starts), equal for equal bytes wherever they stand.
+
+        Ranges are hashed through windows of about WINDOW bytes, so memory follows neither the slice nor the longest range.
+        """
+        raw, at = np.zeros(len(starts), dtype=np.uint64), 0
+        while at < len(starts):
+            low = int(starts[at])
+            long_ = int(ends[at]) - low > WINDOW
+            to = at + 1 if long_ else max(at + 1, int(np.searchsorted(starts, low + WINDOW)))
+            if long_:
+                raw[at] = self._long(low, int(ends[at]))
+            else:
+                s, e = starts[at:to] - low, ends[at:to] - low
+                whole = e - s <= WINDOW
+                data = self.data[low : low + int(e[whole].max())]
+                up, down = _power()
+                sums = np.zeros(len(data) + 1, dtype=np.uint64)
+                np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+                raw[at:to][whole] = (sums[e[whole]] - sums[s[whole]]) * down[s[whole]]
+                for k in np.flatnonzero(~whole):
+                    raw[at + k] = self._long(low + int(s[k]), low + int(e[k]))
+            at = to
         return mix(raw + (ends - starts).astype(np.uint64))
 
+    def _long(self, start: int, end: int) -> np.uint64:
+        """The sum of a range longer than a window, piece by piece."""
+        up, total = _power()[0], 0
+        for at in range(start, end, WINDOW):
+            data = self.data[at : min(at + WINDOW, end)]
+            part = int(((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)]).sum(dtype=np.uint64))
+            total += part * pow(int(_BASE), at - start, 1 << 64)
+        return np.uint64(total & ((1 << 64) - 1))
+
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, ends and text numbers of the words."""
         return self._runs((~WHITE[self.data]).view(np.uint8))
@@ -92,9 +117,8 @@ class Slice:
 
 
 def utf8(array: pa.Array) -> pa.Array:
-    if isinstance(array, pa.ChunkedArray):
-        array = array.combine_chunks()
-    return array.cast(pa.large_string())
+    array = array.cast(pa.large_string())  # first: chunks of over 2 GB together have no 32-bit offsets
+    return array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array
 
 
 def slices(array: pa.Array, fold: bool = False, limit: int = SLICE_BYTES) -> Iterator[Slice]:
@@ -115,7 +139,3 @@ def slices(array: pa.Array, fold: bool = False, limit: int = SLICE_BYTES) -> Ite
         yield Slice(at, data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at], fold)
         at = end
 
-
-def starts_of(group: np.ndarray, n: int) -> np.ndarray:
-    """For sorted group numbers 0..n-1: where each group begins, with the end appended."""
-    return np.searchsorted(group, np.arange(n + 1))

@@ -6,15 +6,22 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexispark.llm.bytesplit import utf8
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, positives: int, negatives: int) -> DataFrame:
-    """doc_id, text, label of at most positives + negatives labelled documents.
 
-    Rows whose crc32 of the id is held_out modulo modulus are left out. Of each class, the rows with the lowest
-    hash of the id are taken, so the sample depends on the ids alone. Its size is bounded, so its ids are broadcast.
+#: Bytes of text of a training sample at most, of either class half of them.
+SAMPLE_BYTES = 128 << 20
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, positives: int, negatives: int, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """doc_id, text, label of at most positives + negatives labelled documents and most_bytes of text.
+
+    Rows whose crc32 of the id is held_out modulo modulus are left out. Of each class, the documents with the lowest
+    hash of the id are taken until rows or bytes are full; where rows share an id, one text of the least hash is. So the sample depends on
+    the table alone. Its ids are bounded in number and broadcast.
     """
     usable = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -23,8 +30,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     )
     order = [F.xxhash64("__lx_id"), F.col("__lx_id")]
     ids = [usable.filter(F.col("__lx_label") == y).orderBy(*order).limit(n) for y, n in ((1, positives), (0, negatives))]
-    chosen = F.broadcast(ids[0].union(ids[1]))
-    return docs.join(chosen, F.col("doc_id") == F.col("__lx_id")).select("doc_id", "text", F.col("__lx_label").alias("label"))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("__lx_hash"))
+    found = rows.join(F.broadcast(ids[0].union(ids[1])), F.col("doc_id") == F.col("__lx_id"))
+    sizes = found.groupBy("__lx_id", "__lx_label").agg(F.min(F.struct(F.col("__lx_hash"), F.octet_length(F.coalesce("text", F.lit(""))).alias("bytes"))).alias("__lx_least"))
+    upto = Window.partitionBy("__lx_label").orderBy(*order)
+    chosen = sizes.withColumn("__lx_bytes", F.sum("__lx_least.bytes").over(upto)).filter(F.col("__lx_bytes") <= most_bytes // 2)
+    chosen = F.broadcast(chosen.select(F.col("__lx_id").alias("__lx_i"), F.col("__lx_least.__lx_hash").alias("__lx_h"), "__lx_label"))
+    texts = rows.join(chosen, (F.col("doc_id") == F.col("__lx_i")) & (F.col("__lx_hash") == F.col("__lx_h")))
+    return texts.groupBy("doc_id", F.col("__lx_label").alias("label")).agg(F.min("text").alias("text")).select("doc_id", "text", "label")
 
 
 def fit_in_task(sample: DataFrame, fit: Callable[[list[int], pa.Array, np.ndarray], np.ndarray]) -> np.ndarray:
@@ -36,7 +49,7 @@ def fit_in_task(sample: DataFrame, fit: Callable[[list[int], pa.Array, np.ndarra
         if rows is None or len(set(rows.column("label").to_pylist())) < 2:
             yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary())], ["model"])
             return
-        weights = fit(rows.column("doc_id").to_pylist(), rows.column("text").combine_chunks(), rows.column("label").to_numpy().astype(np.float64))
+        weights = fit(rows.column("doc_id").to_pylist(), utf8(rows.column("text")), rows.column("label").to_numpy().astype(np.float64))
         yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float32).tobytes()], pa.binary())], ["model"])
 
     got = [r[0] for r in sample.repartition(1).mapInArrow(run, "model binary").collect() if r[0] is not None]

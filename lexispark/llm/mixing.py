@@ -2,16 +2,18 @@
 
 Each document of a source expects `target / source_size` copies. The expected copies are prefix-summed
 within the source, one offset is added to the sums, and a copy is emitted for each integer that
-a document's step crosses. Documents stand in the order of their size class, a salt, their size and id:
-neighbours are alike in size, so the words taken stay within a few of the largest documents of the target.
+a document's step crosses. Documents stand in the order of their size class, a salt, their size, id and a key:
+neighbours are alike in size, so the words taken stay within a few of the largest documents of the target. The key hashes id and
+text and the salt is the key's remainder, so ids with a stride, null ids and repeated ids are spread over the salts, and rows that
+share size and id but not the text have a fixed order.
 
 The prefix sum has two levels. A block is (source, size class, salt); its rows are numbered in a window
 over the block, and the blocks' row counts are prefix-summed in a window over the source. A source that
 holds a third of all rows is so spread over hundreds of blocks, and no task sees more than a block's rows
-or a source's block counts.
+or a source's block counts. Targets depend on all sources at once: their sizes, one row each, meet in one task.
 
 Defined results: a null text has size 0; a null source is a source of its own, ordered last; repeated rows
-are separate documents; a source without words has target 0 and no copies; an empty table gives no rows.
+are separate documents (rows equal in source, size, id and text are interchangeable); a source without words has target 0 and no copies; an empty table gives no rows.
 Columns of the input besides text, source and doc_id pass through; names that begin with `__lx_` are reserved.
 """
 
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.llm.native import text_of, unit_interval, word_count
-from lexispark.session import scratch_table
+from lexispark.session import scratch_table, table
 
 #: Rows of a block at most, on average over the salts of a class that holds a third of all rows.
 BLOCK_ROWS = 16_000
@@ -85,15 +87,24 @@ def source_targets(blocks: DataFrame, mixture: Mixture) -> DataFrame:
     )
 
 
+#: What with_copies needs of a text.
+SIZED = ["__lx_size", "__lx_key"]
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """Add the size of each document and its key, 60 bits of an MD5 of id and text."""
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text_of()))
+    return docs.withColumns({"__lx_size": word_count(text_of()), "__lx_key": F.conv(F.substring(key, 1, 15), 16, 10).cast("long")})
+
+
 def with_copies(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
-    """The documents with size, source_size, target and copies added in one struct, `__lx_mix`."""
+    """The documents, as sized() returns them, with size, source_size, target and copies added in one struct, `__lx_mix`."""
     rows = docs.count()
     salts = max(LEAST_SALTS, -(-rows // (3 * BLOCK_ROWS)))
     keyed = (
         docs.withColumn("__lx_source", F.coalesce(F.concat(F.lit("1"), F.col("source")), F.lit("2")))
-        .withColumn("__lx_size", word_count(text_of()))
         .withColumn("__lx_class", size_class(F.col("__lx_size")))
-        .withColumn("__lx_salt", F.coalesce(F.pmod(F.col("doc_id"), F.lit(salts)), F.lit(0)).cast("int"))
+        .withColumn("__lx_salt", F.pmod("__lx_key", F.lit(salts)).cast("int"))
     )
     keys = BLOCK_KEYS
     blocks = scratch_table(
@@ -107,7 +118,7 @@ def with_copies(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     starts = (
         offsets.join(targets, "__lx_source").select(*keys, "__lx_before", F.col("source_size").alias("__lx_total"), F.col("target").alias("__lx_target"))
     )
-    in_block = Window.partitionBy(*keys).orderBy("__lx_size", "doc_id")
+    in_block = Window.partitionBy(*keys).orderBy("__lx_size", "doc_id", "__lx_key")
     numbered = keyed.withColumn("__lx_row", F.row_number().over(in_block))
     joined = numbered.join(starts, keys)
     each = F.when(F.col("__lx_total") > 0, F.col("__lx_target") / F.col("__lx_total")).otherwise(F.lit(0.0))
@@ -115,7 +126,7 @@ def with_copies(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     last = F.col("__lx_row") + F.col("__lx_before")
     copies = F.floor(each * last + offset) - F.floor(each * (last - 1) + offset)
     return joined.select(
-        *docs.columns,
+        *[c for c in docs.columns if c not in SIZED],
         F.struct(
             F.col("__lx_size").alias("size"),
             F.col("__lx_total").alias("source_size"),
@@ -127,15 +138,13 @@ def with_copies(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
 
 def mix(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     """The mixed documents: each row of docs as often as it is taken, with its own columns."""
-    out = with_copies(docs, mixture).filter("__lx_mix.copies > 0")
+    out = with_copies(sized(docs), mixture).filter("__lx_mix.copies > 0")
     return out.withColumn("__lx_copy", F.explode(F.sequence(F.lit(1), F.col("__lx_mix.copies")))).select(*docs.columns)
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
-    from lexispark.session import table
-
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return with_copies(docs).select(
+    light = sized(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
+    return with_copies(scratch_table(light, "mixing-rows")).select(
         "doc_id", "__lx_mix.size", "__lx_mix.source_size", "__lx_mix.target",
         (F.col("__lx_mix.copies") * F.col("__lx_mix.size")).alias("taken"),
     )
@@ -144,12 +153,13 @@ def op2_mixing(spark, sf_dir: str) -> DataFrame:
 OP2_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
-         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS key
   FROM documents
 ),
 keyed AS (
   SELECT *, length(bin(size + 1)) * 4 + ((size + 1) >> greatest(length(bin(size + 1)) - 3, 0)) AS cls,
-         coalesce(doc_id % greatest(16, CAST(ceil((SELECT count(*) FROM documents) / 48000.0) AS BIGINT)), 0) AS salt
+         key % greatest(16, CAST(ceil((SELECT count(*) FROM documents) / 48000.0) AS BIGINT)) AS salt
   FROM sized
 ),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
@@ -172,7 +182,7 @@ t AS (
 n AS (
   SELECT k.*, t.source_size, t.target, t.u,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS e,
-         row_number() OVER (PARTITION BY k.source ORDER BY k.cls, k.salt, k.size, k.doc_id) AS rn
+         row_number() OVER (PARTITION BY k.source ORDER BY k.cls, k.salt, k.size, k.doc_id NULLS FIRST, k.key) AS rn
   FROM keyed k JOIN t ON k.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,

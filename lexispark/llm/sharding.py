@@ -7,7 +7,8 @@ the sources in the proportions of the whole table, give or take one row per sour
 
 Both ranks have two levels: a block is a range of the hash within a source, or a range of the fractional
 rank; rows are numbered in a window over the block, and block counts are prefix-summed. A source with
-a third of all rows is spread evenly over its blocks. The order is total, so reruns agree.
+a third of all rows is spread evenly over its blocks. The order is total but for rows equal in id, text and source, which are
+interchangeable; reruns agree. What meets in one task is a block's rows (ids, sizes and checksums, no texts) and the counts of blocks.
 
 Defined results: a null text has no bytes and size 8 and the checksum of the empty text; a null source is a
 source of its own; repeated rows get places of their own (in the order of their checksums); an empty table gives
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexispark.llm.native import text_of
+from lexispark.llm.native import running_total, text_of
 from lexispark.session import scratch_table, table
 
 BLOCK_ROWS = 10_000
@@ -30,9 +31,12 @@ def place(rows: DataFrame, shards: int = 24, seed: str = "shard-1") -> DataFrame
     """Add shard and slot (place in the shard, from 0) to rows with doc_id, source and text_crc32."""
     total = rows.count()
     blocks = max(LEAST_BLOCKS, -(-total // BLOCK_ROWS))
-    keyed = rows.withColumn("__lx_source", F.coalesce(F.concat(F.lit("1"), F.col("source")), F.lit("2"))).withColumn("__lx_key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))).withColumn(
-        "__lx_block", F.floor(F.conv(F.substring("__lx_key", 1, 8), 16, 10).cast("double") * blocks / 4294967296.0).cast("int")
-    )
+    # the checksum is part of the key, so that rows without an id, or with one id, are spread over the blocks
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text_crc32").cast("string")))
+    keyed = (
+        rows.withColumn("__lx_source", F.coalesce(F.concat(F.lit("1"), F.col("source")), F.lit("2"))).withColumn("__lx_key", key)
+        .withColumn("__lx_block", F.floor(F.conv(F.substring("__lx_key", 1, 8), 16, 10).cast("double") * blocks / 4294967296.0).cast("int"))
+    )
     counts = scratch_table(keyed.groupBy("__lx_source", "__lx_block").count(), "shard-blocks")
     in_source = Window.partitionBy("__lx_source")
     counts = counts.select(
@@ -49,7 +53,7 @@ def place(rows: DataFrame, shards: int = 24, seed: str = "shard-1") -> DataFrame
         .withColumn("__lx_range", F.floor(F.col("__lx_fraction") * blocks).cast("int"))
     )
     ranges = ranked.groupBy(F.col("__lx_range").alias("__lx_r")).count()
-    ranges = ranges.select("__lx_r", (F.sum("count").over(Window.orderBy("__lx_r")) - F.col("count")).alias("__lx_start"))
+    ranges = running_total(ranges, "__lx_r", "count", "__lx_start").drop("count")
     in_range = Window.partitionBy("__lx_range").orderBy("__lx_fraction", "__lx_source", "__lx_rank")
     return (
         ranked.withColumn("__lx_place", F.row_number().over(in_range))

@@ -125,6 +125,70 @@ def test_shards_are_even_and_mixed(spark, edge, small):
         assert by_row(rows, "doc_id", "size", "text_crc32") == want
 
 
+def test_shards_are_cuts_of_the_interleaved_order(spark, edge, small):
+    """Every place by the definition, and every shard's share of each source within two rows of the mixture."""
+    for path in (edge, small):
+        docs = [(d, zlib.crc32((t or "").encode()), s) for d, t, s in texts(path, spark)]
+        sources = collections.defaultdict(list)
+        for d, c, s in docs:
+            key = hashlib.md5(f"shard-1:{'null' if d is None else d}:{c}".encode()).hexdigest()
+            sources["2" if s is None else "1" + s].append((key, d is not None, d or 0, c))
+        order = sorted(((2 * r - 1) / (2 * len(rows)), s, r, row) for s, rows in sources.items() for r, row in enumerate(sorted(rows), 1))
+        want, mixes, n = collections.Counter(), collections.defaultdict(collections.Counter), len(order)
+        for at, (_, s, _, (_, known, d, c)) in enumerate(order):
+            shard = at * 24 // n
+            want[(d if known else None, c, shard, at - -(-shard * n // 24))] += 1
+            mixes[shard][s] += 1
+        assert by_row(Q["op3"](spark, path).collect(), "doc_id", "text_crc32", "shard", "slot") == want
+        for mix in mixes.values():
+            assert all(abs(mix[s] - len(rows) / n * sum(mix.values())) < 2 for s, rows in sources.items())
+
+
+def test_mixing_orders_rows_of_one_size_and_id_by_their_texts(spark, edge):
+    import duckdb
+
+    from lexispark.llm import mixing
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{edge}/documents.parquet/*.parquet')")
+    names = ["doc_id", "size", "source_size", "target", "taken"]
+    want = collections.Counter(con.execute(f"SELECT {', '.join(names)} FROM ({mixing.OP2_SQL})").fetchall())
+    assert by_row(Q["op2"](spark, edge).collect(), *names) == want
+
+
+def test_long_words_and_windows_hash_as_short_ones(monkeypatch):
+    import pyarrow as pa
+
+    from lexispark.llm import bytesplit
+
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abc") for _ in range(rng.choice([1, 3, 40, 300]))) for _ in range(400)]
+
+    def hashed():
+        (part,) = bytesplit.slices(pa.array([" ".join(words), words[0]]))
+        starts, ends, _ = part.words()
+        return part.hashes(starts, ends)
+
+    whole = hashed()
+    assert whole[0] == whole[-1] and len(set(whole.tolist())) == len(set(words))
+    monkeypatch.setattr(bytesplit, "_powers", [])
+    monkeypatch.setattr(bytesplit, "WINDOW", 64)
+    assert (hashed() == whole).all()
+
+
+def test_training_samples_are_bounded_in_rows_and_bytes(spark):
+    from lexispark.llm.learning import training_sample
+
+    docs = spark.createDataFrame([(i % 60, "x" * (i % 7 + 1) * 10) for i in range(200)] + [(None, "n")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1)], "doc_id long, toxic int")
+    rows = training_sample(docs, labels, "toxic", 3, 1, 12, 10).collect()
+    assert collections.Counter(r.label for r in rows) == {1: 12, 0: 10} and len({r.doc_id for r in rows}) == 22
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 3 != 1 for r in rows)
+    few = training_sample(docs, labels, "toxic", 3, 1, 12, 10, 300).collect()
+    assert few and {(r.doc_id, r.text) for r in few} <= {(r.doc_id, r.text) for r in rows}
+    assert all(sum(len(r.text) for r in few if r.label == y) <= 150 for y in (0, 1))
+
+
 def test_pieces_are_the_tokens_of_the_documents(spark, edge):
     from public_tokenizers import path
     from tokenizers import Tokenizer
