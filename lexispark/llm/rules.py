@@ -4,7 +4,7 @@ The rules count words, signs, duplicate lines and words in repeated 3-word windo
 that the base rules pass is the mean, over its hashed one- and two-token n-grams, of log p(bucket | trusted) -
 log p(bucket | raw). Both multinomials have `buckets` outcomes; raw counts cover every document of the table,
 trusted counts the documents that are labelled good, of which at most `trusted_rows` (lowest hash of the id) are
-used. A document is kept if the mean reaches `threshold`; there is no randomness.
+used; those whose crc32(id) modulo `held_out` is 0 are left out, so that verdicts can be tested on them. A document is kept if the mean reaches `threshold`; there is no randomness.
 
 Tokens of the n-grams are runs of letters and digits and runs of other signs, lower-cased, so that junk signs glued to
 words count for themselves. The two count vectors (`buckets` numbers each) are all that reaches
@@ -35,6 +35,7 @@ class Rules:
     smoothing: float = 1.0
     threshold: float = -0.35
     trusted_rows: int = 20_000
+    held_out: int = 5
 
 
 SIGNS = r"([^\p{L}\p{N}\s]+)"
@@ -72,7 +73,7 @@ def ngram_buckets(column: str, buckets: int) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> np.ndarray:
     """Weights of the buckets. labels: doc_id, quality; of those with quality 1, at most trusted_rows are used."""
     trusted = (
-        labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+        labels.filter((F.col("quality") == 1) & (F.crc32(F.col("doc_id").cast("string")) % rules.held_out != 0)).select("doc_id").distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.trusted_rows)
         .select(F.col("doc_id").alias("__lx_id"))
     )

@@ -473,14 +473,86 @@ def test_rules_count_what_they_say(spark, edge):
 
 
 def test_rules_keep_clean_rows_and_drop_junk(spark):
+    """On labelled rows that the trusted counts leave out."""
     path = "/root/testdata/sf0.1"
-    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{path}/labels.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{path}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
     rows = [r for r in Q["op10"](spark, path).collect() if r.doc_id in labels and not r.base_failed]
     good, bad = [[r.kept for r in rows if labels[r.doc_id] == y] for y in (1, 0)]
+    assert len(good) > 500 and len(bad) > 20
     assert np.mean(good) > 0.995
     assert np.mean(bad) < 0.1
 
 
+def test_ratios_and_verdicts_follow_the_counts(spark, edge):
+    import regex
+
+    from lexispark.llm import rules
+
+    r = rules.Rules()
+    m = 1 << 64
+    signed = lambda b, seed: xxhash.xxh64_intdigest(b, seed % m) - m * (xxhash.xxh64_intdigest(b, seed % m) >> 63)
+    low = lambda t: (t or "").lower()
+    docs = [(d, [x for x in re.split(r"[ \t\n\x0b\f\r]", regex.sub(r"([^\p{L}\p{N}\x20\x09-\x0D]+)", r" \1 ", low(t))) if x]) for d, t, _ in texts(edge, spark)]
+    buckets = [(d, [signed(w.encode(), 42) % r.buckets for w in t] + [signed(b.encode(), signed(a.encode(), 42)) % r.buckets for a, b in zip(["", *t], t, strict=False)]) for d, t in docs]
+    trusted = {x.doc_id for x in spark.read.parquet(f"{edge}/labels.parquet").collect() if x.quality == 1 and x.doc_id is not None and zlib.crc32(str(x.doc_id).encode()) % 5}
+    raw, good = np.zeros(r.buckets), np.zeros(r.buckets)
+    for d, b in buckets:
+        np.add.at(raw, b, 1)
+        if d in trusted:
+            np.add.at(good, b, 1)
+    w = np.log((good + 1) / (good.sum() + r.buckets)) - np.log((raw + 1) / (raw.sum() + r.buckets))
+    want = sorted((str(d), len(b), w[b].mean() if b else 0.0) for d, b in buckets)
+    rows = [x for x in Q["op10"](spark, edge).collect()]
+    got = sorted((str(x.doc_id), x.llr) for x in rows)
+    for d in {k for k, *_ in want}:
+        a, b = [sorted(y[-1] for y in side if y[0] == d) for side in (want, got)]
+        assert np.allclose(a, b, atol=2e-6), d
+    assert all(x.kept == (not x.base_failed and x.llr >= r.threshold) for x in rows if abs(x.llr - r.threshold) > 1e-5)
+
+
+def test_scores_of_trained_models_follow_their_weights(spark, edge):
+    """Scores of op5 and op6 by plain loops over sentences and n-grams, with the weights that training gives."""
+    import pyarrow as pa
+
+    from lexispark.llm import bytesplit, classifier, toxicity
+
+    rng = np.random.default_rng(5)
+    of = lambda words: {w: h for w, h in zip(words, next(bytesplit.slices(pa.array(["\n".join(words)]))).hashes(*_ends(words)), strict=True)}
+
+    def _ends(words):
+        ends = np.cumsum([len(w.encode()) + 1 for w in words]) - 1
+        return ends - [len(w.encode()) for w in words], ends
+
+    docs = ["", "One two. Three! two two", "a b a b a\nb é-é 漢 x1", "toxicword here? no."]
+    fold = lambda t: t.translate({c: c + 32 for c in range(65, 91)})
+    pieces = lambda t: re.findall(r"(?:[0-9a-zA-Z]|[^\x00-\x7f])+|[^\x20\x09-\x0D0-9a-zA-Z\x80-\U0010ffff]+", fold(t))
+    model = rng.normal(size=toxicity.DIMENSIONS + 1)
+    model[-1] = -2.0
+    got = toxicity.scorer(model)(pa.array(docs)).to_pylist()
+    for text, found in zip(docs, got, strict=True):
+        miss = 1.0
+        for sentence in re.findall(r"[^.!?\n]*[.!?\n]|[^.!?\n]+", text) or [""]:
+            z = model[-1]
+            for w in (w for w in pieces(sentence) if w[0] not in ".!?"):
+                raw = w.encode()
+                z += model[int(of([w])[w]) % toxicity.DIMENSIONS]
+                for k in toxicity.PREFIXES:
+                    if len(raw) > k:
+                        h = next(bytesplit.slices(pa.array([raw[:k].decode("utf-8", "ignore") + "\n"]))).hashes(np.array([0]), np.array([k]))[0] if raw.isascii() else next(bytesplit.slices(pa.array([w]))).hashes(np.array([0]), np.array([k]))[0]
+                        z += model[(int(h) + k) % toxicity.DIMENSIONS]
+            miss *= 1 - 1 / (1 + np.exp(-z))
+        assert abs(found["score"] - (1 - miss)) < 1e-6
+    model = rng.normal(size=classifier.DIMENSIONS + 1).astype(np.float32)
+    for text, found in zip(docs, classifier.scorer(model)(pa.array(docs)).to_pylist(), strict=True):
+        w = pieces(text)
+        h = [np.uint64(of([x])[x]) for x in w]
+        with np.errstate(over="ignore"):
+            keys = [int(x) for x in h] + [int(bytesplit.mix(np.array([a * np.uint64(0xD6E8FEB86659FD93) + b], dtype=np.uint64))[0]) for a, b in zip(h, h[1:], strict=False)]
+        keys += [gap for gap in (1, 2) for a, b in zip(w, w[gap:], strict=False) if a == b]
+        z = model[-1] + (classifier.SCALE * sum(float(model[k % classifier.DIMENSIONS]) for k in keys) / len(keys) if keys else 0)
+        assert abs(found - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) < 1e-5
+
+
 def test_one_row_of_each_component_stays(spark):
     from lexispark.llm import jaccard, simhash
 
