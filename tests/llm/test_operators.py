@@ -609,8 +609,10 @@ def test_the_near_duplicate_stage_links_as_brute_force_jaccard(spark, monkeypatc
                 if least[j] < least[i] and linked(a, b):
                     least[i], changed = least[j], True
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for sample in (jaccard.SAMPLE, 10):
+    for sample, long_, block in ((jaccard.SAMPLE, jaccard.LONG, jaccard.BLOCK), (10, 2, 5)):
         monkeypatch.setattr(jaccard, "SAMPLE", sample)
+        monkeypatch.setattr(jaccard, "LONG", long_)
+        monkeypatch.setattr(jaccard, "BLOCK", block)
         assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(table).collect()} == dict(enumerate(least))
     kept = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, table, "").collect())
     assert kept == sorted(set(least))
