@@ -49,7 +49,9 @@ def fit_in_task(sample: DataFrame, fit: Callable[[list[int], pa.Array, np.ndarra
         if rows is None or len(set(rows.column("label").to_pylist())) < 2:
             yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary())], ["model"])
             return
-        weights = fit(rows.column("doc_id").to_pylist(), utf8(rows.column("text")), rows.column("label").to_numpy().astype(np.float64))
+        ids, texts, labels = rows.column("doc_id").to_pylist(), utf8(rows.column("text")), rows.column("label").to_numpy().astype(np.float64)
+        del got, rows  # one copy of the texts is enough while the model is fitted
+        weights = fit(ids, texts, labels)
         yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float32).tobytes()], pa.binary())], ["model"])
 
     got = [r[0] for r in sample.repartition(1).mapInArrow(run, "model binary").collect() if r[0] is not None]

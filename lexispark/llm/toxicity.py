@@ -98,16 +98,19 @@ def evidence(with_: np.ndarray, toxic_with: np.ndarray, all_: int, toxic: float)
 
 def fit(texts: pa.Array, label: np.ndarray, how: Training) -> np.ndarray:
     """Weights, the bias last."""
-    bags, documents, toxic = [], np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
+    documents, toxic = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
     for part in slices(texts, fold=True, limit=how.batch_bytes):
         ids, where, owner, _ = features(part)
         pair = np.unique((owner[where].astype(np.int64) << 20) | ids)
         document, pair = pair >> 20, pair & (DIMENSIONS - 1)
-        documents += np.bincount(pair, minlength=DIMENSIONS)
-        toxic += np.bincount(pair, weights=label[part.first + document], minlength=DIMENSIONS)
-        bags.append((ids.astype(np.int32), where.astype(np.int32), owner + part.first))
+        np.add.at(documents, pair, 1.0)
+        np.add.at(toxic, pair, label[part.first + document])
     telling = evidence(documents, toxic, len(label), label.sum()) >= how.least_evidence
-    bags = [(ids[telling[ids]], where[telling[ids]], owner) for ids, where, owner in bags]
+    bags = []
+    for part in slices(texts, fold=True, limit=how.batch_bytes):  # again: only telling features are held, few of all
+        ids, where, owner, _ = features(part)
+        told = telling[ids]
+        bags.append((ids[told].astype(np.int32), where[told].astype(np.int32), (owner + part.first).astype(np.int32)))
     odds = np.log((toxic + 0.5) / (label.sum() + 1)) - np.log((documents - toxic + 0.5) / (len(label) - label.sum() + 1))
     w, squares, bias, bias_squares = np.where(telling, how.start * odds, 0.0), np.full(DIMENSIONS, 1e-4), how.bias, 1e-4
     rng = np.random.default_rng(7)
