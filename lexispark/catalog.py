@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobs import glossary_release, term_ledger
 from lexispark import fixed
 from lexispark.functions import merging, scoring, validity
 from lexispark.functions import text as T
 from lexispark.operators import align, browse, dedupe, glossary, pairs, review, store, terms
 from lexispark.plans import curation, mining
-from lexispark.session import table
+from lexispark.session import scratch_dir, table
 from lexispark.sources import standins as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -844,3 +846,49 @@ def evidence_as_json(spark, sf_dir):
 def mine_candidates(spark, sf_dir):
     """The whole mining plan over the stand-in sheet."""
     return mining.mine(S.wide_items(spark, sf_dir), terms.lexicon_tagger(TAGS), align.hashing_encoder()).select(*store.KEY, "source_term", "target_term", "frequency", "final_score", "status")
+
+
+# --- jobs ---
+
+
+def _job_folder(spark, name: str) -> str:
+    """A new folder in the shared one; its files stay."""
+    return f"{scratch_dir(spark).rstrip('/')}/jobs/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    rf"""WITH w AS (SELECT doc_id, coalesce(nullif(lang, ''), 'und') AS lang, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS ws FROM documents),
+    g AS (SELECT doc_id, lang, unnest(list_concat(ws, list_transform(generate_series(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1]))) AS p, row FROM (SELECT *, row_number() OVER () AS row FROM w)),
+    t AS (SELECT DISTINCT row, doc_id, lang, {_strip_term_sql("p")} AS term FROM g),
+    c AS (SELECT lang, term, count(*) AS n_docs, min(doc_id) AS first_doc, max(doc_id) AS last_doc FROM t WHERE term <> '' GROUP BY 1, 2)
+    SELECT lang, term, n_docs, first_doc, last_doc, CASE WHEN n_docs >= 3 THEN 'needs_review' ELSE 'rare' END AS status FROM c WHERE {_failed_sql("term")} IS NULL"""
+)
+def job1_term_ledger(spark, sf_dir):
+    """The ledger of all documents, after a second run that finds nothing new."""
+    folder = _job_folder(spark, "term-ledger")
+    for _ in range(2):
+        term_ledger.run(spark, f"{sf_dir}/documents.parquet", f"{folder}/out", f"{folder}/checkpoint")
+    return term_ledger.read(spark, f"{folder}/out/terms", term_ledger.TERMS).select("lang", "term", "n_docs", "first_doc", "last_doc", "status")
+
+
+@query(
+    with_candidates(
+        BEST_SQL
+        + f""", g AS ({_pivot_sql("e", "canonical", "(-final_score, -frequency, id)")}), f AS (SELECT en, {_flags_sql("en")} AS flags FROM g)
+        SELECT 'audit' AS part, en AS term, CASE WHEN regexp_matches(flags, '[AB]') THEN 'auto_exclude' WHEN regexp_matches(flags, '[CDH]') THEN 'recommend_exclude' WHEN flags <> '' THEN 'review' ELSE 'clean' END AS place, flags AS value FROM f"""
+        + "".join(f" UNION ALL SELECT 'glossary', en, '{x}', \"{x}\" FROM g WHERE \"{x}\" <> ''" for x in fixed.TARGET_LOCALES)
+        + "".join(f" UNION ALL SELECT 'coverage', NULL, '{x}', count(*) FILTER (WHERE \"{x}\" <> '') || '/' || count(*) FROM g" for x in fixed.TARGET_LOCALES)
+    )
+)
+def job2_glossary_release(spark, sf_dir):
+    """The three tables of a release that was made twice, as one."""
+    folder = _job_folder(spark, "glossary-release")
+    for _ in range(2):
+        glossary_release.run(spark, sf_dir, folder)
+    found, audited, covered = glossary_release.read(spark, folder)
+    none = F.lit(None).cast("string")
+    return (
+        audited.select(F.lit("audit").alias("part"), "term", F.col("bucket").alias("place"), F.coalesce("flags", F.lit("")).alias("value"))
+        .unionByName(found.select(F.lit("glossary").alias("part"), "term", F.col("target_locale").alias("place"), F.col("translation").alias("value")))
+        .unionByName(covered.select(F.lit("coverage").alias("part"), none.alias("term"), F.col("locale").alias("place"), F.concat_ws("/", "translated", "total").alias("value")))
+    )

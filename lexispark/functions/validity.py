@@ -24,10 +24,16 @@ def is_marketing_opening(c: Column) -> Column:
 
 
 def failed_rule(term: Column) -> Column:
-    """The first validity rule that a term breaks, or null. The order is that of the checks."""
-    t = T.strip(term)
-    low, n = F.lower(t), T.word_count(t)
-    first = F.lower(F.get(T.words(t), F.lit(0)))
+    """The first validity rule that a term breaks, or null. The order is that of the checks.
+
+    The stripped term, its lower-case form and its words are bound to lambda variables, so that they are made once for all rules.
+    """
+    stripped = F.transform(F.array(T.strip(term)), lambda t: F.struct(t.alias("t"), F.lower(t).alias("low"), T.words(t).alias("words")))
+    return F.get(F.transform(stripped, lambda s: _first_failed(s["t"], s["low"], s["words"])), F.lit(0))
+
+
+def _first_failed(t: Column, low: Column, words: Column) -> Column:
+    n, first = F.size(words), F.lower(F.get(words, F.lit(0)))
     return (
         F.when(F.length(t) < fixed.LEAST_TERM_CHARS, "too_short")
         .when(F.replace(t, F.lit(" "), F.lit("")).rlike("^[0-9]+$") | t.rlike(fixed.NUMBER_PATTERN), "number")
