@@ -14,14 +14,16 @@ from lexispark.llm.bytesplit import utf8
 
 #: Bytes of text of a training sample at most, of either class half of them.
 SAMPLE_BYTES = 128 << 20
+#: A text of more than this share of its class's bytes isn't used to train.
+LARGEST_SHARE = 1 / 2
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, positives: int, negatives: int, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """doc_id, text, label of at most positives + negatives labelled documents and most_bytes of text.
 
     Rows whose crc32 of the id is held_out modulo modulus are left out. Of each class, the documents with the lowest
-    hash of the id are taken until rows or bytes are full; where rows share an id, one text of the least hash is. So the sample depends on
-    the table alone. Its ids are bounded in number and broadcast.
+    hash of the id are taken until rows or bytes are full; where rows share an id, one text of the least hash is. A text of over LARGEST_SHARE of its class's bytes
+    (32 MB with the bound of 128 MB) leaves itself out and none after it. So the sample depends on the table alone. Its ids are bounded in number and broadcast.
     """
     usable = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -34,6 +36,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     found = rows.join(F.broadcast(ids[0].union(ids[1])), F.col("doc_id") == F.col("__lx_id"))
     sizes = found.groupBy("__lx_id", "__lx_label").agg(F.min(F.struct(F.col("__lx_hash"), F.octet_length(F.coalesce("text", F.lit(""))).alias("bytes"))).alias("__lx_least"))
     upto = Window.partitionBy("__lx_label").orderBy(*order)
+    sizes = sizes.filter(F.col("__lx_least.bytes") <= int(most_bytes // 2 * LARGEST_SHARE))
     chosen = sizes.withColumn("__lx_bytes", F.sum("__lx_least.bytes").over(upto)).filter(F.col("__lx_bytes") <= most_bytes // 2)
     chosen = F.broadcast(chosen.select(F.col("__lx_id").alias("__lx_i"), F.col("__lx_least.__lx_hash").alias("__lx_h"), "__lx_label"))
     texts = rows.join(chosen, (F.col("doc_id") == F.col("__lx_i")) & (F.col("__lx_hash") == F.col("__lx_h")))

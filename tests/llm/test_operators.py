@@ -189,6 +189,19 @@ def test_training_samples_are_bounded_in_rows_and_bytes(spark):
     assert all(sum(len(r.text) for r in few if r.label == y) <= 150 for y in (0, 1))
 
 
+def test_a_long_text_leaves_only_itself_out_of_a_training_sample(spark):
+    from lexispark.llm.learning import training_sample
+
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    short = {(i, "x" * 5) for i in ids}
+    for long_id in ids[:6]:
+        docs = spark.createDataFrame([(i, "y" * 150 if i == long_id else t) for i, t in short], "doc_id long, text string")
+        rows = training_sample(docs, labels, "toxic", 3, 1, 100, 100, 200).collect()
+        assert {r.text for r in rows} == {"x" * 5}
+        assert collections.Counter(r.label for r in rows) == {1: min(20, sum(i % 2 == 1 and i != long_id for i in ids)), 0: min(20, sum(i % 2 == 0 and i != long_id for i in ids))}
+
+
 def test_pieces_are_the_tokens_of_the_documents(spark, edge):
     from public_tokenizers import path
     from tokenizers import Tokenizer
