@@ -6,6 +6,7 @@ over code points, because no byte of a multi-byte UTF-8 character falls into tha
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,6 +117,22 @@ class Slice:
         return starts, ends, np.searchsorted(self.offsets, starts, side="right") - 1
 
 
+def release() -> None:
+    """Give freed memory back to the system. Spark uses Python workers again for later tasks and stages, and each would keep its largest size."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library alone
+    if trim:
+        trim(0)
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; memory is given back when the last has been taken."""
+    try:
+        yield from batches
+    finally:
+        release()
+
+
 def utf8(array: pa.Array) -> pa.Array:
     array = array.cast(pa.large_string())  # first: chunks of over 2 GB together have no 32-bit offsets
     return array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexispark.llm.bytesplit import utf8
+from lexispark.llm.bytesplit import release, utf8
 
 
 #: Bytes of text of a training sample at most, of either class half of them.
@@ -55,6 +55,8 @@ def fit_in_task(sample: DataFrame, fit: Callable[[list[int], pa.Array, np.ndarra
         ids, texts, labels = rows.column("doc_id").to_pylist(), utf8(rows.column("text")), rows.column("label").to_numpy().astype(np.float64)
         del got, rows  # one copy of the texts is enough while the model is fitted
         weights = fit(ids, texts, labels)
+        del ids, texts, labels
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float32).tobytes()], pa.binary())], ["model"])
 
     got = [r[0] for r in sample.repartition(1).mapInArrow(run, "model binary").collect() if r[0] is not None]

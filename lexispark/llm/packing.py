@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexispark.llm.bytesplit import utf8
+from lexispark.llm.bytesplit import release, utf8
 from lexispark.session import drop_scratch, scratch_table, table
 
 END_ID = 2
@@ -129,6 +129,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = 1024, keep_ids: bool = Fa
                         column.append(value)
                     start, n, k = start + n, capacity, k + 1
             yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, kinds, strict=True)], names)
+            del rows
+            release()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexispark.llm.bytesplit import Slice, slices
+from lexispark.llm.bytesplit import Slice, release, slices
 from lexispark.llm.learning import fit_in_task, training_sample
 from lexispark.session import table
 
@@ -163,6 +163,8 @@ def scorer(model: np.ndarray):
             for column, v in zip(got, values, strict=True):
                 column.append(v)
         arrays = [pa.array(np.concatenate(v) if v else [], t) for v, t in zip(got, kinds.values(), strict=True)]
+        del got
+        release()
         return pa.StructArray.from_arrays(arrays, names=list(kinds))
 
     return run
