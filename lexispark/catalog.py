@@ -12,7 +12,7 @@ from jobs import glossary_release, term_ledger
 from lexispark import fixed
 from lexispark.functions import merging, scoring, validity
 from lexispark.functions import text as T
-from lexispark.operators import align, browse, dedupe, glossary, pairs, review, store, terms
+from lexispark.operators import align, browse, dedupe, glossary, pairs, review, store, tagging, terms
 from lexispark.plans import curation, mining
 from lexispark.session import scratch_dir, table
 from lexispark.sources import standins as S
@@ -494,13 +494,10 @@ def classify_domain(spark, sf_dir):
     return table(spark, sf_dir, "part").select(F.col("p_name").alias("term")).union(probes).distinct().select("term", scoring.classify_domain(F.col("term")).alias("domain"))
 
 
-TAGS = {w: "A" for w in "the of and is in to small red blue hot wide slim high".split()}
-
-
 @query()
 def pattern_match_spans(spark, sf_dir):
-    b = table(spark, sf_dir, "documents").withColumn("tokens", terms.token_spans(F.col("text")))
-    spans = b.withColumn("s", terms.deoverlap(terms.pattern_spans("tokens", terms.lexicon_tagger(TAGS), "text")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = terms.matched(docs, "text", tagging.fit(docs, "text")).withColumn("s", terms.deoverlap(F.col("__spans")))
     return spans.select("doc_id", F.size("s").alias("n_spans"), F.array_join(F.transform("s", lambda x: x["text"]), "|").alias("texts"))
 
 
@@ -515,7 +512,8 @@ def span_deoverlap(spark, sf_dir):
 
 @query()
 def extract_terms(spark, sf_dir):
-    return terms.extract(table(spark, sf_dir, "documents"), "doc_id", "text", terms.lexicon_tagger(TAGS))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return terms.extract(docs, "doc_id", "text", tagging.fit(docs, "text"))
 
 
 @query(
@@ -845,7 +843,7 @@ def evidence_as_json(spark, sf_dir):
 @query()
 def mine_candidates(spark, sf_dir):
     """The whole mining plan over the stand-in sheet."""
-    return mining.mine(S.wide_items(spark, sf_dir), terms.lexicon_tagger(TAGS), align.hashing_encoder()).select(*store.KEY, "source_term", "target_term", "frequency", "final_score", "status")
+    return mining.mine(S.wide_items(spark, sf_dir), None, align.hashing_encoder()).select(*store.KEY, "source_term", "target_term", "frequency", "final_score", "status")
 
 
 # --- jobs ---

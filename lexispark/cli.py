@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lexispark import fixed
-from lexispark.operators import align, glossary, store, terms
+from lexispark.operators import align, glossary, store
 from lexispark.plans import curation, mining
 from lexispark.sources import files
 
@@ -48,8 +48,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         sheet = files.read_workbook(spark, files.resolve_workbook(args.sheet))
         old = spark.read.parquet(args.snapshot) if args.snapshot else None
         locales = [x for x in args.locales.split(",") if x] or None
-        tagger = terms.lexicon_tagger({w: "X" for w in fixed.STOPWORDS})
-        mining.mine(sheet, tagger, align.hashing_encoder(), old, args.limit, locales).write.parquet(args.out)
+        mining.mine(sheet, None, align.hashing_encoder(), old, args.limit, locales).write.parquet(args.out)
     elif args.command == "stats":
         rows = spark.read.parquet(args.snapshot)
         store.status_totals(rows).orderBy(F.desc("n")).show(100, truncate=False)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lexispark import fixed
 from lexispark.functions import scoring, text as T, validity
+from lexispark.operators import tagging
 
 SPAN = "struct<start:int,end:int,text:string>"
 
@@ -51,9 +52,9 @@ def token_spans(text: Column) -> Column:
 
 
 def lexicon_tagger(tags: dict[str, str], default: str = "N") -> Callable[[Column], Column]:
-    """A tagger from a small word list: lower-cased word to A (adjective), N (noun) or X (other)."""
+    """A tagger of tokens from a small word list: lower-cased word to A (adjective), N (noun) or X (other)."""
     table = F.create_map(*[F.lit(x) for kv in tags.items() for x in kv])
-    return lambda word: F.coalesce(F.try_element_at(table, F.lower(word)), F.lit(default))
+    return lambda token: F.coalesce(F.try_element_at(table, F.lower(token["text"])), F.lit(default))
 
 
 def pattern_spans(tokens: str, tagger: Callable[[Column], Column], text: str) -> Column:
@@ -62,7 +63,7 @@ def pattern_spans(tokens: str, tagger: Callable[[Column], Column], text: str) ->
 
     def fits(item: str, token: Column) -> Column:
         if item.isupper():
-            return tagger(token["text"]).isin(list(item))
+            return tagger(token).isin(list(item))
         return F.lower(token["text"]).isin(item.split("|"))
 
     def matches(items: list[str]) -> Column:
@@ -108,9 +109,18 @@ def filter_candidates(terms: DataFrame, key: str) -> DataFrame:
     return _first_by_form(cleaned.filter(validity.is_valid(F.col("term"))), key)
 
 
-def extract(texts: DataFrame, key: str, text: str, tagger: Callable[[Column], Column], least: int = 3, chunks: str | None = None) -> DataFrame:
-    """Terms of each text by patterns (and an optional array column of noun chunks), topped up by keywords where fewer than `least` are found."""
-    spans = texts.withColumn("__tokens", token_spans(F.col(text))).withColumn("__spans", pattern_spans("__tokens", tagger, text))
+def matched(texts: DataFrame, text: str, tagger: Callable[[Column], Column] | tagging.Model) -> DataFrame:
+    """Add __spans, the matches of the token patterns; by a fitted model also __chunks, its noun chunks."""
+    if not isinstance(tagger, tagging.Model):
+        return texts.withColumn("__tokens", token_spans(F.col(text))).withColumn("__spans", pattern_spans("__tokens", tagger, text))
+    tagged = tagging.annotate(texts, text, tagger, "__tagged").withColumns({"__tokens": F.col("__tagged.tokens"), "__chunks": F.col("__tagged.chunks")})
+    return tagged.withColumn("__spans", pattern_spans("__tokens", lambda token: token["tag"], text))
+
+
+def extract(texts: DataFrame, key: str, text: str, tagger: Callable[[Column], Column] | tagging.Model, least: int = 3, chunks: str | None = None) -> DataFrame:
+    """Terms of each text by patterns and noun chunks (of a fitted model, or an array column), topped up by keywords where fewer than `least` are found."""
+    spans = matched(texts, text, tagger)
+    chunks = "__chunks" if chunks is None and "__chunks" in spans.columns else chunks
     if chunks:
         spans = spans.withColumn("__spans", F.concat(F.col(chunks).cast(f"array<{SPAN}>"), "__spans"))
     primary = term_rows(spans.select(key, deoverlap(F.col("__spans")).alias("spans")), key)
@@ -120,6 +130,9 @@ def extract(texts: DataFrame, key: str, text: str, tagger: Callable[[Column], Co
     words = words.join(poor.select(key, text), key).select(key, "pos", "term", T.find_span(F.col(text), F.col("term")).alias("__s"))
     extra = words.select(key, "pos", "term", F.col("__s.start").alias("start"), F.col("__s.end").alias("end"))
     extra = extra.filter(validity.is_extractable(F.col("term"))).withColumn("domain", scoring.classify_domain(F.col("term"))).withColumn("normalized_term", F.lower("term"))
+    if isinstance(tagger, tagging.Model):
+        words, closed = T.words(F.col("normalized_term")), sorted(tagger.closed)  # bounded: the stopwords and a few short words
+        extra = extra.filter(~F.get(words, F.lit(0)).isin(closed) & ~F.try_element_at(words, F.lit(-1)).isin(closed))
     new = extra.join(primary.select(key, "normalized_term"), [key, "normalized_term"], "left_anti")
     return primary.unionByName(new.select(*primary.columns))
 

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from lexispark import fixed
 from lexispark.functions import scoring
 from lexispark.functions import text as T
-from lexispark.operators import align, pairs, store, terms
+from lexispark.operators import align, pairs, store, tagging, terms
 from lexispark.session import scratch_table
 
 
-def source_terms(texts: DataFrame, tagger: Callable[[Column], Column]) -> DataFrame:
-    """Terms per distinct source text: each text is normalised and mined once, however many pairs have it."""
+def source_terms(texts: DataFrame, tagger: Callable[[Column], Column] | tagging.Model | None = None) -> DataFrame:
+    """Terms per distinct source text: each text is normalised and mined once, however many pairs have it. Without a tagger, one is fitted on the texts."""
     distinct = texts.select("source_text").distinct().withColumn("clean", T.normalize_text(F.col("source_text"))).filter("clean <> ''")
+    tagger = tagging.fit(distinct, "clean") if tagger is None else tagger
     return terms.filter_candidates(terms.extract(distinct, "source_text", "clean", tagger), "source_text")
 
 
@@ -42,7 +43,7 @@ def candidates_of(text_pairs: DataFrame, mined: DataFrame, encoder: align.Encode
     return out.withColumn("final_score", score).withColumn("status", scoring.review_status(F.col("final_score"), F.col("similarity")))
 
 
-def mine(sheet: DataFrame, tagger: Callable[[Column], Column], encoder: align.Encoder, snapshot: DataFrame | None = None, limit: int | None = None, locales: list[str] | None = None) -> DataFrame:
+def mine(sheet: DataFrame, tagger: Callable[[Column], Column] | tagging.Model | None, encoder: align.Encoder, snapshot: DataFrame | None = None, limit: int | None = None, locales: list[str] | None = None) -> DataFrame:
     """A new snapshot from an item sheet: limit the pairs first, then filter locales, as the flags say."""
     text_pairs = pairs.first_pairs(pairs.to_pairs(sheet))
     if limit is not None:
