@@ -47,6 +47,11 @@ def words_sql(c: str) -> str:
     return rf"len(list_filter(regexp_split_to_array({c}, '\s+'), lambda w: w <> ''))"
 
 
+def _strip_term_sql(c: str) -> str:
+    inner = f"regexp_replace(regexp_replace({c}, '^[^\\p{{L}}\\p{{N}}_]+', ''), '[^\\p{{L}}\\p{{N}}_]+$', '')"
+    return f"coalesce(nullif(regexp_replace({inner}, '^_+|_+$', '', 'g'), ''), {c})"
+
+
 # --- candidates: score, status, fold ---
 
 FOLD_OUT = "source_locale, target_locale, normalized_source, domain, source_term, target_term, field_origin, status, frequency, similarity, final_score, evidence_product_ids"
@@ -229,8 +234,8 @@ def judgment_rules_p2(spark, sf_dir):
 )
 def judgment_writeback(spark, sf_dir):
     c = S.candidates(spark, sf_dir)
-    by_id = c.filter("id % 3 = 0").select("id", F.lit(None).cast("string").alias("normalized_source"), F.lit("approved").alias("status"), F.lit("by id").alias("reviewer_notes"), F.lit(1).alias("seq"))
-    by_term = c.filter(F.length("normalized_source") % 2 == 0).select(F.lit(None).cast("long").alias("id"), "normalized_source", F.lit("phase1_approved").alias("status"), F.lit("by term").alias("reviewer_notes"), F.lit(2).alias("seq"))
+    by_id = c.filter("id % 3 = 0").select("id", F.lit(None).cast("string").alias("normalized_source"), F.lit("approved").alias("status"), F.lit("by id").alias("reviewer_notes"), F.lit(2).alias("seq"))
+    by_term = c.filter(F.length("normalized_source") % 2 == 0).select(F.lit(None).cast("long").alias("id"), "normalized_source", F.lit("phase1_approved").alias("status"), F.lit("by term").alias("reviewer_notes"), F.lit(1).alias("seq"))
     return store.write_back(c, by_id.unionByName(by_term)).select("id", "status", "reviewer_notes")
 
 
@@ -245,6 +250,77 @@ def status_update(spark, sf_dir):
     return store.update_status(c, changes).select("id", "status", "reviewer_notes")
 
 
+#: Judgments of mixed order: two for each id, one without a note, and one for each term of even length.
+ORDER_SQL = """, j AS (
+  SELECT id, NULL AS term, id % 7 AS seq, 1 AS own, 'approved' AS status, NULL AS notes FROM candidates WHERE id % 3 <> 0
+  UNION ALL SELECT id, NULL, id % 5 + 1, 1, 'rejected', 'a ' || target_locale FROM candidates WHERE id % 3 <> 1
+  UNION ALL SELECT DISTINCT NULL, normalized_source, 3, 0, 'phase1_approved', 'z term' FROM candidates WHERE length(normalized_source) % 2 = 0
+), """
+
+
+def _mixed(c: DataFrame) -> DataFrame:
+    """As ORDER_SQL."""
+    no_id, no_term = F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("normalized_source")
+    row = lambda id_, term, seq, status, notes: [id_, term, seq.cast("long").alias("seq"), F.lit(status).alias("status"), notes.alias("reviewer_notes")]
+    one = c.filter("id % 3 <> 0").select(*row(F.col("id"), no_term, F.col("id") % 7, "approved", F.lit(None).cast("string")))
+    two = c.filter("id % 3 <> 1").select(*row(F.col("id"), no_term, F.col("id") % 5 + 1, "rejected", F.concat(F.lit("a "), F.col("target_locale"))))
+    three = c.filter(F.length("normalized_source") % 2 == 0).select(*row(no_id, F.col("normalized_source"), F.lit(3), "phase1_approved", F.lit("z term"))).distinct()
+    return one.unionByName(two).unionByName(three)
+
+
+LAST_SQL = "row_number() OVER (PARTITION BY c.id ORDER BY j.seq DESC, j.own DESC, j.status DESC, j.notes DESC NULLS LAST)"
+
+
+@query(
+    with_candidates(
+        ORDER_SQL
+        + f"""m AS (SELECT c.id, j.status, j.notes, {LAST_SQL} AS k FROM candidates c JOIN j ON j.id = c.id OR j.term = c.normalized_source)
+        SELECT c.id, CASE WHEN m.id IS NULL THEN c.status ELSE m.status END AS status, CASE WHEN m.id IS NULL THEN c.reviewer_notes ELSE m.notes END AS reviewer_notes
+        FROM candidates c LEFT JOIN (SELECT * FROM m WHERE k = 1) m USING (id)"""
+    )
+)
+def judgment_writeback_order(spark, sf_dir):
+    """Judgments by id and by term in mixed order, several for one row: the last counts."""
+    c = S.candidates(spark, sf_dir)
+    return store.write_back(c, _mixed(c)).select("id", "status", "reviewer_notes")
+
+
+@query(
+    with_candidates(
+        ORDER_SQL
+        + f"""m AS (SELECT c.id, j.status, j.notes, {LAST_SQL} AS k FROM candidates c JOIN j ON j.id = c.id)
+        SELECT c.id, CASE WHEN m.id IS NULL THEN c.status ELSE m.status END AS status, CASE WHEN m.id IS NULL THEN c.reviewer_notes ELSE m.notes END AS reviewer_notes
+        FROM candidates c LEFT JOIN (SELECT * FROM m WHERE k = 1) m USING (id)"""
+    )
+)
+def status_update_order(spark, sf_dir):
+    """Several changes of one id: the last counts as a whole, its null note as well."""
+    c = S.candidates(spark, sf_dir)
+    changes = _mixed(c).filter("id IS NOT NULL").drop("normalized_source")
+    return store.update_status(c, changes).select("id", "status", "reviewer_notes")
+
+
+@query(
+    with_candidates(
+        f""", u AS (SELECT id, source_locale, target_locale, domain, source_term, target_term, frequency, similarity, final_score FROM candidates
+          UNION ALL SELECT id + 10000000000000000, source_locale, target_locale, domain, '(' || source_term || '),', target_term || '.', frequency + 1, similarity - 0.01, final_score + 0.01 FROM candidates WHERE id % 3 = 0),
+        r AS (SELECT * REPLACE ({_strip_term_sql("source_term")} AS source_term, CASE WHEN target_term = '' THEN '' ELSE {_strip_term_sql("target_term")} END AS target_term) FROM u)
+        SELECT min(id) AS id, source_locale, target_locale, lower(source_term) AS normalized_source, domain, arg_min(source_term, id) AS source_term, arg_min(target_term, id) AS target_term,
+          CAST(sum(frequency) AS BIGINT) AS frequency, round(max(similarity), 4) AS similarity, round(max(final_score), 4) AS final_score
+        FROM r WHERE source_term <> '' AND target_term <> '' GROUP BY source_locale, target_locale, lower(source_term), domain"""
+    )
+)
+def punctuation_repair(spark, sf_dir):
+    """The repaired table, where some rows meet others with the same key."""
+    c = S.candidates(spark, sf_dir).withColumn("normalized_target", F.lower("target_term"))
+    edged = {
+        "id": F.col("id") + 10**16, "source_term": F.concat(F.lit("("), F.col("source_term"), F.lit("),")), "normalized_source": F.concat(F.lit("("), F.col("normalized_source"), F.lit("),")),
+        "target_term": F.concat(F.col("target_term"), F.lit(".")), "frequency": F.col("frequency") + 1, "similarity": F.col("similarity") - 0.01, "final_score": F.col("final_score") + 0.01,
+    }
+    repaired = store.repair_punctuation(c.unionByName(c.filter("id % 3 = 0").withColumns(edged)))[0]
+    return repaired.select("id", *store.KEY, "source_term", "target_term", "frequency", F.round("similarity", 4).alias("similarity"), F.round("final_score", 4).alias("final_score"))
+
+
 ANSWERS = [
     ('{"verdict": "APPROVED", "scores": {"cleanness": 5, "utility": 4, "domain_relevance": 4}}',),
     ('```json\n{"verdict": "rejected", "confidence": 0.4, "source_term_cleanness": 1, "glossary_utility": 2, "domain_relevance": 3, "rejection_reasons": ["GARBLED_SOURCE"]}\n```',),
@@ -354,11 +430,6 @@ def punct_normalise(spark, sf_dir):
     return spark.createDataFrame(MARKS, "term string").select("term", T.normalize_punctuation(F.col("term")).alias("clean"))
 
 
-def _strip_term_sql(c: str) -> str:
-    inner = f"regexp_replace(regexp_replace({c}, '^[^\\p{{L}}\\p{{N}}_]+', ''), '[^\\p{{L}}\\p{{N}}_]+$', '')"
-    return f"coalesce(nullif(regexp_replace({inner}, '^_+|_+$', '', 'g'), ''), {c})"
-
-
 @query(f"WITH {S.TOKENS_SQL} SELECT term, {_strip_term_sql('term')} AS clean, regexp_replace(term, '^[^A-Za-z0-9]+|[^A-Za-z0-9]+$', '', 'g') AS ascii_clean FROM doc_tokens")
 def strip_term_punct(spark, sf_dir):
     return S.doc_tokens(spark, sf_dir).select("term", T.strip_term_punctuation(F.col("term")).alias("clean"), T.strip_punctuation(F.col("term")).alias("ascii_clean"))

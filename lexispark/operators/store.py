@@ -48,35 +48,46 @@ def upsert(snapshot: DataFrame, incoming: DataFrame, seq: str = "seq") -> DataFr
     return fold(old.unionByName(new.drop(seq), allowMissingColumns=True), "__order")
 
 
-def update_status(candidates: DataFrame, changes: DataFrame, now: Column | None = None) -> DataFrame:
-    """Set status and reviewer_notes by id. changes: id, status, reviewer_notes; a null leaves the old value."""
-    new = changes.groupBy("id").agg(F.max("status").alias("__status"), F.max("reviewer_notes").alias("__notes"))
-    return _apply(candidates, candidates.join(new, "id", "left"), now)
+def _last(changes: DataFrame, key: str, seq: str, out: str) -> DataFrame:
+    """The last change of each key as a struct (seq, status, reviewer_notes): one whole change, never parts of several."""
+    order = F.struct(F.col(seq).alias("seq"), "status", "reviewer_notes") if seq in changes.columns else F.struct(F.lit(0).alias("seq"), "status", "reviewer_notes")
+    return changes.groupBy(key).agg(F.max(order).alias(out))
+
+
+def update_status(candidates: DataFrame, changes: DataFrame, seq: str = "seq", now: Column | None = None) -> DataFrame:
+    """Set status and reviewer_notes by id, as if the changes came one by one in the order of seq: the last of an id counts, its null note as well.
+
+    changes: id, status, reviewer_notes and seq (without it, or at one seq, the change of the greatest status and note counts).
+    """
+    return _apply(candidates, candidates.join(_last(changes, "id", seq, "__change"), "id", "left"), now)
 
 
 def write_back(candidates: DataFrame, judgments: DataFrame, seq: str = "seq", now: Column | None = None) -> DataFrame:
-    """Apply judgments: those with an id to that row, others to all rows with their normalized_source.
+    """Apply judgments as if one by one in the order of seq: those with an id to that row, others to all rows with their normalized_source.
 
-    Of several for one target the last counts; an id beats a term.
+    Of all that meet a row the last counts, its null note as well; at one seq an id beats a term.
     """
-    pick = lambda keyed, key: keyed.groupBy(key).agg(F.max_by(F.struct("status", "reviewer_notes"), F.col(seq)).alias(f"__by_{key}"))
-    by_id = pick(judgments.filter("id IS NOT NULL"), "id")
-    by_term = pick(judgments.filter("id IS NULL"), "normalized_source")
+    by_id = _last(judgments.filter("id IS NOT NULL"), "id", seq, "__by_id")
+    by_term = _last(judgments.filter("id IS NULL"), "normalized_source", seq, "__by_term")
     rows = candidates.join(by_id, "id", "left").join(by_term, "normalized_source", "left")
-    for c, new in (("status", "__status"), ("reviewer_notes", "__notes")):
-        rows = rows.withColumn(new, F.coalesce(F.col(f"__by_id.{c}"), F.col(f"__by_normalized_source.{c}")))
-    return _apply(candidates, rows, now)
+    own = F.col("__by_term").isNull() | (F.col("__by_id.seq") >= F.col("__by_term.seq"))
+    return _apply(candidates, rows.withColumn("__change", F.when(own, F.col("__by_id")).otherwise(F.col("__by_term"))), now)
 
 
 def _apply(candidates: DataFrame, rows: DataFrame, now: Column | None) -> DataFrame:
-    changed = {"status": F.coalesce("__status", "status"), "reviewer_notes": F.coalesce("__notes", "reviewer_notes")}
+    hit = F.col("__change").isNotNull()
+    changed = {c: F.when(hit, F.col(f"__change.{c}")).otherwise(F.col(c)) for c in ("status", "reviewer_notes")}
     if now is not None and "updated_at" in candidates.columns:
-        changed["updated_at"] = F.when(F.col("__status").isNotNull(), now).otherwise(F.col("updated_at"))
+        changed["updated_at"] = F.when(hit, now).otherwise(F.col("updated_at"))
     return rows.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in candidates.columns])
 
 
 def repair_punctuation(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Strip edge punctuation from both terms. Returns the repaired table (rows with an empty term removed) and the diff."""
+    """Strip edge punctuation from both terms. Returns the repaired table and the diff.
+
+    Rows with an empty term are removed. The key of the table is unique: rows whose keys meet after the repair become one, the one of the least id, with the sum of
+    their frequencies and the best of their scores.
+    """
     clean = candidates.withColumns({f"__{c}": T.strip_term_punctuation(F.col(c)) for c in ("source_term", "target_term")})
     changed = ~(F.col("__source_term").eqNullSafe(F.col("source_term")) & F.col("__target_term").eqNullSafe(F.col("target_term")))
     diff = clean.filter(changed).select("id", "source_term", F.col("__source_term").alias("new_source_term"), "target_term", F.col("__target_term").alias("new_target_term"))
@@ -84,7 +95,19 @@ def repair_punctuation(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     new["normalized_source"] = F.when(changed, T.normalize_case(new["source_term"])).otherwise(F.col("normalized_source"))
     new["normalized_target"] = F.when(changed, T.normalize_case(new["target_term"])).otherwise(F.col("normalized_target"))
     repaired = clean.select(*[new[c].alias(c) if c in new else F.col(c) for c in candidates.columns])
-    return delete_empty(repaired), diff
+    return _one_per_key(delete_empty(repaired)), diff
+
+
+def _one_per_key(rows: DataFrame) -> DataFrame:
+    """Rows that share a key as one; without the columns of the key, and for null terms, rows stay as they are."""
+    if not set(KEY) <= set(rows.columns):
+        return rows
+    merged = {"frequency": F.sum, "n_hits": F.sum, "similarity": F.max, "final_score": F.max}
+    rest = [c for c in rows.columns if c not in KEY]
+    alone = F.when(F.col("normalized_source").isNull(), F.col("id"))
+    found = rows.groupBy(*KEY, alone.alias("__alone")).agg(F.min_by(F.struct(*rest), F.col("id")).alias("__first"), *[f(c).alias(f"__{c}") for c, f in merged.items() if c in rest])
+    column = lambda c: F.col(c) if c in KEY else F.col(f"__{c}") if c in merged else F.col(f"__first.{c}")
+    return found.select(*[column(c).alias(c) for c in rows.columns])
 
 
 def delete_empty(candidates: DataFrame) -> DataFrame:

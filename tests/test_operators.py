@@ -241,3 +241,32 @@ def test_verdicts(spark):
     got = [r.v for r in rows.select(review.verdict_phase1(F.col("a"), F.col("b"), F.col("c"), F.col("brand")).alias("v")).collect()]
     assert got == ["rejected", "verbatim_entry", "approved", "needs_human_review"]
     assert set(got) == set(fixed.VERDICTS)
+
+
+CANDIDATE = "id long, source_locale string, target_locale string, normalized_source string, domain string, source_term string, target_term string, normalized_target string, frequency long, final_score double, status string, reviewer_notes string"
+
+
+def test_the_last_change_counts_as_a_whole(spark):
+    rows = spark.createDataFrame([(1, "open", "old"), (2, "open", "old"), (3, "open", "old")], "id long, status string, reviewer_notes string")
+    changes = spark.createDataFrame([(1, "approved", "z note", 1), (1, "rejected", "a note", 2), (2, "approved", None, 1)], "id long, status string, reviewer_notes string, seq int")
+    got = {r.id: (r.status, r.reviewer_notes) for r in store.update_status(rows, changes).collect()}
+    assert got == {1: ("rejected", "a note"), 2: ("approved", None), 3: ("open", "old")}
+    unordered = {r.id: (r.status, r.reviewer_notes) for r in store.update_status(rows, changes.drop("seq")).collect()}
+    assert unordered[1] in {("approved", "z note"), ("rejected", "a note")}
+
+
+def test_judgments_by_id_and_term_apply_in_their_order(spark):
+    rows = spark.createDataFrame([(1, "a", "open", "old"), (2, "a", "open", "old"), (3, "b", "open", "old")], "id long, normalized_source string, status string, reviewer_notes string")
+    made = lambda *js: spark.createDataFrame(js, "id long, normalized_source string, status string, reviewer_notes string, seq int")
+    judged = lambda *js: {r.id: (r.status, r.reviewer_notes) for r in store.write_back(rows, made(*js)).collect()}
+    by_id, by_term = (1, None, "approved", "id"), (None, "a", "rejected", None)
+    assert judged((*by_id, 1), (*by_term, 2)) == {1: ("rejected", None), 2: ("rejected", None), 3: ("open", "old")}
+    assert judged((*by_id, 2), (*by_term, 1)) == {1: ("approved", "id"), 2: ("rejected", None), 3: ("open", "old")}
+    assert judged((*by_id, 1), (*by_term, 1))[1] == ("approved", "id")
+
+
+def test_rows_whose_keys_meet_after_a_repair_become_one(spark):
+    row = lambda i, term, n, s: (i, "en", "sv", term.lower(), "general", term, "ull", "ull", n, s, "open", None)
+    rows = spark.createDataFrame([row(5, "(wool)", 3, 0.9), row(7, "Wool", 2, 0.4), row(8, "cotton", 1, 0.5), row(9, "_", 1, 0.1)], CANDIDATE)
+    got = {r.normalized_source: (r.id, r.source_term, r.frequency, r.final_score) for r in store.repair_punctuation(rows)[0].collect()}
+    assert got == {"wool": (5, "wool", 5, 0.9), "cotton": (8, "cotton", 1, 0.5), "_": (9, "_", 1, 0.1)}
