@@ -146,6 +146,16 @@ def low_score_sample(spark, sf_dir):
     return S.candidates(spark, sf_dir).filter("final_score < 0.6").orderBy("final_score", "id").limit(10).select("id", "source_term", "final_score")
 
 
+@query(
+    f"""WITH {S.EVENTS_SQL} SELECT CAST(evidence_product_ids AS BIGINT) AS orderkey, source_term, target_term, target_locale, field_origin, final_score
+    FROM scored WHERE final_score < 0.6 ORDER BY final_score, orderkey, source_term, target_term, field_origin LIMIT 20"""
+)
+def low_score_events(spark, sf_dir):
+    """The lowest scores among all events."""
+    low = S.scored_events(spark, sf_dir).filter("final_score < 0.6").withColumn("orderkey", F.col("evidence_product_ids").cast("long"))
+    return low.orderBy("final_score", "orderkey", "source_term", "target_term", "field_origin").limit(20).select("orderkey", "source_term", "target_term", "target_locale", "field_origin", "final_score")
+
+
 @query(
     with_candidates(
         "SELECT id, status, source_term, final_score FROM candidates WHERE (status = 'approved' OR starts_with(status, 'phase2_')) AND (source_term ILIKE '%in%' OR target_term ILIKE '%in%' OR normalized_source ILIKE '%in%' OR domain ILIKE '%in%') ORDER BY final_score DESC, id LIMIT 50 OFFSET 10"
@@ -332,7 +342,9 @@ ANSWERS = [
 
 @query()
 def judgment_json_normalise(spark, sf_dir):
-    answers = spark.createDataFrame([(i, a[0]) for i, a in enumerate(ANSWERS)], "id long, answer string")
+    """An answer for each candidate, of the form that its id picks, with its score as confidence. tests/test_whole.py has the plain reading."""
+    form = F.element_at(F.array(*[F.lit(a[0]) for a in ANSWERS]), (F.col("id") % len(ANSWERS) + 1).cast("int"))
+    answers = S.candidates(spark, sf_dir).select("id", F.replace(form, F.lit("0.4"), F.col("final_score").cast("string")).alias("answer"))
     return review.read_answers(answers, "answer", 1).select("id", "valid", "judgment.verdict", "judgment.confidence", "judgment.source_term_cleanness", F.array_join("judgment.rejection_reasons", ",").alias("reasons"))
 
 
@@ -414,20 +426,20 @@ def normalize_whitespace(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.normalize_whitespace(F.col("text")).alias("clean"))
 
 
-COMPOUNDS = [("Soft T  shirt with V neck",), ("off white WIDE LEG jeans",), ("crew neck, round neck and long sleeve",), ("a line skirt, anti slip, mid rise",), ("shirt",), ("t shirts",), ("high waist low rise drop shoulder short sleeve",), ("",)]
+COMPOUNDS = ["Soft T  shirt with V neck", "off white WIDE LEG jeans", "crew neck, round neck and long sleeve", "a line skirt, anti slip, mid rise", "shirt", "t shirts", "high waist low rise drop shoulder short sleeve", "", "{n} T  shirt", "WIDE LEG {n}", "{s} crew neck {n}, anti slip"]
 
 
-@query(f"SELECT term, {_compound_sql('term')} AS clean FROM {values(COMPOUNDS, 'term')}")
+@query(f"SELECT p_partkey, term, {_compound_sql('term')} AS clean FROM {S.part_phrases_sql(COMPOUNDS)}")
 def compound_rules(spark, sf_dir):
-    return spark.createDataFrame(COMPOUNDS, "term string").select("term", T.compound_rules(F.col("term")).alias("clean"))
+    return S.part_phrases(spark, sf_dir, COMPOUNDS).select("p_partkey", "term", T.compound_rules(F.col("term")).alias("clean"))
 
 
-MARKS = [("‘a’ “b”",), ("one – two — three",), ("T - shirt",), ("x-y",), ("", ), (" - ",)]
+MARKS = ["‘a’ “b”", "one – two — three", "T - shirt", "x-y", "", " - ", "‘{n}’ – “{s}”", "{n} - {s}"]
 
 
-@query(f"SELECT term, {_punct_sql('term')} AS clean FROM {values(MARKS, 'term')}")
+@query(f"SELECT p_partkey, term, {_punct_sql('term')} AS clean FROM {S.part_phrases_sql(MARKS)}")
 def punct_normalise(spark, sf_dir):
-    return spark.createDataFrame(MARKS, "term string").select("term", T.normalize_punctuation(F.col("term")).alias("clean"))
+    return S.part_phrases(spark, sf_dir, MARKS).select("p_partkey", "term", T.normalize_punctuation(F.col("term")).alias("clean"))
 
 
 @query(f"WITH {S.TOKENS_SQL} SELECT term, {_strip_term_sql('term')} AS clean, regexp_replace(term, '^[^A-Za-z0-9]+|[^A-Za-z0-9]+$', '', 'g') AS ascii_clean FROM doc_tokens")
@@ -435,12 +447,12 @@ def strip_term_punct(spark, sf_dir):
     return S.doc_tokens(spark, sf_dir).select("term", T.strip_term_punctuation(F.col("term")).alias("clean"), T.strip_punctuation(F.col("term")).alias("ascii_clean"))
 
 
-PREFIXED = [("95% organic cotton",), ("82 recycled polyester",), ("100% recycled polyester lining",), ("organic cotton",), ("soft organic cotton",), ("43 cm height",), ("95 %",), ("1,5 % elastane",)]
+PREFIXED = ["95% organic cotton", "82 recycled polyester", "100% recycled polyester lining", "organic cotton", "soft organic cotton", "43 cm height", "95 %", "1,5 % elastane", "{s}% {n}", "{s} {n}", "{s}.5 % {n}", "{n} {s}"]
 
 
-@query(rf"SELECT term, coalesce(nullif(trim(regexp_replace(term, '^[0-9]+([.,][0-9]+)?\s*%?\s+', '')), ''), term) AS clean FROM {values(PREFIXED, 'term')}")
+@query(rf"SELECT p_partkey, term, coalesce(nullif(trim(regexp_replace(term, '^[0-9]+([.,][0-9]+)?\s*%?\s+', '')), ''), term) AS clean FROM {S.part_phrases_sql(PREFIXED)}")
 def strip_numeric_prefix(spark, sf_dir):
-    return spark.createDataFrame(PREFIXED, "term string").select("term", T.strip_numeric_prefix(F.col("term")).alias("clean"))
+    return S.part_phrases(spark, sf_dir, PREFIXED).select("p_partkey", "term", T.strip_numeric_prefix(F.col("term")).alias("clean"))
 
 
 def _failed_sql(t: str) -> str:
@@ -473,23 +485,24 @@ def valid_terms(spark, sf_dir):
 MIXED = [
     "95% organic cotton", "82 recycled polyester", "organic cotton", "100% recycled polyester lining", "soft organic cotton", "95 cm", "73x73 cm", "24x24 cm", "43 cm height",
     "43cm height", "3 years", "8-14 years", "cargo tote", "The best", "TENCEL", "perfect socks", "perfect for you", "easy-to-wear top", "ideal", "12", "ab", "the", "(pu", "a,b.c;d",
-    "one two three four five six seven", "Recycled Polyester", "wide leg", "44-54 cm head circumference",
+    "one two three four five six seven", "Recycled Polyester", "wide leg", "44-54 cm head circumference", "{s}% {n}", "{s} {n}", "The {n}", "({n}", "{n}, {n}. {n}; {s}", "{s} cm height", "{s} years",
+    "{s} cm", "perfect {n}", "easy-to-wear {n}", "{n} {n} {n} {n}", "{n}", "AB{s}-{s}", "{s}", *[f"{p} {{n}}" for p in fixed.PHRASE_BLACKLIST[:3]], "{s} {s}x{s}", "{s}000",
 ]
 
 
-@query(f"SELECT term, {_failed_sql('term')} AS rule FROM {values([(m,) for m in MIXED], 'term')}")
+@query(f"SELECT p_partkey, term, {_failed_sql('term')} AS rule FROM {S.part_phrases_sql(MIXED)}")
 def term_rules(spark, sf_dir):
-    return spark.createDataFrame([(m,) for m in MIXED], "term string").select("term", validity.failed_rule(F.col("term")).alias("rule"))
+    """Phrases of several words, of which every rule rejects some."""
+    return S.part_phrases(spark, sf_dir, MIXED).select("p_partkey", "term", validity.failed_rule(F.col("term")).alias("rule"))
 
 
 @query(
-    rf"""WITH t AS (SELECT CAST(row_number() OVER () AS BIGINT) AS pos, term FROM (SELECT unnest([{quoted(MIXED)}]) AS term)),
-    c AS (SELECT pos, coalesce(nullif(trim(regexp_replace(term, '^[0-9]+([.,][0-9]+)?\s*%?\s+', '')), ''), term) AS term FROM t),
-    v AS (SELECT *, row_number() OVER (PARTITION BY lower(term) ORDER BY pos) AS k FROM c WHERE {_failed_sql("term")} IS NULL)
-    SELECT 1::BIGINT AS text_id, term, lower(term) AS normalized_term FROM v WHERE k = 1"""
+    rf"""WITH c AS (SELECT p_size AS text_id, p_partkey AS pos, coalesce(nullif(trim(regexp_replace(term, '^[0-9]+([.,][0-9]+)?\s*%?\s+', '')), ''), term) AS term FROM {S.part_phrases_sql(MIXED)}),
+    v AS (SELECT *, row_number() OVER (PARTITION BY text_id, lower(term) ORDER BY pos) AS k FROM c WHERE {_failed_sql("term")} IS NULL)
+    SELECT text_id, term, lower(term) AS normalized_term FROM v WHERE k = 1"""
 )
 def filter_candidates(spark, sf_dir):
-    rows = spark.createDataFrame([(1, i, m) for i, m in enumerate(MIXED)], "text_id long, pos long, term string")
+    rows = S.part_phrases(spark, sf_dir, MIXED).select(F.col("p_size").alias("text_id"), F.col("p_partkey").alias("pos"), "term")
     return terms.filter_candidates(rows, "text_id").select("text_id", "term", "normalized_term")
 
 
@@ -572,13 +585,13 @@ def pattern_match_spans(spark, sf_dir):
     return spans.select("doc_id", F.size("s").alias("n_spans"), F.array_join(F.transform("s", lambda x: x["text"]), "|").alias("texts"))
 
 
-SPAN_SETS = {1: [(0, 5, "a"), (2, 9, "b"), (9, 10, "c")], 2: [(0, 4, "a"), (0, 9, "b"), (3, 6, "c")], 3: [], 4: [(5, 6, "x"), (0, 9, "y"), (1, 12, "z"), (12, 13, "w")]}
-
-
 @query()
 def span_deoverlap(spark, sf_dir):
-    rows = spark.createDataFrame([(k, v) for k, v in SPAN_SETS.items()], f"id long, spans array<{terms.SPAN}>")
-    return rows.select("id", F.array_join(F.transform(terms.deoverlap(F.col("spans")), lambda s: F.format_string("%d-%d", s["start"], s["end"])), ",").alias("kept"))
+    """The lines of an order as spans: quantities place them, so that some overlap and some contain others. tests/test_whole.py has the plain fold."""
+    start, text = (F.col("l_quantity") % 17).cast("int"), F.col("l_linenumber").cast("string")
+    span = F.struct(start.alias("start"), (start + 1 + F.col("l_partkey") % 7).cast("int").alias("end"), text.alias("text"))
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(span).alias("spans"))
+    return rows.select("l_orderkey", F.array_join(F.transform(terms.deoverlap(F.col("spans")), lambda s: F.format_string("%d-%d", s["start"], s["end"])), ",").alias("kept"))
 
 
 @query()
@@ -776,15 +789,19 @@ def merged_glossary(spark, sf_dir):
     return curation.deduplicated_glossary(S.candidates(spark, sf_dir))
 
 
-MEASURES = [("100 cm",), ("82%",), ("60x60",), ("18x25 cm",), ("180 80 cm",), ("12 x",), ("10,000 mm water column",), ("23 cm Shoulder strap",), ("width cm",), ("5-pack",), ("cm",), ("Inches",)]
+def _measure_sql(t: str) -> str:
+    units = fixed.EXPORT_UNITS
+    return rf"(regexp_matches({t}, '(?i)^[0-9\s.,x×\-/()]+({units})?$') OR regexp_matches({t}, '(?i)^[0-9.,]+(\s*[x×/]\s*[0-9.,]+)*(\s*({units}))?$') OR regexp_matches({t}, '(?i)^({units})$'))"
+
+
+MEASURES = ["100 cm", "82%", "60x60", "18x25 cm", "180 80 cm", "12 x", "10,000 mm water column", "23 cm Shoulder strap", "width cm", "5-pack", "cm", "Inches", "{s} cm", "{s}x{s} cm", "{s} {n}", "{s},{s} x {s}", "{n} cm"]
 
 
 @query(
-    rf"""SELECT term, regexp_matches(term, '(?i)^[0-9\s.,x×\-/()]+({fixed.EXPORT_UNITS})?$') OR regexp_matches(term, '(?i)^[0-9.,]+(\s*[x×/]\s*[0-9.,]+)*(\s*({fixed.EXPORT_UNITS}))?$')
-    OR regexp_matches(term, '(?i)^({fixed.EXPORT_UNITS})$') AS measurement FROM {values(MEASURES, "term")}"""
+    f"SELECT p_partkey, term, {_measure_sql('term')} AS measurement FROM {S.part_phrases_sql(MEASURES)}"
 )
 def pure_measurements(spark, sf_dir):
-    return spark.createDataFrame(MEASURES, "term string").select("term", validity.is_measurement(F.col("term")).alias("measurement"))
+    return S.part_phrases(spark, sf_dir, MEASURES).select("p_partkey", "term", validity.is_measurement(F.col("term")).alias("measurement"))
 
 
 def _flags_sql(t: str) -> str:
@@ -810,12 +827,12 @@ def quality_buckets(spark, sf_dir):
     return glossary.quality_buckets(S.lines(spark, sf_dir))
 
 
-LABELLED = [("(pu",), ("Ideal",), ("perfect socks",), ("machine wash cold",), ("This jacket is warm, light and soft",), ("23/24-15.8 cm",), ("109 cm tall, select size",), ("3 years",), ("organic cotton",), ("iron at 3",), ("100% cotton",)]
+LABELLED = ["(pu", "Ideal", "perfect socks", "machine wash cold", "This jacket is warm, light and soft", "23/24-15.8 cm", "109 cm tall, select size", "3 years", "organic cotton", "iron at 3", "100% cotton", "({n}", "{n} is warm, light and {s} {n}", "{s} years", "perfect {n}", "{n}", "iron {n} at {s}", "{n} {n} {n} {n}"]
 
 
-@query(f"SELECT term, {_flags_sql('term')} AS flags FROM {values(LABELLED, 'term')}")
+@query(f"SELECT p_partkey, term, {_flags_sql('term')} AS flags FROM {S.part_phrases_sql(LABELLED)}")
 def quality_flags_of_terms(spark, sf_dir):
-    return spark.createDataFrame(LABELLED, "term string").select("term", F.array_join(validity.quality_flags(F.col("term")), "").alias("flags"))
+    return S.part_phrases(spark, sf_dir, LABELLED).select("p_partkey", "term", F.array_join(validity.quality_flags(F.col("term")), "").alias("flags"))
 
 
 @query(f"WITH {S.LINES_SQL}, c AS (SELECT CAST({words_sql('term')} AS BIGINT) AS n_words, count(*) AS n FROM lines GROUP BY 1) SELECT n_words, n, round(n * 100.0::DOUBLE / sum(n) OVER (), 4) AS percent FROM c")
@@ -889,19 +906,21 @@ def group_preview(spark, sf_dir):
     return dedupe.preview(groups, c).select("source_term", "total_frequency", "best_score", shown.alias("translations"))
 
 
-GROUPS = [("100 cm|90 cm",), ("100 cm|100 cm wide",), ("82%|82 %",), ("wool|woll",)]
+GROUPS = ["100 cm|90 cm", "100 cm|100 cm wide", "82%|82 %", "wool|woll", "{s} cm|{s}cm", "{s} cm|{n}", "{n}|{s}%", "{s}x{s}|{s}"]
 
 
-@query(f"SELECT members FROM {values(GROUPS, 'members')} WHERE members IN ('100 cm|100 cm wide', 'wool|woll')")
+@query(f"SELECT p_partkey, term AS members FROM {S.part_phrases_sql(GROUPS)} WHERE len(list_filter(string_split(term, '|'), lambda m: NOT {_measure_sql('m')})) > 0")
 def measurement_groups(spark, sf_dir):
-    rows = spark.createDataFrame(GROUPS, "m string").select(F.split("m", "[|]").alias("members"))
-    return dedupe.drop_measurement_groups(rows).select(F.array_join("members", "|").alias("members"))
+    rows = S.part_phrases(spark, sf_dir, GROUPS).select("p_partkey", F.split("term", "[|]").alias("members"))
+    return dedupe.drop_measurement_groups(rows).select("p_partkey", F.array_join("members", "|").alias("members"))
+
+
+EXCLUDED = [*fixed.EXPORT_EXCLUSIONS, "Ideal", "wool", "BRIEFS", "{n}"]
 
 
-@query(f"SELECT term FROM (SELECT unnest([{quoted([*fixed.EXPORT_EXCLUSIONS, 'Ideal', 'wool', 'BRIEFS'])}]) AS term) WHERE lower(term) NOT IN ({quoted(fixed.EXPORT_EXCLUSIONS)})")
+@query(f"SELECT p_partkey, term FROM {S.part_phrases_sql(EXCLUDED)} WHERE lower(term) NOT IN ({quoted(fixed.EXPORT_EXCLUSIONS)})")
 def exclusions(spark, sf_dir):
-    rows = spark.createDataFrame([(t,) for t in [*fixed.EXPORT_EXCLUSIONS, "Ideal", "wool", "BRIEFS"]], "term string")
-    return rows.filter(~validity.is_excluded(F.col("term")))
+    return S.part_phrases(spark, sf_dir, EXCLUDED).select("p_partkey", "term").filter(~validity.is_excluded(F.col("term")))
 
 
 @query(with_candidates("SELECT target_locale, string_agg(DISTINCT evidence_product_ids, ',' ORDER BY evidence_product_ids) AS ids FROM candidates GROUP BY 1"))

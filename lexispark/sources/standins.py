@@ -167,3 +167,15 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LINES_SQL = """
 lines AS (SELECT DISTINCT term FROM (SELECT unnest(string_split(text, chr(10))) AS term FROM (SELECT text FROM documents UNION ALL SELECT text FROM benchmark)) WHERE trim(term) <> '')"""
+
+
+def part_phrases(spark: SparkSession, sf_dir: str, templates: list[str]) -> DataFrame:
+    """p_partkey, p_size and term: a phrase for each part, of the template that its key picks, with its name for {n} and its size for {s}."""
+    pick = F.element_at(F.array(*map(F.lit, templates)), (F.col("p_partkey") % len(templates) + 1).cast("int"))
+    term = F.replace(F.replace(pick, F.lit("{n}"), F.col("p_name")), F.lit("{s}"), F.col("p_size").cast("string"))
+    return table(spark, sf_dir, "part").select("p_partkey", "p_size", term.alias("term"))
+
+
+def part_phrases_sql(templates: list[str]) -> str:
+    held = ", ".join("'" + t.replace("'", "''") + "'" for t in templates)
+    return f"(SELECT p_partkey, p_size, replace(replace([{held}][p_partkey % {len(templates)} + 1], '{{n}}', p_name), '{{s}}', CAST(p_size AS VARCHAR)) AS term FROM part)"

@@ -84,3 +84,33 @@ def test_extraction_reads_the_documents(spark, tmp_path):
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     for name in ("pattern_match_spans", "extract_terms", "keyword_fallback", "keyness"):
         assert {r.doc_id for r in catalog.QUERIES[name](spark, str(tmp_path)).select("doc_id").collect()} == set(range(5)), name
+
+
+def test_spans_are_folded_like_a_list(spark, small):
+    orders = {}
+    for r in spark.read.parquet(f"{small}/lineitem.parquet").select("l_orderkey", "l_quantity", "l_partkey").collect():
+        start = int(r.l_quantity % 17)
+        orders.setdefault(r.l_orderkey, []).append((start, start + 1 + r.l_partkey % 7))
+    want = {}
+    for key, spans in orders.items():
+        kept = []
+        for start, end in sorted(spans, key=lambda s: (s[0], -s[1])):
+            if not kept or start >= kept[-1][1]:
+                kept.append((start, end))
+            elif end > kept[-1][1]:
+                kept[-1] = (start, end)
+        want[key] = ",".join(f"{a}-{b}" for a, b in kept)
+    assert {r.l_orderkey: r.kept for r in catalog.span_deoverlap(spark, small).collect()} == want
+
+
+def test_answers_are_read_for_every_candidate(spark, small):
+    rows = catalog.judgment_json_normalise(spark, small).collect()
+    score = {r.id: r.final_score for r in catalog.S.candidates(spark, small).collect()}
+    assert {r.id for r in rows} == set(score) and {r.id % 5 for r in rows} == set(range(5))
+    for r in rows:
+        form = r.id % 5
+        assert r.valid == (form in (0, 1)), r
+        if form == 1:
+            assert (r.verdict, r.source_term_cleanness, r.reasons) == ("rejected", 1, "garbled_source") and abs(r.confidence - score[r.id]) < 1e-9
+        if form == 0:
+            assert (r.verdict, r.source_term_cleanness, r.reasons) == ("approved", 5, "")
