@@ -675,20 +675,37 @@ def similar_groups(spark, sf_dir):
 
 
 MERGE_PAIRS = [
-    ("mid-length", "midi length", "mid-length", "synonyms"), ("V neck", "v-neck", "v-neck", "synonyms"), ("10 cm", "12 cm", None, "different numbers"),
-    ("turn-up hem", "turn up hem", "turn-up hem", "hyphen or space"), ("50 cotton", "50% cotton", "50% cotton", "percent sign"),
-    ("contain wool", "contains wool", "contains wool", "contain or contains"), ("12cm", "12 cm", "12 cm", "space before a unit"), ("soft.", "soft", "soft", "final period"),
-    ("soft", "soft.", "soft", "final period"), ("ribbed", "robbed", None, "no rule applies"), ("blue.", "glue.", None, "no rule applies"),
+    "mid-length|midi length", "V neck|v-neck", "10 cm|12 cm", "turn-up hem|turn up hem", "50 cotton|50% cotton", "contain wool|contains wool", "12cm|12 cm", "soft.|soft", "soft|soft.", "ribbed|robbed", "blue.|glue.",
+    "{n}-{s}|{n} {s}", "{s} {n}|{s}% {n}", "{s}% {n}|{s} % {n}", "contain {n}|contains {n}", "{s}cm {n}|{s} cm {n}", "{n}.|{n}", "{n} {s}|{n} {s}.", "{n} {s}|{n} 1{s}", "{n}|{n}s", "{n}|{n}",
 ]
 
 
-@query(
-    f"SELECT a, b, CASE WHEN c IS NULL THEN 'keep_separate' ELSE 'merge' END AS action, c AS canonical, reason FROM {values(MERGE_PAIRS, 'a, b, c, reason')}"
-)
+def _merge_sql() -> str:
+    """The rules in SQL, each by itself: x and y are the compare forms of a and b."""
+    form = lambda c: rf"regexp_replace(lower(trim({c})), '\s+', ' ', 'g')"
+    equal = lambda pattern, by: f"regexp_replace(x, '{pattern}', '{by}', 'g') = regexp_replace(y, '{pattern}', '{by}', 'g')"
+    synonyms = values(list(fixed.SYNONYMS), "s, t, best")
+    return rf"""WITH p AS (SELECT p_partkey, split_part(term, '|', 1) AS a, split_part(term, '|', 2) AS b FROM {S.part_phrases_sql(MERGE_PAIRS)}),
+    f AS (SELECT *, {form('a')} AS x, {form('b')} AS y FROM p),
+    k AS (SELECT f.*, (SELECT min(best) FROM {synonyms} z WHERE (z.s = x AND z.t = y) OR (z.s = y AND z.t = x)) AS known FROM f),
+    r AS (SELECT *, CASE WHEN known IS NOT NULL THEN 'synonyms' WHEN regexp_extract_all(a, '[0-9]+') <> regexp_extract_all(b, '[0-9]+') THEN 'different numbers'
+      WHEN x <> y AND replace(x, '-', ' ') = replace(y, '-', ' ') THEN 'hyphen or space'
+      WHEN (contains(a, '%') OR contains(b, '%')) AND trim(regexp_replace(replace(x, '%', ''), '\s+', ' ', 'g')) = trim(regexp_replace(replace(y, '%', ''), '\s+', ' ', 'g')) THEN 'percent sign'
+      WHEN x <> y AND {equal(chr(92) + 'bcontains' + chr(92) + 'b', 'contain')} THEN 'contain or contains'
+      WHEN x <> y AND {equal('([0-9])([a-zA-Z])', chr(92) + '1 ' + chr(92) + '2')} THEN 'space before a unit'
+      WHEN rtrim(x, '.') = rtrim(y, '.') THEN 'final period' ELSE 'no rule applies' END AS reason FROM k)
+    SELECT p_partkey, a, b, CASE WHEN reason IN ('different numbers', 'no rule applies') THEN 'keep_separate' ELSE 'merge' END AS action,
+      CASE reason WHEN 'synonyms' THEN CASE WHEN x = known THEN a ELSE b END WHEN 'hyphen or space' THEN CASE WHEN contains(a, '-') THEN a ELSE b END
+        WHEN 'percent sign' THEN CASE WHEN contains(a, '%') THEN a ELSE b END WHEN 'contain or contains' THEN CASE WHEN regexp_matches(a, '(?i)contains') THEN a ELSE b END
+        WHEN 'space before a unit' THEN CASE WHEN regexp_matches(a, '[0-9] [a-zA-Z]') THEN a ELSE b END WHEN 'final period' THEN CASE WHEN a LIKE '%.' THEN b ELSE a END END AS canonical, reason FROM r"""
+
+
+@query(_merge_sql())
 def merge_decisions(spark, sf_dir):
-    """Every rule once, against the outcomes that the rules state."""
-    rows = spark.createDataFrame([p[:2] for p in MERGE_PAIRS], "a string, b string").withColumn("d", merging.decide(F.col("a"), F.col("b")))
-    return rows.select("a", "b", "d.action", "d.canonical", "d.reason")
+    """Pairs of phrases of the parts, of which every rule decides some."""
+    sides = F.split("term", "[|]")
+    rows = S.part_phrases(spark, sf_dir, MERGE_PAIRS).select("p_partkey", F.get(sides, F.lit(0)).alias("a"), F.get(sides, F.lit(1)).alias("b"))
+    return rows.withColumn("d", merging.decide(F.col("a"), F.col("b"))).select("p_partkey", "a", "b", "d.action", "d.canonical", "d.reason")
 
 
 @query(

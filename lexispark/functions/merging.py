@@ -1,8 +1,11 @@
-"""Rules that decide whether two similar terms are one, as Column expressions."""
+"""Rules that decide whether two similar terms are one, as Column expressions.
+
+A variant rule is a row of a table: what is taken for the same, when that counts, and which of the two spellings stays.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,80 +14,67 @@ from lexispark import fixed
 from lexispark.functions.text import SPACE, compare_form, strip_punctuation
 
 
-def digit_runs(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit("([0-9]+)"), F.lit(1))
-
-
-def different_numbers(a: Column, b: Column) -> Column:
-    return digit_runs(a) != digit_runs(b)
-
-
-def _with(mark: str, a: Column, b: Column) -> Column:
-    return F.when(F.contains(a, F.lit(mark)), a).otherwise(b)
-
-
-def hyphen_variant(a: Column, b: Column) -> Column:
-    """The hyphenated form if only hyphens and spaces differ, else null."""
-    x, y = compare_form(a), compare_form(b)
-    plain = lambda c: F.replace(c, F.lit("-"), F.lit(" "))
-    return F.when((plain(x) == plain(y)) & (x != y), _with("-", a, b))
+@dataclass(frozen=True)
+class Variant:
+    """Two terms are variants if they are equal once `same` is replaced by `by`; the first that has (or with `lacks`, hasn't) `keep` stays, else the second.
 
+    differ: terms of one compare form aren't variants. marked: one of them must have `keep`. squeeze: white space that the replacement leaves is squeezed.
+    """
 
-def percent_variant(a: Column, b: Column) -> Column:
-    plain = lambda c: F.trim(F.regexp_replace(F.replace(compare_form(c), F.lit("%"), F.lit("")), SPACE, " "))
-    marked = F.contains(a, F.lit("%")) | F.contains(b, F.lit("%"))
-    return F.when((plain(a) == plain(b)) & marked, _with("%", a, b))
+    reason: str
+    same: str
+    by: str
+    keep: str
+    lacks: bool = False
+    differ: bool = True
+    marked: bool = False
+    squeeze: bool = False
 
 
-def contain_variant(a: Column, b: Column) -> Column:
-    x, y = compare_form(a), compare_form(b)
-    plain = lambda c: F.regexp_replace(c, r"\bcontains\b", "contain")
-    return F.when((plain(x) == plain(y)) & (x != y), F.when(a.rlike(r"(?i)\bcontains\b"), a).otherwise(b))
+FINAL_PERIOD = Variant("final period", r"\.+$", "", r"\.$", lacks=True, differ=False)
+#: In the order in which they are asked.
+VARIANTS = [
+    Variant("hyphen or space", "-", " ", "-"),
+    Variant("percent sign", "%", "", "%", differ=False, marked=True, squeeze=True),
+    Variant("contain or contains", r"\bcontains\b", "contain", r"(?i)\bcontains\b"),
+    Variant("space before a unit", "([0-9])([a-zA-Z])", "$1 $2", "[0-9] [a-zA-Z]"),
+    FINAL_PERIOD,
+]
 
 
-def unit_space_variant(a: Column, b: Column) -> Column:
+def variant(rule: Variant, a: Column, b: Column, legacy: bool = False) -> Column:
+    """The spelling that stays if the rule applies, else null. legacy: for the final period, a second term that ends in one always counts."""
     x, y = compare_form(a), compare_form(b)
-    spaced = lambda c: F.regexp_replace(c, "([0-9])([a-zA-Z])", "$1 $2")
-    return F.when((spaced(x) == spaced(y)) & (x != y), F.when(a.rlike("[0-9] [a-zA-Z]"), a).otherwise(b))
-
-
-def period_variant(a: Column, b: Column, legacy: bool = False) -> Column:
-    """The form without a final period if only that differs. legacy: a pair whose second term ends in a period always merges."""
-    x, y = compare_form(a), compare_form(b)
-    plain = lambda c: F.regexp_replace(c, r"\.+$", "")
-    same = plain(x) == plain(y)
-    if legacy:
-        same = same | (plain(y) != y)
-    return F.when(same, F.when(~a.endswith("."), a).otherwise(b))
-
-
-def synonym_variant(a: Column, b: Column) -> Column:
-    """Of a known pair of synonyms, in either order, the term that is the preferred form, else the second."""
+    replaced = [F.regexp_replace(c, rule.same, rule.by) for c in (x, y)]
+    if rule.squeeze:
+        replaced = [F.trim(F.regexp_replace(c, SPACE, " ")) for c in replaced]
+    counts = replaced[0] == replaced[1]
+    if legacy and rule is FINAL_PERIOD:
+        counts = counts | (replaced[1] != y)
+    if rule.differ:
+        counts = counts & (x != y)
+    if rule.marked:
+        counts = counts & (a.rlike(rule.keep) | b.rlike(rule.keep))
+    stays = ~a.rlike(rule.keep) if rule.lacks else a.rlike(rule.keep)
+    return F.when(counts, F.when(stays, a).otherwise(b))
+
+
+def synonym(a: Column, b: Column) -> Column:
+    """Of a known pair of synonyms, in either order, the term that is the preferred form, else the second; null for other pairs."""
     x, y = compare_form(a), compare_form(b)
-    known = reduce(
-        lambda out, s: out.when(((x == s[0]) & (y == s[1])) | ((x == s[1]) & (y == s[0])), s[2]),
-        fixed.SYNONYMS[1:],
-        F.when(((x == fixed.SYNONYMS[0][0]) & (y == fixed.SYNONYMS[0][1])) | ((x == fixed.SYNONYMS[0][1]) & (y == fixed.SYNONYMS[0][0])), fixed.SYNONYMS[0][2]),
-    )
+    table = F.array(*[F.struct(F.lit(f"{s}|{t}").alias("pair"), F.lit(best).alias("best")) for one, two, best in fixed.SYNONYMS for s, t in ((one, two), (two, one))])
+    known = F.get(F.filter(table, lambda r: r["pair"] == F.concat(x, F.lit("|"), y)), F.lit(0))["best"]
     return F.when(known.isNotNull(), F.when(x == known, a).otherwise(b))
 
 
 def decide(a: Column, b: Column, legacy: bool = False) -> Column:
-    """(action, canonical, reason) for a pair of terms at a small edit distance; the first rule that applies."""
-    out = lambda action, canonical, reason: F.struct(F.lit(action).alias("action"), canonical.alias("canonical"), F.lit(reason).alias("reason"))
-    keep = F.lit(None).cast("string")
-    merges = [
-        (hyphen_variant(a, b), "hyphen or space"),
-        (percent_variant(a, b), "percent sign"),
-        (contain_variant(a, b), "contain or contains"),
-        (unit_space_variant(a, b), "space before a unit"),
-        (period_variant(a, b, legacy), "final period"),
-    ]
-    first = F.when(synonym_variant(a, b).isNotNull(), out("merge", synonym_variant(a, b), "synonyms")).when(
-        different_numbers(a, b), out("keep_separate", keep, "different numbers")
-    )
-    chain = reduce(lambda c, m: c.when(m[0].isNotNull(), out("merge", m[0], m[1])), merges, first)
-    return chain.otherwise(out("keep_separate", keep, "no rule applies"))
+    """(action, canonical, reason) for a pair of terms at a small edit distance; the first rule that applies: synonyms, different numbers, variants."""
+    verdict = lambda canonical, reason: F.struct(F.when(canonical.isNull(), "keep_separate").otherwise("merge").alias("action"), canonical.alias("canonical"), F.lit(reason).alias("reason"))
+    merge = lambda canonical, reason: F.when(canonical.isNotNull(), verdict(canonical, reason))
+    none, numbers = F.lit(None).cast("string"), F.lit("([0-9]+)")
+    unlike = F.regexp_extract_all(a, numbers, F.lit(1)) != F.regexp_extract_all(b, numbers, F.lit(1))
+    found = [merge(synonym(a, b), "synonyms"), F.when(unlike, verdict(none, "different numbers")), *(merge(variant(v, a, b, legacy), v.reason) for v in VARIANTS)]
+    return F.coalesce(*found, verdict(none, "no rule applies"))
 
 
 def decide_punctuation(terms: Column) -> Column:

@@ -63,11 +63,5 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def unit(a: Column) -> Column:
-    """The array scaled to length 1; a zero vector stays."""
-    norm = F.sqrt(dot(a, a))
-    return F.when(norm > 0, F.transform(a, lambda x: x / norm)).otherwise(a)
-
-
 def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))

@@ -47,18 +47,6 @@ def decode_entities(c: Column) -> Column:
     return reduce(lambda out, e: F.replace(out, F.lit(e[0]), F.lit(e[1])), ENTITIES, F.coalesce(c, F.lit("")))
 
 
-def decode_all_entities():
-    """An Arrow UDF that decodes every named and numeric entity, for markup outside the common ones."""
-    import html
-
-    import pyarrow as pa
-
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([html.unescape(t) if t else "" for t in texts.to_pylist()], pa.string())
-
-    return F.arrow_udf(run, "string")
-
-
 def normalize_whitespace(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), SPACE, " "))
 

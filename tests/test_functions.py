@@ -49,8 +49,8 @@ def test_filter_end_to_end(spark):
 
 def test_period_rule_and_its_legacy_form(spark):
     rows = spark.createDataFrame([("blue", "glue."), ("soft", "soft.")], "a string, b string")
-    assert [r.p for r in rows.select(merging.period_variant(F.col("a"), F.col("b")).alias("p")).collect()] == [None, "soft"]
-    assert [r.p for r in rows.select(merging.period_variant(F.col("a"), F.col("b"), legacy=True).alias("p")).collect()] == ["blue", "soft"]
+    assert [r.p for r in rows.select(merging.variant(merging.FINAL_PERIOD, F.col("a"), F.col("b")).alias("p")).collect()] == [None, "soft"]
+    assert [r.p for r in rows.select(merging.variant(merging.FINAL_PERIOD, F.col("a"), F.col("b"), legacy=True).alias("p")).collect()] == ["blue", "soft"]
 
 
 def plain_edge(term):
