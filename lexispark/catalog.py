@@ -12,7 +12,7 @@ from jobs import glossary_release, term_ledger
 from lexispark import fixed
 from lexispark.functions import merging, scoring, validity
 from lexispark.functions import text as T
-from lexispark.operators import align, browse, dedupe, glossary, pairs, review, store, tagging, terms
+from lexispark.operators import align, browse, dedupe, glossary, keywords, pairs, review, store, tagging, terms
 from lexispark.plans import curation, mining
 from lexispark.session import scratch_dir, table
 from lexispark.sources import standins as S
@@ -626,6 +626,51 @@ def keyness(spark, sf_dir):
     return terms.yake_features(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+_LETTER, _SIGN, _DIGIT = r"'\p{L}'", r"[^\p{L}\p{N}]", r"'\p{N}'"
+
+
+def _joined_sql(a: str, b: str) -> str:
+    """Whether two raw words follow each other without signs between them, both with letters and without digits."""
+    plain = " AND ".join(f"regexp_matches({c}, {_LETTER}) AND NOT regexp_matches({c}, {_DIGIT})" for c in (a, b))
+    return rf"(regexp_matches({a}, '[\p{{L}}\p{{N}}]$') AND regexp_matches({b}, '^[\p{{L}}\p{{N}}]') AND {plain})"
+
+
+def _core_sql(c: str) -> str:
+    return f"regexp_replace({c}, '^{_SIGN}+|{_SIGN}+$', '', 'g')"
+
+
+@query(
+    rf"""WITH parts AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(10), 'g'), '\n+'), lambda s: regexp_matches(s, '[\p{{L}}\p{{N}}]')) AS x FROM documents),
+    sentences AS (SELECT doc_id, len(x) AS n, unnest(x) AS x, generate_subscripts(x, 1) AS s FROM parts),
+    split AS (SELECT doc_id, n, s, list_filter(regexp_split_to_array(x, '\s+'), lambda w: w <> '') AS ws FROM sentences),
+    raw AS (SELECT doc_id, n, s, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM split),
+    near AS (SELECT *, lag(w) OVER o AS b, lead(w) OVER o AS a FROM raw WINDOW o AS (PARTITION BY doc_id, s ORDER BY pos)),
+    tokens AS (SELECT doc_id, n, s, pos, {_core_sql("w")} AS word, CASE WHEN {_joined_sql("b", "w")} THEN lower({_core_sql("b")}) END AS l, CASE WHEN {_joined_sql("w", "a")} THEN lower({_core_sql("a")}) END AS r
+      FROM near WHERE regexp_matches(w, {_LETTER}) AND NOT regexp_matches(w, {_DIGIT})),
+    cased AS (SELECT *, length(word) > 1 AND NOT regexp_matches(word, '[^\p{{Lu}}]') AS acronym FROM tokens),
+    words AS (SELECT doc_id, lower(word) AS t, count(*)::DOUBLE AS tf, max(n) AS n, greatest(count(*) FILTER (NOT acronym AND pos > 1 AND regexp_matches(word, '^\p{{Lu}}')), count(*) FILTER (acronym))::DOUBLE AS cased,
+      median(DISTINCT s - 1) AS mid, count(DISTINCT s) AS spread, count(DISTINCT l) / greatest(count(l), 1) + count(DISTINCT r) / greatest(count(r), 1) AS sides FROM cased GROUP BY ALL),
+    f AS (SELECT *, t IN ({quoted(fixed.STOPWORDS)}) OR length(t) < 3 AS stop FROM words),
+    d AS (SELECT doc_id, max(tf) AS most, avg(tf) FILTER (NOT stop) + stddev_pop(tf) FILTER (NOT stop) AS usual FROM f GROUP BY 1),
+    p AS (SELECT f.*, usual, 1 + sides * tf / most AS rel, ln(ln(3 + mid)) AS place FROM f JOIN d USING (doc_id) WHERE NOT stop)
+    SELECT doc_id, t AS term, tf::BIGINT AS frequency, round(rel * place / (cased / (1 + ln(tf)) + tf / usual / rel + spread / n / rel), 6) AS weight FROM p"""
+)
+def keyword_weights(spark, sf_dir):
+    return keywords.word_weights(table(spark, sf_dir, "documents"), "doc_id", "text").withColumn("weight", F.round("weight", 6))
+
+
+@query()
+def statistical_keywords(spark, sf_dir):
+    """tests/test_keywords.py has the plain version."""
+    return keywords.statistical(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query()
+def embedding_keywords(spark, sf_dir):
+    """tests/test_keywords.py has the plain version."""
+    return keywords.embedded(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 # --- duplicates ---
 
 

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from lexispark import fixed
 from lexispark.functions import scoring, text as T, validity
+from lexispark.operators import keywords as single
 from lexispark.operators import tagging
+from lexispark.session import scratch_table
 
 SPAN = "struct<start:int,end:int,text:string>"
 
@@ -118,16 +120,21 @@ def matched(texts: DataFrame, text: str, tagger: Callable[[Column], Column] | ta
 
 
 def extract(texts: DataFrame, key: str, text: str, tagger: Callable[[Column], Column] | tagging.Model, least: int = 3, chunks: str | None = None) -> DataFrame:
-    """Terms of each text by patterns and noun chunks (of a fitted model, or an array column), topped up by keywords where fewer than `least` are found."""
+    """Terms of each text by patterns and noun chunks (of a fitted model, or an array column).
+
+    Where fewer than `least` are found, keywords follow: those nearest to the whole text, then those by statistics that are new. Terms and such texts are written once, as both are read again.
+    """
     spans = matched(texts, text, tagger)
     chunks = "__chunks" if chunks is None and "__chunks" in spans.columns else chunks
     if chunks:
         spans = spans.withColumn("__spans", F.concat(F.col(chunks).cast(f"array<{SPAN}>"), "__spans"))
-    primary = term_rows(spans.select(key, deoverlap(F.col("__spans")).alias("spans")), key)
+    primary = scratch_table(term_rows(spans.select(key, deoverlap(F.col("__spans")).alias("spans")), key), "terms")
     counts = primary.groupBy(key).agg(F.count("*").alias("__n"))
-    poor = texts.select(key, text).join(counts, key, "left").filter(F.coalesce("__n", F.lit(0)) < least)
-    words = keywords(poor, key, text).withColumn("pos", F.lit(1_000_000) + F.col("rank")).drop("rank", "score")
-    words = words.join(poor.select(key, text), key).select(key, "pos", "term", T.find_span(F.col(text), F.col("term")).alias("__s"))
+    poor = scratch_table(texts.select(key, text).join(counts, key, "left").filter(F.coalesce("__n", F.lit(0)) < least).drop("__n"), "poor-texts")
+    near, telling = single.embedded(poor, key, text), single.statistical(poor, key, text)
+    words = near.select(key, (F.lit(1_000_000) + F.col("rank")).alias("pos"), "term").unionByName(telling.select(key, (F.lit(2_000_000) + F.col("rank")).alias("pos"), "term"))
+    words = words.groupBy(key, "term").agg(F.min("pos").alias("pos"))
+    words = words.join(poor, key).select(key, "pos", "term", T.find_span(F.col(text), F.col("term")).alias("__s"))
     extra = words.select(key, "pos", "term", F.col("__s.start").alias("start"), F.col("__s.end").alias("end"))
     extra = extra.filter(validity.is_extractable(F.col("term"))).withColumn("domain", scoring.classify_domain(F.col("term"))).withColumn("normalized_term", F.lower("term"))
     if isinstance(tagger, tagging.Model):
