@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ LONGEST_CHARS = 200  # of an n-gram: what is longer is no term
 SHORT = 3  # words of fewer characters count as stopwords
 DIMENSIONS = 64
 BLOCK = 4_096
+CACHED = 32_768  # vectors of words that a worker keeps, of half a kilobyte each
 
 
 # --- statistics ---
@@ -182,8 +184,9 @@ def _unlike(batches: Iterator[pa.RecordBatch], top: int, alike: float) -> Iterat
 
 # --- nearness to the whole text ---
 
+@lru_cache(maxsize=CACHED)
 def word_vector(word: str) -> np.ndarray:
-    """A word's vector of length 1 by hashed character n-grams; it needs no model. Equal words get equal vectors."""
+    """A word's vector of length 1 by hashed character n-grams; it needs no model. Equal words get equal vectors. A worker keeps those it met last."""
     out, padded = np.zeros(DIMENSIONS), f" {word} "
     for n in range(2, 5):
         for i in range(len(padded) - n + 1):
