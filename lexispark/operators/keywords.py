@@ -52,19 +52,18 @@ def _words(texts: DataFrame, key: str, text: str) -> DataFrame:
     sentences = base.select("k", F.filter(F.split(F.coalesce("x", F.lit("")), SENTENCE), lambda s: s.rlike(r"[\p{L}\p{N}]")).alias("x"))
     # explode_outer and a filter, here and below: see the README
     rows = sentences.select("k", F.size("x").alias("n"), F.posexplode_outer("x").alias("s", "x")).filter("x IS NOT NULL")
-    rows = rows.select("k", "n", "s", T.words(F.col("x")).alias("w"))
-    rows = rows.withColumns({"b": F.concat(F.array(F.lit(None).cast("string")), "w"), "a": F.slice("w", F.lit(2), F.size("w"))})
-    rows = rows.select("k", "n", "s", F.posexplode_outer(F.arrays_zip("w", "b", "a")).alias("at", "z")).select("k", "n", "s", "at", "z.*").filter("w IS NOT NULL")
+    rows = rows.select("k", "n", "s", F.posexplode_outer(T.words(F.col("x"))).alias("at", "w")).filter("w IS NOT NULL")
 
     # each end is cut from the front, as a search for signs at the end is quadratic in a run of signs
     cut = lambda c: F.regexp_replace(c, r"^[^\p{L}\p{N}]+", "")
-    core = lambda c: F.reverse(cut(F.reverse(cut(c))))
-    plain = lambda c: c.rlike(r"\p{L}") & ~c.rlike(r"\p{N}")
-    joined = lambda a, b: a.rlike(r"[\p{L}\p{N}]$") & b.rlike(r"^[\p{L}\p{N}]") & plain(a) & plain(b)
-    w, b, a = F.col("w"), F.col("b"), F.col("a")
-    rows = rows.filter(plain(w)).select(
-        "k", "n", "s", "at", core(w).alias("word"), F.when(joined(b, w), F.lower(core(b))).alias("l"), F.when(joined(w, a), F.lower(core(a))).alias("r"),
-    )
+    w = F.col("w")
+    plain = w.rlike(r"\p{L}") & ~w.rlike(r"\p{N}")
+    rows = rows.select("k", "n", "s", "at", F.reverse(cut(F.reverse(cut(w)))).alias("word"), plain.alias("plain"), w.rlike(r"^[\p{L}\p{N}]").alias("opens"), w.rlike(r"[\p{L}\p{N}]$").alias("closes"))
+    # the signs of a word are read once, before its neighbours look at them
+    order = Window.partitionBy("k", "s").orderBy("at")
+    rows = rows.withColumns({c: f(F.struct("word", "plain", "opens", "closes")).over(order) for c, f in (("b", F.lag), ("a", F.lead))}).filter("plain")
+    beside = lambda c, near, own: F.when(F.col(f"{c}.plain") & F.col(f"{c}.{near}") & F.col(own), F.lower(f"{c}.word"))
+    rows = rows.select("k", "n", "s", "at", "word", beside("b", "closes", "opens").alias("l"), beside("a", "opens", "closes").alias("r"))
     t, word = F.lower("word"), F.col("word")
     acronym = (F.length(word) > 1) & ~word.rlike(r"[^\p{Lu}]")
     return rows.select(
