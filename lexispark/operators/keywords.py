@@ -1,6 +1,6 @@
 """Keywords of single texts: by statistics of their words as published (`statistical`), and by nearness of their n-grams to the whole text (`embedded`).
 
-Both read whole texts and know nothing of other texts. `key` tells the texts apart. Defined results: a null, empty or wordless text has no keywords; equal texts have equal ones; ties go
+Both read whole texts and know nothing of other texts. `key` must tell the texts apart. Defined results: a null, empty or wordless text has no keywords; equal texts have equal ones; ties go
 to the first term in code-point order; other columns are not looked at, whatever their names.
 """
 
