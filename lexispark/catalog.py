@@ -12,7 +12,7 @@ from jobs import glossary_release, term_ledger
 from lexispark import fixed
 from lexispark.functions import merging, scoring, validity
 from lexispark.functions import text as T
-from lexispark.operators import align, browse, dedupe, glossary, keywords, pairs, review, store, tagging, terms
+from lexispark.operators import align, browse, dedupe, glossary, keywords, nearest, pairs, review, store, tagging, terms
 from lexispark.plans import curation, mining
 from lexispark.session import scratch_dir, table
 from lexispark.sources import standins as S
@@ -549,8 +549,7 @@ def align_cosine_all(spark, sf_dir):
 @query()
 def align_best_all(spark, sf_dir):
     """The nearest later vector of each vector among all, the form of align_best without labels."""
-    near = align.all_pairs(table(spark, sf_dir, "embeddings"), "vec_id", -2.0)
-    return near.groupBy("id_a").agg(F.min_by("id_b", F.struct(-F.col("similarity"), F.col("id_b"))).alias("best"), F.max("similarity").alias("similarity"))
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), "vec_id", later=True).withColumnRenamed("id_b", "best")
 
 
 @query()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lexispark import fixed
 from lexispark.functions import scoring
 from lexispark.functions.text import target_phrases
+from lexispark.operators import nearest
 
 Encoder = Callable[[Column], Column]
 
@@ -71,34 +72,6 @@ def near_pairs(vectors: DataFrame, key: str, group: str, threshold: float) -> Da
     return a.join(b, group).filter("id_a < id_b").withColumn("similarity", scoring.cosine(F.col("va"), F.col("vb"))).filter(F.col("similarity") >= threshold).select(group, "id_a", "id_b", "similarity")
 
 
-def all_pairs(vectors: DataFrame, key: str, threshold: float, block: int = 512) -> DataFrame:
-    """id_a, id_b, similarity of all pairs of vectors whose cosine, rounded to six places, reaches the threshold, with id_a < id_b.
-
-    Blocks of about `block` vectors meet each other, so a task holds two of them, whatever the table's size.
-    """
-    n = max(1, -(-vectors.count() // block))
-    rows = vectors.select(F.pmod(F.xxhash64(key), F.lit(n)).alias("block"), F.struct(F.col(key).alias("id"), F.col("embedding").alias("v")).alias("row"))
-    blocks = rows.groupBy("block").agg(F.collect_list("row").alias("rows"))
-    left, right = blocks.select(F.col("block").alias("p"), F.col("rows").alias("left")), blocks.select(F.col("block").alias("q"), F.col("rows").alias("right"))
-    id_type = vectors.schema[key].dataType.simpleString()
-
-    def multiply(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids, units = [], []
-                for side in (batch.column(0), batch.column(1)):
-                    found = side.slice(i, 1).flatten()
-                    v = np.array(found.field(1).to_pylist(), dtype=np.float64)
-                    norm = np.linalg.norm(v, axis=1, keepdims=True)
-                    ids.append(found.field(0).to_numpy(zero_copy_only=False))
-                    units.append(np.divide(v, norm, out=np.zeros_like(v), where=norm > 0))
-                similarity = np.round(units[0] @ units[1].T, 6)
-                a, b = np.nonzero(similarity >= threshold)
-                x, y, s = ids[0][a], ids[1][b], similarity[a, b]
-                # Within a block each pair comes twice, and each vector with itself.
-                once = (x < y) if batch.column(2)[i].as_py() else np.ones(len(x), dtype=bool)
-                low, high = np.minimum(x, y)[once], np.maximum(x, y)[once]
-                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(s[once])], ["id_a", "id_b", "similarity"])
-
-    met = left.join(right, F.col("p") <= F.col("q")).select("left", "right", (F.col("p") == F.col("q")).alias("same"))
-    return met.mapInArrow(multiply, f"id_a {id_type}, id_b {id_type}, similarity double")
+def all_pairs(vectors: DataFrame, key: str, threshold: float, block: int = nearest.BLOCK) -> DataFrame:
+    """id_a, id_b, similarity of all pairs of vectors whose cosine, rounded to six places, reaches the threshold, with id_a < id_b; see `nearest.similar_pairs`."""
+    return nearest.similar_pairs(vectors, key, threshold, block=block)
