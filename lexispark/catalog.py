@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from jobs import glossary_release, term_ledger
 from lexispark import fixed
 from lexispark.functions import merging, scoring, validity
 from lexispark.functions import text as T
-from lexispark.operators import align, browse, dedupe, glossary, keywords, nearest, pairs, review, store, tagging, terms
+from lexispark.operators import align, browse, dedupe, glossary, keywords, nearest, pairs, review, store, substring, tagging, terms
 from lexispark.plans import curation, mining
 from lexispark.session import scratch_dir, table
 from lexispark.sources import standins as S
@@ -180,6 +181,35 @@ def search_like(spark, sf_dir):
     return browse.filtered(S.candidates(spark, sf_dir), browse.Page(search="BOLT")).select("id", "source_term", "domain")
 
 
+#: Whole words, parts of words, wildcards inside and alone, under three characters, in other case, and one that nothing holds.
+SOUGHT = ["BOLT", "b_lt", "small%ge", "in", "ll r", "%", "generaL", "zzqz"]
+
+
+def _sought_sql(sought: list[str], fields: list[str]) -> str:
+    either = " OR ".join(f"{c} ILIKE '%' || sought || '%'" for c in fields)
+    return f"{values([(v,) for v in sought], 'sought')} JOIN t ON {either}"
+
+
+@query(with_candidates(f", t AS (SELECT * FROM candidates) SELECT sought, id, source_term FROM {_sought_sql(SOUGHT, browse.SEARCHED)}"))
+def search_indexed(spark, sf_dir):
+    """Several searches of the candidates over one index."""
+    rows = S.candidates(spark, sf_dir)
+    index = substring.build(rows, "id", browse.SEARCHED)
+    found = [browse.filtered(rows, browse.Page(search=v), index).select(F.lit(v).alias("sought"), "id", "source_term") for v in SOUGHT]
+    return reduce(DataFrame.unionByName, found)
+
+
+PASSAGES = ["Worthless", "the of", "éanm", "on_the", "is w%st the by", "ÉÉ", "onrein | ned"]
+
+
+@query(f"WITH t AS (SELECT doc_id, text FROM documents) SELECT sought, doc_id FROM {_sought_sql(PASSAGES, ['text'])}")
+def search_documents(spark, sf_dir):
+    """Several searches of whole texts over one index."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = substring.build(rows, "doc_id", ["text"])
+    return reduce(DataFrame.unionByName, [substring.search(rows, index, v).select(F.lit(v).alias("sought"), "doc_id") for v in PASSAGES])
+
+
 @query(
     """SELECT event_id, json_extract_string(n, '$.confidence')::DOUBLE AS rn_confidence, json_extract_string(n, '$.source_term_cleanness')::INTEGER AS rn_cleanness,
     coalesce(json_extract_string(n, '$.notes'), '') AS rn_notes, 0 AS n_reasons
