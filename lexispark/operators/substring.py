@@ -51,9 +51,9 @@ def grams(text: Column) -> Column:
 
 def build(rows: DataFrame, key: str, fields: list[str]) -> Index:
     """The index of the fields of rows whose key is unique. Rows without a key are not in it."""
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("field"), grams(F.col(c)).alias("grams")) for i, c in enumerate(fields)])).alias("f")
+    each = F.explode_outer(F.array(*[F.struct(F.lit(i).alias("field"), grams(F.col(c)).alias("grams")) for i, c in enumerate(fields)])).alias("f")
     lists = rows.filter(F.col(key).isNotNull()).select(key, each)
-    postings = scratch_table(ordered(lists.select(F.explode("f.grams").alias("gram"), "f.field", key), "gram", "field", key), "trigram-postings")
+    postings = scratch_table(ordered(lists.select(F.explode_outer("f.grams").alias("gram"), "f.field", key).filter("gram IS NOT NULL"), "gram", "field", key), "trigram-postings")
     counts = scratch_table(ordered(postings.groupBy("gram").agg(F.count("*").alias("n")), "gram"), "trigram-counts")
     return Index(postings, counts, key, tuple(fields))
 
