@@ -8,13 +8,52 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lexispark import fixed
 from lexispark.functions import text as T
 
 KEY = ["source_locale", "target_locale", "normalized_source", "domain"]
-FIRST = ["source_term", "target_term", "normalized_target", "category", "field_origin", "status", "source_context", "target_context"]
-LAST = ["evidence_product_ids"]
+FIRST = ["id", "source_term", "target_term", "normalized_target", "category", "field_origin", "status", "source_context", "target_context", "reviewer_notes", "created_at"]
+LAST = ["evidence_product_ids", "updated_at"]
+
+#: The columns of the candidate table in their order, with the names that this engine gives the two scores.
+SCHEMA = (
+    "id long not null, source_locale string not null, target_locale string not null, source_term string not null, target_term string not null, "
+    "normalized_source string not null, normalized_target string not null, domain string, category string, field_origin string, frequency long, "
+    "similarity double, final_score double, status string, source_context string, target_context string, evidence_product_ids string, "
+    "reviewer_notes string, created_at timestamp, updated_at timestamp"
+)
+#: What a row gets where it names none.
+DEFAULTS = {"frequency": 1, "status": "needs_review"}
+
+
+def key_id() -> Column:
+    """An id that the key alone decides: 52 bits of its MD5, so it stays the same however often and wherever the row is made.
+
+    The names of two keys may join to one text, so each is preceded by its length; nulls differ from empty names.
+    """
+    parts = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in KEY]
+    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 13), 16, 10).cast("long")
+
+
+def declared(rows: DataFrame, now: Column | None = None) -> DataFrame:
+    """Rows in the declared schema: its columns, order and types, and no others.
+
+    Missing ids come from the key, missing categories from the domain, missing times from now, other missing values from DEFAULTS or are null. A null
+    in a column that forbids it, and a value that can't be cast, stop the job when it runs.
+    """
+    now = F.current_timestamp() if now is None else now
+    given = lambda name: F.col(name) if name in rows.columns else F.lit(None)
+    rest = {"id": key_id(), "category": given("domain"), "created_at": now, "updated_at": now} | {c: F.lit(v) for c, v in DEFAULTS.items()}
+    columns = []
+    for field in StructType.fromDDL(SCHEMA):
+        value = F.coalesce(given(field.name), rest[field.name]) if field.name in rest else given(field.name)
+        value = value.cast(field.dataType)
+        if not field.nullable:
+            value = F.when(value.isNull(), F.raise_error(F.lit(f"{field.name} is null")).cast(field.dataType)).otherwise(value)
+        columns.append(value.alias(field.name))
+    return rows.select(*columns)
 
 
 def fold(events: DataFrame, seq: str = "seq") -> DataFrame:
@@ -102,7 +141,7 @@ def _one_per_key(rows: DataFrame) -> DataFrame:
     """Rows that share a key as one; without the columns of the key, and for null terms, rows stay as they are."""
     if not set(KEY) <= set(rows.columns):
         return rows
-    merged = {"frequency": F.sum, "n_hits": F.sum, "similarity": F.max, "final_score": F.max}
+    merged = {"frequency": F.sum, "n_hits": F.sum, "similarity": F.max, "final_score": F.max, "created_at": F.min, "updated_at": F.max}
     rest = [c for c in rows.columns if c not in KEY]
     alone = F.when(F.col("normalized_source").isNull(), F.col("id"))
     found = rows.groupBy(*KEY, alone.alias("__alone")).agg(F.min_by(F.struct(*rest), F.col("id")).alias("__first"), *[f(c).alias(f"__{c}") for c, f in merged.items() if c in rest])
