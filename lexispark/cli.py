@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         if "id" not in rows.columns:
             rows = rows.withColumn("id", F.conv(F.substring(F.md5(F.concat_ws("|", *store.KEY)), 1, 13), 16, 10).cast("long"))
         out = curation.deduplicated_glossary(rows) if args.best else glossary.pivot_first(glossary.exportable(rows, args.min_score))
-        files.write_csv(out, args.out, [fixed.SOURCE_LOCALE])
+        files.write_csv(out, args.out, [F.lower(fixed.SOURCE_LOCALE), F.col(fixed.SOURCE_LOCALE)])
         glossary.coverage(out).show()
     elif args.command == "rebase":
         files.write_csv(glossary.rebase(files.read_csv(spark, args.glossary).fillna(""), args.locale), args.out)

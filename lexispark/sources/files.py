@@ -16,7 +16,7 @@ from pathlib import Path
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark import fixed
@@ -123,7 +123,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*[c.lstrip("﻿") for c in df.columns])
 
 
-def write_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
+def write_csv(df: DataFrame, path: str, order: list[str | Column] | None = None) -> None:
     """One CSV file with a header, for glossaries: their size is that of a vocabulary, not of the corpus."""
     (df.orderBy(*order) if order else df).coalesce(1).write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
