@@ -73,3 +73,22 @@ def test_text_keys_and_empty_tables(spark, table):
 def test_the_plan_has_no_nested_loop(table):
     plan = nearest.similar_pairs(table, "vec_id", 0.9)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_groups_are_compared_by_blocks_and_whole(spark):
+    """As a join on the group: every pair, copies too, each row by itself; none across groups. Zero vectors have no neighbours."""
+    data = [(k, v, i % 3) for i, (k, v) in enumerate(rows())]
+    more = [(k, v, 0) for k, v in AWKWARD] + [(9100, [1.0] * 8, None), (9101, [1.0] * 8, None), (9102, [1.0] * 8, 7)]
+    grouped = spark.createDataFrame(data + more, "vec_id long, embedding array<double>, label int")
+    unit = {k: np.array(v) / np.linalg.norm(v) for k, v, _ in data}
+    label = {k: g for k, _, g in data}
+    cosine = {(a, b): float(unit[a] @ unit[b]) for a in unit for b in unit if a < b and label[a] == label[b]}
+    best = {}
+    for (a, b), s in sorted(cosine.items(), key=lambda x: (-round(x[1], 6), x[0][1])):
+        best.setdefault(a, (b, round(s, 6)))
+    for block in (16, 4096):
+        found = nearest.pairs_in_groups(grouped, "vec_id", "label", 0.9, block=block).collect()
+        assert sorted((r.id_a, r.id_b) for r in found) == sorted(p for p, s in cosine.items() if s >= 0.9)
+        assert all(r.label == label[r.id_a] and abs(r.similarity - cosine[r.id_a, r.id_b]) < 1e-9 for r in found)
+        near = nearest.best_in_groups(grouped, "vec_id", "label", block=block).collect()
+        assert {r.id_a: (r.id_b, round(r.similarity, 6)) for r in near} == best and len(near) == len(best)
