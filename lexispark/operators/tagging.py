@@ -23,8 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lexispark import fixed
 from lexispark.session import scratch_table, ship
@@ -32,6 +34,8 @@ from lexispark.session import scratch_table, ship
 STATES = "ANVX"
 K = len(STATES)
 ENDINGS = 256
+#: Texts, and characters of them, that are tagged together and leave a task together.
+PORTION, PORTION_CHARS = 64, 1 << 18
 TOKEN = "struct<start:int,end:int,text:string,tag:string>"
 SPAN = "struct<start:int,end:int,text:string>"
 
@@ -234,18 +238,35 @@ def _tag_all(model: Model, texts: list[str]) -> list[tuple[list[dict], list[dict
     return out
 
 
+def portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, last + 1) of consecutive texts: at most PORTION of them, and about PORTION_CHARS characters or one longer text."""
+    first, chars = 0, 0
+    for i, n in enumerate(pc.utf8_length(texts).to_pylist()):
+        if i > first and (i - first == PORTION or chars + (n or 0) > PORTION_CHARS):
+            yield first, i
+            first, chars = i, 0
+        chars += n or 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
 def annotate(texts: DataFrame, text: str, model: Model, out: str) -> DataFrame:
-    """Add a struct: tokens (start, end, text, tag) and chunks (start, end, text)."""
+    """Add a struct: tokens (start, end, text, tag) and chunks (start, end, text).
+
+    A portion of a batch is tagged and leaves the task at a time: as Python objects, tokens take some hundred times their text, and a batch has up to 10,000 texts.
+    """
     ship(texts.sparkSession)
     shared = texts.sparkSession.sparkContext.broadcast(model)
     span = [("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())]
     kind = pa.struct([("tokens", pa.list_(pa.struct([*span, ("tag", pa.string())]))), ("chunks", pa.list_(pa.struct(span)))])
+    rest = [c for c in texts.columns if c != out]
 
-    def run(found: pa.Array) -> pa.Array:
-        rows = []
-        for k in range(0, len(found), 64):  # some texts at a time, which bounds the arrays
-            rows += [{"tokens": made, "chunks": chunks} for made, chunks in _tag_all(shared.value, found.slice(k, 64).to_pylist())]
-        return pa.array(rows, kind)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in portions(batch.column(text)):
+                part = batch.slice(a, b - a)
+                made = [{"tokens": t, "chunks": c} for t, c in _tag_all(shared.value, [t or "" for t in part.column(text).to_pylist()])]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(made, kind)], [*rest, out])
 
-    udf = F.arrow_udf(run, f"struct<tokens:array<{TOKEN}>,chunks:array<{SPAN}>>")
-    return texts.withColumn(out, udf(F.coalesce(F.col(text), F.lit(""))))
+    added = StructType([*(texts.schema[c] for c in rest), *StructType.fromDDL(f"`{out}` struct<tokens:array<{TOKEN}>,chunks:array<{SPAN}>>")])
+    return texts.select(*rest).mapInArrow(run, added)

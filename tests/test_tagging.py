@@ -116,3 +116,19 @@ def test_no_texts_give_no_tokens(spark):
     model = tagging.fit(none, "text")
     assert tagging.annotate(none, "text", model, "t").collect() == []
     assert [t["tag"] for t in tagging.tag(model, "the wool")[0]] == ["X", "N"]
+
+
+def test_a_task_holds_a_portion_of_tagged_texts(spark):
+    """Many texts, and long ones, leave a task in portions; a whole batch of tokens as objects took over a gigabyte a worker."""
+    import pyarrow as pa
+
+    texts = ["soft wool sleeve. " * 3] * 150 + ["warm wool box. " * 40_000, "", "x"] + ["long text " * 20_000] * 3
+    found = list(tagging.portions(pa.array(texts)))
+    assert found[0] == (0, 64) and [b for _, b in found][:-1] == [a for a, _ in found][1:] and found[-1][1] == len(texts)
+    assert all(b - a == 1 or sum(map(len, texts[a:b])) <= tagging.PORTION_CHARS and b - a <= tagging.PORTION for a, b in found)
+    assert list(tagging.portions(pa.array([], pa.string()))) == []
+    rows = spark.createDataFrame(list(enumerate([*texts[:70], None])), "id long, text string").coalesce(1)
+    model = tagging.fit(rows, "text")
+    got = tagging.annotate(rows, "text", model, "t").collect()
+    assert [r.id for r in got] == list(range(71))
+    assert all([x.asDict() for x in r.t.tokens] == tagging.tag(model, r.text or "")[0] for r in got)
