@@ -236,6 +236,16 @@ def test_alignment_by_hashed_ngrams(spark):
     assert [(r.source_term, r.target_term) for r in got] == [("cotton", "cotton")]
 
 
+def test_alignment_broadcasts_no_vectors_and_takes_repeats_and_nulls(spark):
+    from lexispark.operators import align
+
+    t = spark.createDataFrame([(1, "cotton"), (1, "cotton"), (1, None), (2, "wool"), (None, "cotton"), (3, "wool")], "k int, source_term string")
+    p = spark.createDataFrame([(1, "soft cotton, warm"), (1, "cotton"), (2, None), (3, ""), (4, "wool"), (None, "cotton")], "k int, target_text string")
+    found = align.align(t, p, "k", align.hashing_encoder())
+    assert sorted((r.k, r.source_term, r.target_term, round(r.similarity, 5)) for r in found.collect()) == [(1, "cotton", "cotton", 1.0)] * 4
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_verdicts(spark):
     rows = spark.createDataFrame([(2, 5, 5, False), (4, 4, 4, True), (4, 4, 4, False), (3, 4, 4, False)], "a int, b int, c int, brand boolean")
     got = [r.v for r in rows.select(review.verdict_phase1(F.col("a"), F.col("b"), F.col("c"), F.col("brand")).alias("v")).collect()]
