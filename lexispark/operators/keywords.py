@@ -25,6 +25,7 @@ LONGEST_CHARS = 200  # of an n-gram: what is longer is no term
 SHORT = 3  # words of fewer characters count as stopwords
 DIMENSIONS = 64
 BLOCK = 4_096
+PART_CHARS = 1 << 21  # of texts whose words or n-grams become rows of one task
 CACHED = 32_768  # vectors of words that a worker keeps, of half a kilobyte each
 
 
@@ -46,9 +47,19 @@ def statistical(texts: DataFrame, key: str, text: str, longest: int = 4, top: in
     return chosen.select(F.col("k").alias(key), "term", "rank", "score")
 
 
+def dealt(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """The texts shuffled by key into parts of about PART_CHARS characters each, which a first pass counts.
+
+    What is made of a part, a row for each word or n-gram, is sorted and grouped within it and stays in memory. By the number of the session alone, or where small parts are put together,
+    such rows take some hundred times the text and spill over and over.
+    """
+    chars = texts.agg(F.sum(F.length(text))).first()[0] or 0
+    return texts.repartition(max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // PART_CHARS)), key)
+
+
 def _words(texts: DataFrame, key: str, text: str) -> DataFrame:
     """k, n (sentences of the text), s and at (place), t (lower case), l and r (neighbours of the same run, or null), stop, upper, acronym: words with a letter and without digits."""
-    base = texts.select(F.col(key).alias("k"), F.col(text).alias("x")).repartition("k")
+    base = dealt(texts.select(F.col(key).alias("k"), F.col(text).alias("x")), "k", "x")
     sentences = base.select("k", F.filter(F.split(F.coalesce("x", F.lit("")), SENTENCE), lambda s: s.rlike(r"[\p{L}\p{N}]")).alias("x"))
     # explode_outer and a filter, here and below: see the README
     rows = sentences.select("k", F.size("x").alias("n"), F.posexplode_outer("x").alias("s", "x")).filter("x IS NOT NULL")
