@@ -149,10 +149,10 @@ def extract(texts: DataFrame, key: str, text: str, tagger: Callable[[Column], Co
 def keywords(texts: DataFrame, key: str, text: str, longest: int = 4, top: int = 15) -> DataFrame:
     """Statistical keywords: n-grams whose edges are no stopwords, by how often and how early they stand, longer ones first on ties.
 
-    score = frequency * words of the n-gram / (1 + log(1 + first position)). Counts are per text and n-gram before any window.
+    score = frequency * words of the n-gram / (1 + log(1 + first position)). Counts are per text and n-gram before any window. Texts are shuffled once; n-grams stay where their text is.
     """
     tokens = F.filter(F.transform(T.words(F.lower(F.col(text))), lambda w: T.strip_punctuation(w)), lambda w: w != "")
-    base = texts.select(key, tokens.alias("__w"))
+    base = single.dealt(texts.select(key, text), key, text).select(key, tokens.alias("__w"))
 
     def of_size(n: int) -> Column:
         gram = lambda i: F.struct(F.array_join(F.slice(F.col("__w"), i + 1, n), " ").alias("term"), i.alias("at"), F.lit(n).alias("n"), F.get("__w", i).alias("a"), F.get("__w", i + (n - 1)).alias("b"))
@@ -173,15 +173,17 @@ def yake_features(texts: DataFrame, key: str, text: str) -> DataFrame:
 
     casing, position of the median sentence, frequency against mean plus deviation, and the share of sentences.
     """
-    sentences = texts.select(key, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), r"[.!?\n]+")).alias("s", "sentence"))
-    rows = sentences.select(key, "s", F.explode_outer(T.words(F.col("sentence"))).alias("w")).withColumn("term", T.strip_punctuation(F.lower("w"))).filter((F.col("term") != "") & ~F.col("term").isin(fixed.STOPWORDS))
-    by_term = rows.groupBy(key, "term").agg(
-        F.count("*").cast("double").alias("tf"), F.count_if(F.col("w").rlike(r"^\p{Lu}")).cast("double").alias("upper"),
-        F.percentile("s", 0.5).alias("median"), F.countDistinct("s").cast("double").alias("spread"),
+    whole = Window.partitionBy(key)
+    parts = F.split(F.coalesce(F.col(text), F.lit("")), r"[.!?\n]+")
+    # texts are shuffled once, and all that follows keeps their partitioning
+    base = single.dealt(texts.select(key, text).filter(F.col(key).isNotNull()), key, text).select(key, parts.alias("x"))
+    sentences = base.withColumn("n", F.sum(F.size("x")).over(whole).cast("double")).select(key, "n", F.posexplode_outer("x").alias("s", "sentence"))
+    rows = sentences.select(key, "n", "s", F.explode_outer(T.words(F.col("sentence"))).alias("w")).withColumn("term", T.strip_punctuation(F.lower("w"))).filter((F.col("term") != "") & ~F.col("term").isin(fixed.STOPWORDS))
+    by_sentence = rows.groupBy(key, "term", "s").agg(F.count("*").alias("tf"), F.count_if(F.col("w").rlike(r"^\p{Lu}")).alias("upper"), F.max("n").alias("n"))
+    by_term = by_sentence.groupBy(key, "term").agg(
+        F.sum("tf").cast("double").alias("tf"), F.sum("upper").cast("double").alias("upper"), F.percentile("s", 0.5, F.col("tf")).alias("median"), F.count("*").cast("double").alias("spread"), F.max("n").alias("n"),
     )
-    totals = by_term.groupBy(key).agg(F.avg("tf").alias("mean"), F.stddev_pop("tf").alias("dev"))
-    counts = sentences.groupBy(key).agg(F.count("*").cast("double").alias("n"))
-    joined = by_term.join(totals, key).join(counts, key)
+    joined = by_term.withColumns({"mean": F.avg("tf").over(whole), "dev": F.stddev_pop("tf").over(whole)})
     position = F.log(F.log(F.lit(3.0) + F.col("median")))
     frequency = F.col("tf") / (F.col("mean") + F.col("dev"))
     casing = F.col("upper") / (1 + F.log("tf"))

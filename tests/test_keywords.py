@@ -8,7 +8,7 @@ import pytest
 import regex
 
 from lexispark import fixed
-from lexispark.operators import keywords
+from lexispark.operators import keywords, terms
 
 ODD = [
     None, "", "...  --", "12 34", "wool", "the of and", "Wool WOOL wool! Wool's end. A wool-lined box\nof WOOL", "cotton and the wool of cotton and the wool, cotton of wool",
@@ -157,3 +157,14 @@ def test_look_alikes_are_edit_distances():
     for _ in range(300):
         a, b = ("".join(rng.choice(list("abc"), rng.integers(1, 12))) for _ in range(2))
         assert keywords.look_alike(a, b, 0.7) == (1 - levenshtein(a, b) / max(len(a), len(b)) > 0.7)
+
+
+@pytest.mark.parametrize("find", [terms.keywords, terms.yake_features, keywords.word_weights])
+def test_texts_are_dealt_by_size_and_shuffled_once(spark, monkeypatch, find):
+    """Rows of words and n-grams stay in the parts of their texts, whose number follows the characters."""
+    monkeypatch.setattr(keywords, "PART_CHARS", 500)
+    texts = spark.createDataFrame([(i, f"Soft wool sleeve {i}. Warm organic cotton, {i} boxes") for i in range(400)] + [(400, None), (401, "")], "doc_id long, text string")
+    found = find(texts, "doc_id", "text")
+    assert found.count() and found.rdd.getNumPartitions() > 30
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1, plan
