@@ -92,3 +92,9 @@ def test_groups_are_compared_by_blocks_and_whole(spark):
         assert all(r.label == label[r.id_a] and abs(r.similarity - cosine[r.id_a, r.id_b]) < 1e-9 for r in found)
         near = nearest.best_in_groups(grouped, "vec_id", "label", block=block).collect()
         assert {r.id_a: (r.id_b, round(r.similarity, 6)) for r in near} == best and len(near) == len(best)
+
+
+def test_blocks_copy_a_host_seldom_and_fit_a_task():
+    """Of 600,000 vectors that visit every cell, a host is copied once for each block of guests; a task's vectors and a slice of similarities stay small."""
+    assert -(-600_000 // nearest.BLOCK) <= 64
+    assert nearest.BLOCK * (64 + 256) * 8 <= 64 << 20
