@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobs.config import command, options
-from lexispark.functions import text as T
 from lexispark.functions import validity
 
 log = logging.getLogger("term_ledger")
@@ -33,19 +32,35 @@ log = logging.getLogger("term_ledger")
 DELTAS = "term string, n_docs long, first_doc long, last_doc long, batch long, lang string, bucket int"
 TERMS = "term string, n_docs long, first_doc long, last_doc long, status string, batch long, lang string, bucket int"
 WHITE = r"[ \t\n\x0B\f\r]+"
+SIGN = r"[^\p{L}\p{N}_ ]"
+LEADING, SIGNS_ALONE, TRAILING = rf"(^| ){SIGN}++", rf"(^| ){SIGN}++(?= |\z)", rf"([\p{{L}}\p{{N}}_]){SIGN}++(?= |\z)"
 
 
 def mine(docs: DataFrame, longest: int, buckets: int) -> DataFrame:
-    """The valid terms of documents: term, n_docs, first_doc, last_doc, lang, bucket."""
-    words = F.filter(F.split(F.coalesce("text", F.lit("")), WHITE), lambda w: w != "")
+    """The valid terms of documents: term, n_docs, first_doc, last_doc, lang, bucket.
+
+    Signs at the edges of words are dropped in the whole text, by a few passes, and phrases are put together from a first word without leading and a last word without trailing signs: no
+    expression is asked for each phrase. A phrase with a word of signs alone at an edge is a shorter phrase; what is signs and underscores alone is never valid.
+    """
     lang = F.coalesce(F.nullif(F.col("lang"), F.lit("")), F.lit("und"))
+    whole = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), WHITE, " "))
+    rows = docs.select(lang.alias("lang"), F.col("doc_id").cast("long").alias("doc_id"), whole.alias("whole"))
+    rows = rows.withColumns({"opened": F.regexp_replace("whole", LEADING, "$1"), "closed": F.regexp_replace(F.regexp_replace("whole", SIGNS_ALONE, "$1"), TRAILING, "$1")})
+    words = lambda c: F.transform(F.split(c, " "), lambda w: F.nullif(w, F.lit("")))
+    rows = rows.select("lang", "doc_id", F.split("whole", " ").alias("words"), words("opened").alias("first"), words("closed").alias("last"), words(F.regexp_replace("opened", TRAILING, "$1")).alias("single"))
+    # a null word, also one behind the last, makes the phrase null
+    grams, run = [F.col("single")], F.col("first")
+    for k in range(2, longest + 1):
+        after = lambda c: F.slice(c, k, F.greatest(F.size("words"), F.lit(1)))  # noqa: B023, E731
+        grams.append(F.zip_with(run, after("last"), lambda g, w: F.concat(g, F.lit(" "), w)))
+        run = F.zip_with(run, after("words"), lambda g, w: F.concat(g, F.lit(" "), w))
+    phrases = F.array_distinct(F.transform(F.concat(*grams), lambda g: F.btrim(g, F.lit("_"))))
     # explode_outer: for explode, the optimizer would derive a filter that makes the phrases once more
-    rows = docs.select(lang.alias("lang"), F.col("doc_id").cast("long").alias("doc_id"), words.alias("words"))
-    rows = rows.select("lang", "doc_id", F.explode_outer(T.ngram_phrases(F.col("words"), longest)).alias("term")).filter("term IS NOT NULL")
-    # the rules are asked once for each distinct term
+    rows = rows.select("lang", "doc_id", F.explode_outer(phrases).alias("term")).filter("term <> ''")
+    # the rules are asked once for each distinct term: without n_docs in it, the optimizer would put the condition before the count, where each phrase of each text is asked
     found = rows.groupBy("lang", "term").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
     bucket = (F.conv(F.substring(F.md5("term"), 1, 4), 16, 10).cast("int") % buckets).cast("int")
-    return found.filter(validity.is_valid(F.col("term"))).withColumn("bucket", bucket)
+    return found.filter(F.when(F.col("n_docs") > 0, validity.is_valid(F.col("term")))).withColumn("bucket", bucket)
 
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -2,12 +2,15 @@
 
 import collections
 import json
+import random
 import re
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from jobs import config, glossary_release, term_ledger
+from lexispark.functions import text as T
 from lexispark.functions import validity
 
 SCHEMA = "doc_id long, text string, lang string, source string"
@@ -175,3 +178,28 @@ def test_a_command_owns_its_session(monkeypatch):
     with pytest.raises(ZeroDivisionError):
         config.command("x", lambda spark, n: 1 / n, {"n": 0})
     assert session.stopped
+
+
+SIGNS = ["a", "b-c", "(a", "a)", "((", "__", "_a_", "(_a", "a_)", ",", "𝒳,", "(𝒳", "𝒳(a", "é.", "é́!", " a ", "_(a", "x²", "--a--b--", "₂", "word", "Soft,", "soft", "12"]
+
+
+def test_signs_at_edges_go_as_from_each_phrase(spark):
+    """Texts of awkward words, phrases of up to three: the terms are those of the phrases one by one."""
+    rng = random.Random(7)
+    texts = [rng.choice(["", " ", "\n\t"]) + rng.choice([" ", "\n", " \x0b "]).join(rng.choice(SIGNS) for _ in range(rng.randint(0, 12))) + rng.choice(["", "\r"]) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*texts, None])], "doc_id long, text string, lang string")
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), term_ledger.WHITE), lambda w: w != "")
+    for longest in (1, 2, 3):
+        each = docs.select("doc_id", F.explode(T.ngram_phrases(words, longest)).alias("term")).filter(validity.is_valid(F.col("term")))
+        want = {tuple(r) for r in each.groupBy("term").agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).collect()}
+        got = [tuple(r) for r in term_ledger.mine(docs, longest, 2).select("term", "n_docs", "first_doc", "last_doc").collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_no_pattern_and_no_rule_is_asked_for_each_phrase(spark):
+    docs = spark.createDataFrame([(1, "a b", "en")], "doc_id long, text string, lang string")
+    plan = term_ledger.mine(docs, 2, 2)._jdf.queryExecution().optimizedPlan().toString()
+    phrases = next(line for line in plan.splitlines() if "explode" in line)
+    assert "regexp" not in phrases
+    counted = plan.index("Aggregate")
+    assert plan.index("sentence_starter") < counted and "sentence_starter" not in plan[counted:]
