@@ -9,9 +9,10 @@ from lexispark import fixed
 from lexispark.functions import merging
 from lexispark.functions import text as T
 from lexispark.functions.validity import is_measurement
+from lexispark.session import scratch_table
 
-#: Rows of a block of the sorted sequence; a block also sees the first rows of the next one.
-BLOCK_ROWS = 2048
+#: Rows of a block of the sorted sequence: about as many as each is paired with.
+BLOCK_ROWS = 128
 #: First characters of the sort key that name a bucket when ranks are counted.
 BUCKET_CHARS = 3
 
@@ -45,47 +46,76 @@ def with_rank(rows: DataFrame, key: Column, tie: str) -> DataFrame:
     return keyed.withColumn("__row", number).join(before, "__bucket").withColumn("rank", F.col("__before") + F.col("__row") - 1).drop("__row", "__before", "__bucket")
 
 
-def neighbours(terms: DataFrame, key: Column, width: int = fixed.NEIGHBOURS, term: str = "term") -> DataFrame:
-    """a, b: each term with the next `width` terms in the order of the key, before any comparison but length.
+def placed(terms: DataFrame, keys: dict[str, Column], term: str = "term") -> DataFrame:
+    """A stored row for each term: t, its rank by each of the keys, and what pairs are compared by, made once for each term.
+
+    low: the lower-case form; size: its own length; signs: a bit for each character of low. An edit changes at most two of those bits.
+    """
+    rows = scratch_table(terms.select(F.col(term).alias("t")).filter("t IS NOT NULL").distinct(), "dedupe-terms")
+    for name, key in keys.items():
+        rows = with_rank(rows, key, "t").withColumnRenamed("rank", f"__{name}").drop("__key")
+    rows = rows.withColumnsRenamed({f"__{name}": name for name in keys})
+    signs = F.aggregate(F.split("low", ""), F.lit(0).cast("long"), lambda bits, c: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)))
+    return rows.withColumn("low", F.lower("t")).withColumn("size", F.length("t")).withColumn("signs", signs)
 
-    The sequence is cut into blocks by rank, all of one size; the first `width` rows of a block also go to the block
-    before, where they are partners only. So no window is larger than a block, whatever the number of terms.
+
+def near(rows: DataFrame, rank: str, width: int, holds: Column | None = None) -> DataFrame:
+    """Pairs of placed rows as structs a and b: b is one of the next `width` in the order of the rank, of about a's length; holds, if any, is asked of those.
+
+    The sequence is cut into blocks by rank. A row is an a in its own block and a b in each block that holds one of the `width` before it, so a join by block meets all pairs, a few times as many rows as there are
+    pairs, and no block is larger than others whatever the number of terms.
     """
-    ranked = with_rank(terms.select(F.col(term).alias("t")).distinct(), key, "t")
-    block = F.floor(F.col("rank") / BLOCK_ROWS).cast("long")
-    lends = (F.col("rank") % BLOCK_ROWS < width) & (block > 0)
-    homes = F.when(lends, F.array(block, block - 1)).otherwise(F.array(block))
-    placed = ranked.select("t", "rank", block.alias("own"), F.explode(homes).alias("block"))
+    block = lambda r: F.floor(r / BLOCK_ROWS).cast("long")
     # by number: the rows are few bytes but make `width` pairs each, so they must not be put together into few tasks
-    placed = placed.repartition(int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block")
-    band = Window.partitionBy("block").orderBy("rank").rowsBetween(1, width)
-    near = placed.withColumn("next", F.collect_list("t").over(band)).filter("own = block")
-    size = F.length("t")
-    return near.select(F.col("t").alias("a"), F.explode(F.filter("next", lambda x: F.abs(F.length(x) - size) <= 2)).alias("b"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = lambda name, home: rows.select(home.alias(f"{name}_block"), *[F.col(c).alias(f"{name}_{c}") for c in rows.columns]).repartition(parts, f"{name}_block")
+    before = lambda n: F.greatest(F.col(rank) - n, F.lit(0))
+    firsts, nexts = side("a", block(F.col(rank))), side("b", F.explode(F.sequence(block(before(width)), block(before(1)))))
+    gap = F.col(f"b_{rank}") - F.col(f"a_{rank}")
+    on = (F.col("a_block") == F.col("b_block")) & (gap > 0) & (gap <= width) & (F.abs(F.col("a_size") - F.col("b_size")) <= 2)
+    # in one condition: a filter that came after would be asked before these
+    return firsts.join(nexts, on if holds is None else on & holds)
+
 
+def neighbours(terms: DataFrame, key: Column, width: int = fixed.NEIGHBOURS, term: str = "term") -> DataFrame:
+    """a, b: each term with the next `width` terms in the order of the key, before any comparison but length."""
+    return near(placed(terms, {"rank": key}, term).select("t", "rank", "size"), "rank", width).select(F.col("a_t").alias("a"), F.col("b_t").alias("b"))
+
+
+def _close() -> tuple[Column, Column]:
+    """Of rows of near: whether they are at edit distance 1, or 2 if the longer term has over 8 characters, in lower case; and the distance."""
+    most = F.when(F.greatest("a_size", "b_size") <= fixed.SHORT_TERM_CHARS, 1).otherwise(2)
+    distance = F.levenshtein(F.col("a_low"), F.col("b_low"), 2)
+    # the bits first: they cost less than the distance and rule most pairs out
+    return (F.bit_count(F.col("a_signs").bitwiseXOR(F.col("b_signs"))) <= 2 * most) & distance.between(1, most), distance.cast("long")
 
-def close(pairs: DataFrame) -> DataFrame:
-    """Pairs at edit distance 1, or 2 if the longer term has over 8 characters, in lower case; with the distance."""
-    most = F.when(F.greatest(F.length("a"), F.length("b")) <= fixed.SHORT_TERM_CHARS, 1).otherwise(2)
-    found = pairs.withColumn("distance", F.levenshtein(F.lower("a"), F.lower("b"), 2))
-    return found.filter((F.col("distance") > 0) & (F.col("distance") <= most)).withColumn("distance", F.col("distance").cast("long"))
+
+FORWARD, REVERSED = F.lower, lambda c: F.reverse(F.lower(c))
 
 
 def banded(terms: DataFrame, reverse: bool = False, width: int = fixed.NEIGHBOURS, term: str = "term") -> DataFrame:
     """a, b, distance of close terms that stand near each other in forward or in reversed order."""
-    key = F.reverse(F.lower("t")) if reverse else F.lower("t")
-    return close(neighbours(terms, key, width, term))
+    holds, distance = _close()
+    rows = placed(terms, {"rank": (REVERSED if reverse else FORWARD)("t")}, term)
+    return near(rows, "rank", width, holds).select(F.col("a_t").alias("a"), F.col("b_t").alias("b"), distance.alias("distance"))
 
 
 def similar_groups(terms: DataFrame, width: int = fixed.NEIGHBOURS, term: str = "term") -> DataFrame:
-    """All groups: kind, reason, a, b (pairs) or members (edge signs); a pair found twice counts once, forward first."""
-    order = lambda df, k: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance", F.lit(k).alias("pass"))
-    both = order(banded(terms, False, width, term), 1).union(order(banded(terms, True, width, term), 2))
-    pairs = both.groupBy("a", "b").agg(F.min("distance").alias("distance"), F.min("pass").alias("pass"))
-    lev = pairs.select(F.lit("levenshtein").alias("kind"), F.concat(F.lit("Edit distance "), F.col("distance").cast("string")).alias("reason"), F.array("a", "b").alias("members"))
-    marks = punctuation_groups(terms, term).select(F.lit("punctuation").alias("kind"), F.concat(F.lit('Both strip to: "'), F.col("stripped"), F.lit('"')).alias("reason"), "members")
-    twice = F.col("l.members") == F.col("m.members")
-    return marks.unionByName(lev.alias("l").join(marks.alias("m"), twice, "left_anti"))
+    """All groups: kind, reason, members: pairs, or terms that share a form without edge signs. A pair found twice counts once, and not at all where it is such a group of two.
+
+    What decides that is put to the terms first, so that pairs, which are many more, are neither shuffled nor grouped nor joined.
+    """
+    rows = placed(terms, {"rank": FORWARD("t"), "back": REVERSED("t")}, term)
+    groups = scratch_table(punctuation_groups(rows, "t"), "dedupe-marks")
+    twins = groups.filter("size = 2").select(F.explode("members").alias("t"), F.col("stripped").alias("twin"))
+    rows = scratch_table(rows.join(twins, "t", "left"), "dedupe-placed")
+    holds, distance = _close()
+    holds &= ~F.coalesce(F.col("a_twin") == F.col("b_twin"), F.lit(False))
+    again = F.abs(F.col("a_rank") - F.col("b_rank")) <= width
+    pairs = near(rows, "rank", width, holds).unionByName(near(rows, "back", width, ~again & holds))
+    members = F.array(F.least("a_t", "b_t"), F.greatest("a_t", "b_t"))
+    lev = pairs.select(F.lit("levenshtein").alias("kind"), F.concat(F.lit("Edit distance "), distance.cast("string")).alias("reason"), members.alias("members"))
+    return groups.select(F.lit("punctuation").alias("kind"), F.concat(F.lit('Both strip to: "'), F.col("stripped"), F.lit('"')).alias("reason"), "members").unionByName(lev)
 
 
 def drop_measurement_groups(groups: DataFrame) -> DataFrame:
