@@ -1,5 +1,6 @@
 """Operators against plain versions: folds, spans, bands, reviews, exports, sources and streams."""
 
+import collections
 import io
 import json
 import random
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lexispark import fixed
+from lexispark.functions import merging
 from lexispark.operators import browse, dedupe, glossary, pairs, review, store, terms
 
 EVENT = "seq long, source_locale string, target_locale string, normalized_source string, domain string, source_term string, target_term string, frequency long, similarity double, final_score double, status string, evidence_product_ids string"
@@ -92,6 +94,38 @@ def test_bands_are_those_of_one_sorted_list(spark, reverse, monkeypatch):
     assert {(r.a, r.b, r.distance) for r in got.collect()} == want
 
 
+def test_groups_count_pairs_once_without_grouping_them(spark, monkeypatch):
+    """Pairs near in both orders and groups of two by edge signs; what decides is known of the terms, so pairs are neither grouped nor joined again."""
+    monkeypatch.setattr(dedupe, "BLOCK_ROWS", 8)
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choice("ab.É") for _ in range(rng.randint(2, 10))) for _ in range(300)})
+    width, want = 20, set()
+    for key in (lambda w: (w.lower(), w), lambda w: (w.lower()[::-1], w)):
+        order = sorted(words, key=key)
+        for i, a in enumerate(order):
+            for b in order[i + 1 : i + 1 + width]:
+                if abs(len(a) - len(b)) <= 2 and 0 < (d := edit_distance(a.lower(), b.lower())) <= (1 if max(len(a), len(b)) <= 8 else 2):
+                    want.add((f"Edit distance {d}", *sorted((a, b))))
+    marks = collections.defaultdict(list)
+    for w in words:
+        if form := w.strip(".É"):
+            marks[form].append(w)
+    marks = {(f'Both strip to: "{k}"', *sorted(v)) for k, v in marks.items() if len(v) > 1}
+    twins = {m[1:] for m in marks}
+    groups = dedupe.similar_groups(spark.createDataFrame([(w,) for w in [*words, None]], "term string"), width)
+    got = [(r.reason, *r.members) for r in groups.collect()]
+    assert twins & {w[1:] for w in want}
+    assert len(got) == len(set(got)) and set(got) == marks | {w for w in want if w[1:] not in twins}
+    plan = groups._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Join") == 2
+
+
+def test_decisions_make_forms_once(spark):
+    rows = spark.createDataFrame([("a", "b")], "a string, b string")
+    plan = rows.select(merging.decide(F.col("a"), F.col("b")).alias("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(a#") <= 1
+
+
 def test_case_groups(spark):
     rows = spark.createDataFrame([("Cotton",), ("cotton",), ("COTTON",), ("Wool Mix",), ("WOOL mix",)], "term string")
     got = {r.term: r.canonical for r in dedupe.case_canonical(rows).collect()}
