@@ -31,12 +31,18 @@ def to_pairs(sheet: DataFrame, row_order: str = "row_no", source_locale: str = f
 def first_pairs(pairs: DataFrame, row_order: str = "row_no") -> DataFrame:
     """The first pair of each field and two texts. The locale is not part of the key: a repeat in another locale goes.
 
-    A grouped minimum, so that a text which many items share is combined before the shuffle.
+    Two grouped minima, so that a text which many items share is combined before the shuffle: the first item of each key, hashed, as its order is a number as a rule, then the first pair
+    among that item's pairs, which alone are sorted.
     """
     key = ["field", "source_text", "target_text"]
     rest = [c for c in pairs.columns if c not in key]
+    # nulls come first, as in the order of structs
+    item = F.when(F.max(F.col(row_order).isNull()), None).otherwise(F.min(row_order))
+    items = pairs.groupBy(*key).agg(item.alias("__item")).select(*[F.col(c).alias(f"__{c}") for c in key], "__item")
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key] + [F.col(row_order).eqNullSafe(F.col("__item"))]
     first = F.min_by(F.struct(*rest), F.struct(row_order, "field_no", "locale_no"))
-    return pairs.groupBy(*key).agg(first.alias("__r")).select(*[F.col(c) if c in key else F.col(f"__r.{c}").alias(c) for c in pairs.columns])
+    found = pairs.join(items, same, "left_semi").groupBy(*key).agg(first.alias("__r"))
+    return found.select(*[F.col(c) if c in key else F.col(f"__r.{c}").alias(c) for c in pairs.columns])
 
 
 def limited(pairs: DataFrame, limit: int, row_order: str = "row_no") -> DataFrame:

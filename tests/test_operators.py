@@ -158,6 +158,22 @@ def test_pairs_drop_repeats_of_other_locales(spark):
     assert [(r.product_id, r.target_locale, r.target_text) for r in got] == [("1", "sv-SE", "same")]
 
 
+def test_first_pairs_hash_before_they_sort(spark):
+    """The first pair by item, field and locale, nulls first; pairs of later items are gone before any sort."""
+    rng = random.Random(9)
+    rows = [(rng.choice([None, 1, 2, 3]) if i % 9 == 0 else rng.randint(1, 40), rng.choice("fg"), rng.choice("xyz"), rng.choice(["s", None]), rng.randint(0, 1), rng.randint(0, 4), i) for i in range(400)]
+    rows = list({(r[0], r[1], r[2], r[3], r[4], r[5]): r for r in rows}.values())
+    df = spark.createDataFrame(rows, "row_no long, field string, source_text string, target_text string, field_no int, locale_no int, n int")
+    want = {}
+    for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[4], r[5])):
+        want.setdefault((r[1], r[2], r[3]), r)
+    found = pairs.first_pairs(df)
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, want.values()))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    # read from below: the table, the items' hash, the join, and only then a sort
+    assert plan.index("Join") > plan.index("SortAggregate") and "HashAggregate" in plan[plan.index("Join") :]
+
+
 def test_repair_and_delete(spark):
     rows = spark.createDataFrame([(1, "(pu", "x", "(pu", "x"), (2, "ok", "", "ok", ""), (3, None, "x", None, "x")], "id long, source_term string, target_term string, normalized_source string, normalized_target string")
     fixed_, diff = store.repair_punctuation(rows)
