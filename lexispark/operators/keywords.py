@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ SHORT = 3  # words of fewer characters count as stopwords
 DIMENSIONS = 64
 BLOCK = 4_096
 PART_CHARS = 1 << 21  # of texts whose words or n-grams become rows of one task
-CACHED = 32_768  # vectors of words that a worker keeps, of half a kilobyte each
+WORDS = 4_096  # whose n-grams are hashed together
 
 
 # --- statistics ---
@@ -194,9 +193,8 @@ def _unlike(batches: Iterator[pa.RecordBatch], top: int, alike: float) -> Iterat
 
 # --- nearness to the whole text ---
 
-@lru_cache(maxsize=CACHED)
 def word_vector(word: str) -> np.ndarray:
-    """A word's vector of length 1 by hashed character n-grams; it needs no model. Equal words get equal vectors. A worker keeps those it met last."""
+    """A word's vector of length 1 by hashed character n-grams; it needs no model. Equal words get equal vectors."""
     out, padded = np.zeros(DIMENSIONS), f" {word} "
     for n in range(2, 5):
         for i in range(len(padded) - n + 1):
@@ -206,23 +204,72 @@ def word_vector(word: str) -> np.ndarray:
     return out / norm if norm else out
 
 
-def content_words(text: str) -> list[str]:
-    """Lower-cased words of two letters or digits and more, without stopwords: n-grams are made of what is left."""
-    stop = set(fixed.STOPWORDS)
-    return [w for w in re.findall(r"\b\w\w+\b", text.lower()) if w not in stop]
+_STOP = frozenset(fixed.STOPWORDS)
 
 
-def nearest(text: str, longest: int, top: int, vector=word_vector) -> list[tuple[str, float]]:
+def content_words(text: str) -> list[str]:
+    """Lower-cased words of two letters or digits and more, without stopwords: n-grams are made of what is left."""
+    return [w for w in re.findall(r"\b\w\w+\b", text.lower()) if w not in _STOP]
+
+
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _rotated(x: np.ndarray, bits: int) -> np.ndarray:
+    return x << np.uint64(bits) | x >> np.uint64(64 - bits)
+
+
+def short_hashes(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """XXH64 with seed 0 of the ranges of `size` bytes, under 32, that begin at `starts`."""
+    at = lambda i, width: sum(data[starts + i + k].astype(np.uint64) << np.uint64(8 * k) for k in range(width))
+    h, i = np.full(len(starts), _P5 + np.uint64(size), dtype=np.uint64), 0
+    while size - i >= 8:
+        h = _rotated(h ^ _rotated(at(i, 8) * _P2, 31) * _P1, 27) * _P1 + _P4
+        i += 8
+    if size - i >= 4:
+        h = _rotated(h ^ at(i, 4) * _P1, 23) * _P2 + _P3
+        i += 4
+    for k in range(i, size):
+        h = _rotated(h ^ at(k, 1) * _P5, 11) * _P1
+    h = (h ^ h >> np.uint64(33)) * _P2
+    h = (h ^ h >> np.uint64(29)) * _P3
+    return h ^ h >> np.uint64(32)
+
+
+def word_vectors(words: list[str]) -> np.ndarray:
+    """The vectors of words as word_vector() makes them, WORDS at a time: most words of a text may stand in no other, so none are kept."""
+    if len(words) > WORDS:
+        return np.concatenate([word_vectors(words[i : i + WORDS]) for i in range(0, len(words), WORDS)])
+    data = np.frombuffer("".join(f" {w} " for w in words).encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    starts = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))  # of characters
+    chars = np.array([len(w) + 2 for w in words])
+    owner, place = np.repeat(np.arange(len(words)), chars), np.arange(chars.sum())
+    left, out = np.repeat(np.cumsum(chars), chars) - place, np.zeros(len(words) * DIMENSIONS)
+    for n in range(2, 5):
+        first = place[left >= n]
+        size = starts[first + n] - starts[first]
+        for b in np.flatnonzero(np.bincount(size)):
+            some = first[size == b]
+            h = short_hashes(data, starts[some], int(b))
+            cell = owner[some] * DIMENSIONS + (h % np.uint64(DIMENSIONS)).astype(np.int64)
+            out += np.bincount(cell, np.where(h >> np.uint64(63), 1.0, -1.0), len(out))
+    out = out.reshape(-1, DIMENSIONS)
+    norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
+    return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
+
+
+def nearest(text: str, longest: int, top: int) -> list[tuple[str, float]]:
     """The `top` different n-grams of the text by cosine with it, rounded to six places; then in code-point order.
 
-    An n-gram's vector is the sum of its words' vectors, the text's the sum of its n-grams'. Blocks of BLOCK places are multiplied at a time, whatever the text's length.
+    An n-gram's vector is the sum of its words' vectors, the text's the sum of its n-grams'. Blocks of BLOCK places are multiplied at a time, whatever the text's length,
+    and only the n-grams of a block that may be among the best are sorted.
     """
     words = content_words(text)
     if not words:
         return []
     vocabulary = sorted(set(words))
     number = {w: i for i, w in enumerate(vocabulary)}
-    vectors = np.array([vector(w) for w in vocabulary])
+    vectors = word_vectors(vocabulary)
     ids, n = np.array([number[w] for w in words]), len(words)
     # how often each place's word stands in an n-gram of any size
     places, times = np.arange(n), np.zeros(n)
@@ -232,23 +279,33 @@ def nearest(text: str, longest: int, top: int, vector=word_vector) -> list[tuple
     length = np.linalg.norm(whole)
     best = np.empty((0, longest + 1))  # numbers of the words, -1 behind the last, and the cosine
     for a in range(0, n, BLOCK):
-        total = np.zeros((min(BLOCK, n - a), DIMENSIONS))
-        rows = np.full((len(total), longest), -1)
+        total, cosines = np.zeros((min(BLOCK, n - a), DIMENSIONS)), []
         for size in range(1, longest + 1):
             m = min(BLOCK, n - a - size + 1)
             if m <= 0:
                 break
-            total, rows = total[:m] + vectors[ids[a + size - 1 : a + size - 1 + m]], rows[:m].copy()
-            rows[:, size - 1] = ids[a + size - 1 : a + size - 1 + m]
+            total = total[:m] + vectors[ids[a + size - 1 : a + size - 1 + m]]
             norms = np.linalg.norm(total, axis=1) * length
-            cosine = np.round(np.divide(total @ whole, norms, out=np.zeros(m), where=norms > 0), 6)
-            near = cosine >= best[-1, -1] if len(best) == top else np.ones(m, dtype=bool)
-            best = np.vstack([best, np.column_stack([rows[near], cosine[near]])])
+            cosines.append(np.round(np.divide(total @ whole, norms, out=np.zeros(m), where=norms > 0), 6))
+        place = np.concatenate([np.arange(a, a + len(c)) for c in cosines])
+        sizes = np.repeat(np.arange(1, len(cosines) + 1), [len(c) for c in cosines])
+        cosine = np.concatenate(cosines)
+        before, some = best, 4 * top
+        while True:
+            # those as near as the one at the rank `some`, ties with it included; repeats may leave too few, then more are taken
+            least = np.partition(cosine, len(cosine) - some)[len(cosine) - some] if len(cosine) > some else -np.inf
+            near = np.flatnonzero(cosine >= (max(least, before[-1, -1]) if len(before) == top else least))
+            j = np.arange(longest)
+            rows = np.where(j < sizes[near, None], ids[np.minimum(place[near, None] + j, n - 1)], -1)
+            best = np.vstack([before, np.column_stack([rows, cosine[near]])])
             # word numbers are in the order of the words, and a space stands before all letters
             best = best[np.lexsort([*reversed(best[:, :-1].T), -best[:, -1]])]
             first = np.ones(len(best), dtype=bool)
             first[1:] = (best[1:, :-1] != best[:-1, :-1]).any(axis=1)
             best = best[first][:top]
+            if len(best) == top and best[-1, -1] >= least or some >= len(cosine):
+                break
+            some *= 4
     return [(" ".join(vocabulary[int(i)] for i in row[:-1] if i >= 0), float(row[-1])) for row in best]
 
 

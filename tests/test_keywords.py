@@ -168,3 +168,13 @@ def test_texts_are_dealt_by_size_and_shuffled_once(spark, monkeypatch, find):
     assert found.count() and found.rdd.getNumPartitions() > 30
     plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_word_vectors_are_hashed_together(monkeypatch):
+    rng = np.random.default_rng(4)
+    words = ["é漢", "\U0001F600x", "漢漢漢漢", "long" * 100, *("".join(rng.choice(list("abcé漢"), rng.integers(2, 9))) for _ in range(300))]
+    want = np.array([keywords.word_vector(w) for w in words])
+    monkeypatch.setattr(keywords.xxhash, "xxh64_intdigest", None)
+    assert np.array_equal(keywords.word_vectors(words), want)
+    monkeypatch.setattr(keywords, "WORDS", 7)
+    assert np.array_equal(keywords.word_vectors(words), want) and len(keywords.nearest(" ".join(words), 4, 10)) == 10
