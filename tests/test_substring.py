@@ -61,3 +61,20 @@ def test_pages_use_it(spark, small):
         ids = lambda df: sorted(r.id for r in df.collect())
         assert ids(browse.filtered(rows, page, index)) == ids(browse.filtered(rows, page))
     rows.unpersist()
+
+
+def test_a_posting_is_a_trigram_of_a_slice(spark, monkeypatch):
+    """Rows that are sorted follow the slices, not the texts; their lists are the trigrams of each text."""
+    many = spark.range(0, 3000, 1, 2).selectExpr("id", "concat('soft cotton ', id % 7) AS text")
+    index = substring.build(many, "id", ["text"])
+    assert index.postings.count() <= 2 * 40
+    assert {r.n for r in index.counts.filter("gram = 'cot'").collect()} == {3000}
+    assert substring.search(many, index, "Cotton 3").count() == many.filter("id % 7 = 3").count()
+    texts = [t.lower() if t is not None else None for t in TEXTS]
+    want = {(t[i : i + 3], k) for k, t in enumerate(texts) if t is not None for i in range(len(t) - 2)}
+    batch = substring.pa.RecordBatch.from_pydict({"key": list(range(len(texts))), "f0": texts})
+    for chars, rows in ((1 << 20, 1 << 16), (7, 1 << 16), (1, 1), (60, 2)):
+        monkeypatch.setattr(substring, "SLICE_CHARS", chars)
+        monkeypatch.setattr(substring, "SLICE_ROWS", rows)
+        found = [(r["gram"], k) for b in substring._lists(iter([batch])) for r in b.to_pylist() for k in r["keys"]]
+        assert len(found) == len(set(found)) and set(found) == want
