@@ -78,3 +78,10 @@ def test_a_posting_is_a_trigram_of_a_slice(spark, monkeypatch):
         monkeypatch.setattr(substring, "SLICE_ROWS", rows)
         found = [(r["gram"], k) for b in substring._lists(iter([batch])) for r in b.to_pylist() for k in r["keys"]]
         assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_the_candidates_are_folded_once(spark, small):
+    from lexispark import catalog
+
+    plan = catalog.search_indexed(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in plan and "search-candidates" in plan
