@@ -9,7 +9,7 @@ from lexispark.session import drop_scratch, scratch_table
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root for each end of edges (a, b: long), where root is one node of the component, the same for all its nodes.
+    """node, root for each end of edges (a, b: long), where root is the least node of the component.
 
     A round points each node at its least neighbour or itself, follows the pointers four steps, and replaces each
     edge by the edge between the ends' targets. A path shrinks at least fourfold in a round, a star vanishes

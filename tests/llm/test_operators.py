@@ -631,6 +631,24 @@ def test_the_near_duplicate_stage_links_as_brute_force_jaccard(spark, monkeypatc
     assert kept == sorted(set(least))
 
 
+def test_components_that_stand_are_linked_as_stars(spark, monkeypatch):
+    """Rounds over long lists hand on a row for each class, not all links found so far."""
+    from lexispark.llm import jaccard
+
+    sizes, find = [], jaccard.components
+
+    def counted(edges):
+        sizes.append(edges.count())
+        return find(edges)
+
+    monkeypatch.setattr(jaccard, "components", counted)
+    monkeypatch.setattr(jaccard, "LONG", 2)
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join([*words[:i], "x", *words[i:]])) for i in range(60)] + [(60, "else")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()} == dict.fromkeys(range(60), 0) | {60: 60}
+    assert max(sizes) > 60 and sizes[-1] <= 60
+
+
 def test_chat_sql_agrees_on_awkward_rows(spark, edge):
     import duckdb
 
