@@ -139,6 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> np.
     return fit_in_task(sample, lambda ids, texts, y: fit(texts, y, how))
 
 
+#: Texts are scored together up to so many bytes; while features are made, about fifty times as much is held.
+SCORED_BYTES = 1 << 17
 OUT = "score double, sentences int, worst_start long, worst_length long, worst_score double"
 
 
@@ -148,7 +150,7 @@ def scorer(model: np.ndarray):
 
     def run(texts: pa.Array) -> pa.Array:
         got: list[list[np.ndarray]] = [[] for _ in kinds]
-        for part in slices(texts, fold=True):
+        for part in slices(texts, fold=True, limit=SCORED_BYTES):
             ids, where, owner, first = features(part)
             if len(model):
                 p = _sigmoid(model[-1] + np.bincount(where, weights=model[ids], minlength=len(owner)))

@@ -289,6 +289,25 @@ def test_offending_sentences_are_located(spark, edge):
     assert all(0 <= r.toxicity.score <= 1 and r.toxicity.sentences >= 1 for r in scores)
 
 
+def test_scoring_holds_the_features_of_little_text_at_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from lexispark.llm import toxicity
+
+    run = toxicity.scorer(np.linspace(-1, 1, toxicity.DIMENSIONS + 1, dtype=np.float32))
+    texts = pa.array([f"Sentence {i} of a text that is scored. " * 100 for i in range(600)])
+    run(texts[:1])
+    tracemalloc.start()
+    whole = run(texts)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert texts.nbytes > 2_000_000
+    assert held < 20_000_000
+    assert whole.equals(pa.concat_arrays([run(texts[i : i + 1]) for i in range(600)]))
+
+
 def test_quality_of_held_out_rows_is_told(spark):
     path = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{path}/labels.parquet").collect()}
@@ -590,6 +609,37 @@ def test_the_pipeline_keeps_one_of_each_group_and_all_its_words(spark, edge, sma
         assert all(v <= 1024 for v in used.values())
 
 
+def test_the_pipeline_sends_workers_batches_of_bounded_bytes(spark, edge, monkeypatch):
+    import pyarrow as pa
+
+    from lexispark.session import BATCH_BYTES, bounded_batches, kept_batches
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    long_ = spark.range(0, 4000, 1, 1).selectExpr("repeat('word ', 1000) AS text")
+    docs = spark.read.parquet(f"{edge}/documents.parquet")
+
+    def bytes_(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    def most():
+        return max(r.n for r in long_.mapInArrow(bytes_, "n long").collect())
+
+    assert most() > 2 * BATCH_BYTES
+    with kept_batches(spark):
+        corpus_pipeline.drop_toxic(spark, docs, edge)
+        assert most() <= BATCH_BYTES + 10_000
+        for lower in ("1m", "65536b", "2048"):
+            spark.conf.set(setting, lower)
+            bounded_batches(spark)
+            assert spark.conf.get(setting) == lower
+    assert spark.conf.get(setting) == before
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("toxicity", corpus_pipeline.drop_toxic), ("all", lambda spark, docs, sf_dir: docs)])
+    assert corpus_pipeline.run(spark, edge).count() <= docs.count()
+    assert spark.conf.get(setting) == before
+
+
 def test_the_near_duplicate_stage_links_as_brute_force_jaccard(spark, monkeypatch):
     from lexispark.llm import jaccard
 
