@@ -53,6 +53,28 @@ def test_nearest_equals_brute_force(table, k, later, most, block):
     assert set(found) <= set(distinct)
 
 
+@pytest.mark.parametrize("k,later,most,block", [(1, True, 4096, 2048), (1, True, 6, 16), (3, True, 11, 9), (2, False, 6, 33), (40, True, 3, 50)])
+def test_every_row_has_its_nearest_rows(table, monkeypatch, k, later, most, block):
+    """Copies are rows like others: they look for themselves, and what is later than a row may be a copy of an earlier one."""
+    monkeypatch.setattr(nearest, "TIES", 40 * k)
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows()}
+    ids, every = np.array(sorted(unit)), np.array([unit[i] for i in sorted(unit)])
+    found = {}
+    for r in nearest.nearest(table, "vec_id", k, later=later, most_pivots=most, block=block, copies=True).collect():
+        found.setdefault(r.id_a, []).append((-r.similarity, r.id_b))
+    for a in unit:
+        want = sorted((-s, b) for b, s in zip(ids.tolist(), np.round(every @ unit[a], 6).tolist(), strict=True) if (b > a if later else b != a))[:k]
+        assert sorted(found.get(a, [])) == want, a
+
+
+def test_the_query_takes_copies(spark, tmp_path):
+    from lexispark import catalog
+
+    spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.6, 0.8]), (3, [1.0, 0.0]), (4, [1.0, 0.0]), (5, [0.0, 1.0])], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = {(r.id_a, r.best, r.similarity) for r in catalog.align_best_all(spark, str(tmp_path)).collect()}
+    assert found == {(1, 3, 1.0), (2, 5, 0.8), (3, 4, 1.0), (4, 5, 0.0)}
+
+
 def test_tight_groups_visit_few_cells(table):
     cells = nearest.Cells(table, "vec_id")
     seekers = cells.homes.withColumn("far", nearest.F.lit(float(nearest.reach(0.99))))
