@@ -16,10 +16,12 @@ Defined results: a null or empty text has no tokens; without texts all words out
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ from lexispark.session import scratch_table, ship
 STATES = "ANVX"
 K = len(STATES)
 ENDINGS = 256
+#: Different words whose symbols a task keeps; it starts anew when there are more.
+KNOWN = 1 << 18
 #: Texts, and characters of them, that are tagged together and leave a task together.
 PORTION, PORTION_CHARS = 64, 1 << 18
 TOKEN = "struct<start:int,end:int,text:string,tag:string>"
@@ -154,7 +158,10 @@ def fit(texts: DataFrame, text: str, how: Training = Training()) -> Model:
     """Fit the model on a bounded sample of the distinct texts."""
     spark = texts.sparkSession
     ship(spark)
-    some = texts.select(F.col(text).alias("text")).filter(F.col(text).isNotNull()).distinct().orderBy(F.xxhash64("text"), "text").limit(how.sample_rows)
+    some = texts.select(F.col(text).alias("text")).filter(F.col(text).isNotNull())
+    # the least hashes are found by themselves, so that only their texts are shuffled
+    hashes = some.select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(how.sample_rows).agg(F.max("h")).first()[0]
+    some = some.filter(F.xxhash64("text") <= F.lit(hashes or 0)).distinct().orderBy(F.xxhash64("text"), "text").limit(how.sample_rows)
     sample = scratch_table(some.repartition(min(64, max(1, how.sample_rows // 100)), "text"), "tagging-sample")
 
     def words(batches):
@@ -238,6 +245,157 @@ def _tag_all(model: Model, texts: list[str]) -> list[tuple[list[dict], list[dict
     return out
 
 
+# --- spans of many texts at once ---
+
+SPACE, CORE, STOP, SIGN = 1, 2, 4, 8
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """What each code point is: white space, part of a word (core), or another sign, and whether it ends a sentence (stop)."""
+    out = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
+    for i in range(len(out)):
+        c = chr(i)
+        out[i] = SPACE if c.isspace() else CORE if _core(c) else SIGN
+    for c in ".!?\n":
+        out[ord(c)] |= STOP
+    return out
+
+
+def _cut(joined: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """start, end and gap of all tokens, as tokens() gives them: the first token's gap is 2, and so is what a line's end parts."""
+    kinds = _kinds()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+    core = np.flatnonzero(kinds & CORE)
+    before = lambda flag: np.concatenate([[0], np.cumsum((kinds & flag) > 0, dtype=np.int32)])
+    spaces, stops, signs = (before(flag) for flag in (SPACE, STOP, SIGN))
+    new = np.flatnonzero(np.diff(spaces[core], prepend=-1))
+    starts, ends = core[new], core[np.append(new[1:], len(core))[: len(new)] - 1] + 1
+    gap = np.full(len(starts), 2, dtype=np.int8)
+    a, b = ends[:-1], starts[1:]
+    gap[1:] = np.where(stops[b] > stops[a], 2, signs[b] > signs[a])
+    return starts, ends, gap
+
+
+def paths(model: Model, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The most probable states of sentences that stand one after the other, as viterbi() finds them: the long ones first, so that a step is one for all that reach so far."""
+    with np.errstate(divide="ignore"):
+        start, step, emit = np.log(model.start), np.log(model.step), np.ascontiguousarray(np.log(model.emit).T)
+    order = np.argsort(-lengths, kind="stable")
+    first, reach = (np.cumsum(lengths) - lengths)[order], np.bincount(lengths)[::-1].cumsum()[::-1]
+    best, back = start + emit[symbols[first]], []
+    for t in range(1, len(reach) - 1):
+        n = reach[t + 1]
+        most, pointer = best[:n, :1] + step[0], np.zeros((n, K), dtype=np.int8)
+        for k in range(1, K):
+            through = best[:n, k : k + 1] + step[k]
+            pointer[through > most] = k
+            most = np.maximum(most, through)
+        back.append(pointer)
+        best[:n] = most + emit[symbols[first[:n] + t]]
+    state, out = best.argmax(axis=1), np.empty(len(symbols), dtype=np.int8)
+    for t in range(len(reach) - 2, 0, -1):
+        n = reach[t + 1]
+        out[first[:n] + t] = state[:n]
+        state[:n] = back[t - 1][np.arange(n), state[:n]]
+    out[first] = state
+    return out
+
+
+def _fits(item: str, states: np.ndarray, literal: np.ndarray, literals: list[str]) -> np.ndarray:
+    if item.isupper():
+        return reduce(np.logical_or, [states == STATES.index(k) for k in item])
+    return reduce(np.logical_or, [literal == literals.index(w) + 1 for w in item.split("|")])
+
+
+def longest_spans(starts: np.ndarray, ends: np.ndarray, gap: np.ndarray, states: np.ndarray, literal: np.ndarray, literals: list[str], chunks: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the matches of the token patterns, and of the chunks, as terms.deoverlap leaves them.
+
+    Of the spans that start together only the longest counts. Spans that overlap one after the other are a chain, in which a span replaces the last one where it ends later: the first of those that
+    end last stays.
+    """
+    follows, n = gap == 0, len(starts)
+    longest = np.zeros(n, dtype=np.int64)
+    items = {item: _fits(item, states, literal, literals) for pattern in fixed.TOKEN_PATTERNS.values() for item in pattern}
+    for pattern in fixed.TOKEN_PATTERNS.values():
+        m = n - len(pattern) + 1
+        if m > 0:
+            fit = items[pattern[0]][:m].copy()
+            for k in range(1, len(pattern)):
+                fit &= items[pattern[k]][k : m + k] & follows[k : m + k]
+            longest[:m] = np.maximum(longest[:m], np.where(fit, ends[len(pattern) - 1 :], 0))
+    if chunks:
+        name = (states == STATES.index("A")) | (states == STATES.index("N"))
+        opens = name.copy()
+        opens[1:] &= ~(name[:-1] & follows[1:])
+        run, nouns = np.cumsum(opens) - 1, np.flatnonzero(states == STATES.index("N"))
+        last = nouns[np.flatnonzero(np.diff(run[nouns], append=-1))]
+        first = np.flatnonzero(opens)[run[last]]
+        longest[first] = np.maximum(longest[first], ends[last])
+    found = np.flatnonzero(longest)
+    if not len(found):
+        return found, found
+    a, b = starts[found], longest[found]
+    top = np.maximum.accumulate(b)
+    heads = np.flatnonzero(np.concatenate([[True], a[1:] >= top[:-1]]))
+    chain = np.cumsum(np.bincount(heads, minlength=len(a))) - 1
+    ending = np.flatnonzero(b == np.maximum.reduceat(b, heads)[chain])
+    kept = ending[np.flatnonzero(np.diff(chain[ending], prepend=-1))]
+    return a[kept], b[kept]
+
+
+def _coded(model: Model, literals: list[str]) -> Callable[[list[str]], np.ndarray]:
+    """A function from words to their symbols and literals (0: none), one number for both, which keeps those of words that it met."""
+    known: dict[str, int] = {}
+    width = len(literals) + 1
+    number = {w: i + 1 for i, w in enumerate(literals)}
+
+    def code(words: list[str]) -> np.ndarray:
+        if len(known) > KNOWN:
+            known.clear()
+        for w in set(words) - known.keys():
+            known[w] = model.symbol(w) * width + number.get(w.lower(), 0)
+        return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+
+    return code
+
+
+def spans(texts: DataFrame, text: str, model: Model, keep: list[str], out: str, chunks: bool) -> DataFrame:
+    """The columns to keep and an array of (start, end, text): the pattern matches of each text, with its chunks or without, as terms.deoverlap leaves them.
+
+    What annotate() and the Column expressions of terms find, without a row or an object for each token: the texts of a portion are one array of code points, and their sentences are tagged together.
+    """
+    ship(texts.sparkSession)
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    literals = sorted({w for pattern in fixed.TOKEN_PATTERNS.values() for item in pattern if not item.isupper() for w in item.split("|")})
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())])
+
+    def find(held: list[str], code) -> pa.Array:
+        joined = "\n".join(held)
+        begin = np.cumsum([0, *(len(t) + 1 for t in held)])
+        starts, ends, gap = _cut(joined)
+        coded = code([joined[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        symbols, literal = np.divmod(coded, len(literals) + 1)
+        heads = np.flatnonzero(gap == 2)
+        states = paths(shared.value, symbols, np.diff(np.append(heads, len(starts)))) if len(starts) else np.zeros(0, dtype=np.int8)
+        a, b = longest_spans(starts, ends, gap, states, literal, literals, chunks)
+        found = pa.array([joined[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)], pa.string())
+        offsets = np.searchsorted(a, begin)
+        base = np.repeat(begin[:-1], np.diff(offsets))
+        rows = pa.StructArray.from_arrays([pa.array((a - base).astype(np.int32)), pa.array((b - base).astype(np.int32)), found], fields=list(span))
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = _coded(shared.value, literals)
+        for batch in batches:
+            for a, b in portions(batch.column("__text")):
+                part = batch.slice(a, b - a)
+                made = find([t or "" for t in part.column("__text").to_pylist()], code)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), made], [*keep, out])
+
+    added = StructType([*(texts.schema[c] for c in keep), *StructType.fromDDL(f"`{out}` array<{SPAN}>")])
+    return texts.select(*keep, F.col(text).alias("__text")).mapInArrow(run, added)
+
+
 def portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """(first, last + 1) of consecutive texts: at most PORTION of them, and about PORTION_CHARS characters or one longer text."""
     first, chars = 0, 0

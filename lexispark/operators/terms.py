@@ -119,16 +119,22 @@ def matched(texts: DataFrame, text: str, tagger: Callable[[Column], Column] | ta
     return tagged.withColumn("__spans", pattern_spans("__tokens", lambda token: token["tag"], text))
 
 
+def kept_spans(texts: DataFrame, key: str, text: str, tagger: Callable[[Column], Column] | tagging.Model, chunks: str | bool = False) -> DataFrame:
+    """key and spans: the matches of the token patterns without overlaps, with chunks (an array column, or True for those of a fitted model) or without."""
+    if isinstance(tagger, tagging.Model) and isinstance(chunks, bool):
+        return tagging.spans(texts, text, tagger, [key], "spans", chunks)
+    found = matched(texts, text, tagger)
+    every = F.concat(F.col(chunks).cast(f"array<{SPAN}>"), "__spans") if chunks else F.col("__spans")
+    return found.select(key, deoverlap(every).alias("spans"))
+
+
 def extract(texts: DataFrame, key: str, text: str, tagger: Callable[[Column], Column] | tagging.Model, least: int = 3, chunks: str | None = None) -> DataFrame:
     """Terms of each text by patterns and noun chunks (of a fitted model, or an array column).
 
     Where fewer than `least` are found, keywords follow: those nearest to the whole text, then those by statistics that are new. Terms and such texts are written once, as both are read again.
     """
-    spans = matched(texts, text, tagger)
-    chunks = "__chunks" if chunks is None and "__chunks" in spans.columns else chunks
-    if chunks:
-        spans = spans.withColumn("__spans", F.concat(F.col(chunks).cast(f"array<{SPAN}>"), "__spans"))
-    primary = scratch_table(term_rows(spans.select(key, deoverlap(F.col("__spans")).alias("spans")), key), "terms")
+    spans = kept_spans(texts, key, text, tagger, isinstance(tagger, tagging.Model) if chunks is None else chunks)
+    primary = scratch_table(term_rows(spans, key), "terms")
     counts = primary.groupBy(key).agg(F.count("*").alias("__n"))
     poor = scratch_table(texts.select(key, text).join(counts, key, "left").filter(F.coalesce("__n", F.lit(0)) < least).drop("__n"), "poor-texts")
     near, telling = single.embedded(poor, key, text), single.statistical(poor, key, text)

@@ -132,3 +132,38 @@ def test_a_task_holds_a_portion_of_tagged_texts(spark):
     got = tagging.annotate(rows, "text", model, "t").collect()
     assert [r.id for r in got] == list(range(71))
     assert all([x.asDict() for x in r.t.tokens] == tagging.tag(model, r.text or "")[0] for r in got)
+
+
+ODD = ["  soft\u00a0wool\tbox\r\nwarm lining", "wool-- --soft box . warm", "(soft) wool!? box", "a\u2028soft wool", "\n\n", "Soft neck. NECK closure soft necK", "soft fit leg sleeve\u0130 soft sleeved", "wool \u03a3\u0391\u03a3 soft", "x\x1fsoft\x85wool"]
+
+
+@pytest.mark.parametrize("portion", [1, 3, 64])
+def test_spans_equal_those_of_single_tokens(spark, model, monkeypatch, portion):
+    """Spans of whole portions, without a row or object for each token, are what tagged tokens, expressions and the fold give."""
+    texts = spark.createDataFrame(list(enumerate([*TEXTS, *ODD, " ".join(t or "" for t in TEXTS) * 3])), "id long, text string").coalesce(1)
+    monkeypatch.setattr(tagging, "PORTION", portion)
+    monkeypatch.setattr(tagging, "KNOWN", 4)
+    single = terms.matched(texts, "text", model)
+    for chunks in (False, True):
+        every = terms.F.concat("__chunks", "__spans") if chunks else terms.F.col("__spans")
+        want = {r.id: r.s for r in single.select("id", terms.deoverlap(every).alias("s")).collect()}
+        got = {r.id: r.spans for r in terms.kept_spans(texts, "id", "text", model, chunks).collect()}
+        assert got == want and any(want.values())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_paths_of_many_sentences_equal_viterbi(seed):
+    rng = np.random.default_rng(seed)
+    m, lengths = random_model(rng, 5), rng.integers(1, 9, 40)
+    symbols = rng.integers(0, 5, lengths.sum())
+    at = np.cumsum(lengths) - lengths
+    assert tagging.paths(m, symbols, lengths).tolist() == [k for a, n in zip(at, lengths) for k in tagging.viterbi(m, symbols[None, a : a + n])[0]]
+
+
+def test_the_whole_table_is_read_without_its_texts_being_shuffled(spark, tmp_path):
+    """pattern_match_spans takes no tokens out of the workers: its plan holds one step in Python, and no fold of tokens in expressions."""
+    from lexispark import catalog
+
+    spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = catalog.pattern_match_spans(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "tag" not in plan and "Exchange" not in plan and plan.count("MapInArrow") == 1
