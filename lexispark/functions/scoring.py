@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,15 +49,29 @@ def review_status(score: Column, similarity: Column) -> Column:
 
 
 def classify_domain(term: Column) -> Column:
-    """The domain of a term: the last seed list that holds it, else the first seed that contains it or that it contains."""
+    """The domain of a term: the last seed list that holds it, else the first seed that contains it or that it contains.
+
+    The normalised term is bound to a lambda variable: an expression that a lambda refers to would be evaluated for each seed.
+    """
     from lexispark.functions.text import normalize_case
 
+    return F.get(F.transform(F.array(normalize_case(term)), domain_of), F.lit(0))
+
+
+def domain_of(t: Column) -> Column:
+    """classify_domain for a normalised term, a column or variable by itself.
+
+    The seeds are looked through one by one only where one can fit: a term that holds a seed holds one of the innermost seeds, and a seed that holds the term is part of all seeds put together.
+    """
     seeds = [(s.lower().strip(), d) for d, many in fixed.DOMAIN_SEEDS.items() for s in many]
-    t = normalize_case(term)
+    names = list(dict(seeds))
+    innermost = [s for s in names if not any(other in s for other in names if other != s)]
+    together = F.lit("\n".join(names))
     table = F.array(*[F.struct(F.lit(s).alias("seed"), F.lit(d).alias("domain")) for s, d in seeds])
+    exact = F.create_map(*[F.lit(x) for kv in dict(seeds).items() for x in kv])
     near = F.get(F.filter(table, lambda s: F.contains(s["seed"], t) | F.contains(t, s["seed"])), F.lit(0))["domain"]
-    exact = F.try_element_at(F.create_map(*[F.lit(x) for kv in dict(seeds).items() for x in kv]), t)
-    return F.coalesce(exact, near, F.lit("general"))
+    may = reduce(lambda out, s: out | F.contains(t, F.lit(s)), innermost, F.contains(together, t))
+    return F.coalesce(F.when(may, F.coalesce(F.try_element_at(exact, t), near)), F.lit("general"))
 
 
 def dot(a: Column, b: Column) -> Column:

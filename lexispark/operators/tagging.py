@@ -247,33 +247,36 @@ def _tag_all(model: Model, texts: list[str]) -> list[tuple[list[dict], list[dict
 
 # --- spans of many texts at once ---
 
-SPACE, CORE, STOP, SIGN = 1, 2, 4, 8
+SPACE, CORE, STOP, SIGN, WORDS = 1, 2, 4, 8, 16
+FOUND = "struct<start:int,end:int,text:string,words:int>"
 
 
 @cache
 def _kinds() -> np.ndarray:
-    """What each code point is: white space, part of a word (core), or another sign, and whether it ends a sentence (stop)."""
+    """What each code point is: white space, part of a word (core), or another sign; whether it ends a sentence (stop), and whether it parts words in functions.text too."""
     out = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
     for i in range(len(out)):
         c = chr(i)
         out[i] = SPACE if c.isspace() else CORE if _core(c) else SIGN
     for c in ".!?\n":
         out[ord(c)] |= STOP
+    out[(out & SPACE) > 0] |= WORDS
+    out[0x1C:0x20] &= ~np.uint8(WORDS)
     return out
 
 
-def _cut(joined: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """start, end and gap of all tokens, as tokens() gives them: the first token's gap is 2, and so is what a line's end parts."""
+def _cut(joined: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """start, end and gap of all tokens, as tokens() gives them (the first token's gap is 2, and so is what a line's end parts), and the number of each one's word."""
     kinds = _kinds()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
     core = np.flatnonzero(kinds & CORE)
     before = lambda flag: np.concatenate([[0], np.cumsum((kinds & flag) > 0, dtype=np.int32)])
-    spaces, stops, signs = (before(flag) for flag in (SPACE, STOP, SIGN))
+    spaces, stops, signs, words = (before(flag) for flag in (SPACE, STOP, SIGN, WORDS))
     new = np.flatnonzero(np.diff(spaces[core], prepend=-1))
     starts, ends = core[new], core[np.append(new[1:], len(core))[: len(new)] - 1] + 1
     gap = np.full(len(starts), 2, dtype=np.int8)
     a, b = ends[:-1], starts[1:]
     gap[1:] = np.where(stops[b] > stops[a], 2, signs[b] > signs[a])
-    return starts, ends, gap
+    return starts, ends, gap, np.append(0, np.cumsum(words[b] > words[a]))[: len(starts)]
 
 
 def paths(model: Model, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -360,28 +363,29 @@ def _coded(model: Model, literals: list[str]) -> Callable[[list[str]], np.ndarra
 
 
 def spans(texts: DataFrame, text: str, model: Model, keep: list[str], out: str, chunks: bool) -> DataFrame:
-    """The columns to keep and an array of (start, end, text): the pattern matches of each text, with its chunks or without, as terms.deoverlap leaves them.
+    """The columns to keep and an array of (start, end, text, words, how many they are): the pattern matches of each text, with its chunks or without, as terms.deoverlap leaves them.
 
     What annotate() and the Column expressions of terms find, without a row or an object for each token: the texts of a portion are one array of code points, and their sentences are tagged together.
     """
     ship(texts.sparkSession)
     shared = texts.sparkSession.sparkContext.broadcast(model)
     literals = sorted({w for pattern in fixed.TOKEN_PATTERNS.values() for item in pattern if not item.isupper() for w in item.split("|")})
-    span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())])
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string()), ("words", pa.int32())])
 
     def find(held: list[str], code) -> pa.Array:
         joined = "\n".join(held)
         begin = np.cumsum([0, *(len(t) + 1 for t in held)])
-        starts, ends, gap = _cut(joined)
+        starts, ends, gap, words = _cut(joined)
         coded = code([joined[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
         symbols, literal = np.divmod(coded, len(literals) + 1)
         heads = np.flatnonzero(gap == 2)
         states = paths(shared.value, symbols, np.diff(np.append(heads, len(starts)))) if len(starts) else np.zeros(0, dtype=np.int8)
         a, b = longest_spans(starts, ends, gap, states, literal, literals, chunks)
         found = pa.array([joined[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)], pa.string())
+        n = words[np.searchsorted(ends, b)] - words[np.searchsorted(starts, a)] + 1
         offsets = np.searchsorted(a, begin)
         base = np.repeat(begin[:-1], np.diff(offsets))
-        rows = pa.StructArray.from_arrays([pa.array((a - base).astype(np.int32)), pa.array((b - base).astype(np.int32)), found], fields=list(span))
+        rows = pa.StructArray.from_arrays([pa.array((a - base).astype(np.int32)), pa.array((b - base).astype(np.int32)), found, pa.array(n.astype(np.int32))], fields=list(span))
         return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,7 +396,7 @@ def spans(texts: DataFrame, text: str, model: Model, keep: list[str], out: str,
                 made = find([t or "" for t in part.column("__text").to_pylist()], code)
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), made], [*keep, out])
 
-    added = StructType([*(texts.schema[c] for c in keep), *StructType.fromDDL(f"`{out}` array<{SPAN}>")])
+    added = StructType([*(texts.schema[c] for c in keep), *StructType.fromDDL(f"`{out}` array<{FOUND}>")])
     return texts.select(*keep, F.col(text).alias("__text")).mapInArrow(run, added)
 
 

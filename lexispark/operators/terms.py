@@ -88,8 +88,12 @@ def pattern_spans(tokens: str, tagger: Callable[[Column], Column], text: str) ->
 def term_rows(spans: DataFrame, key: str, column: str = "spans") -> DataFrame:
     """Spans as terms: valid ones, the first of each lower-cased form per text, with their domain."""
     # posexplode_outer: for posexplode, the optimizer would derive a filter that evaluates the spans once more
-    rows = spans.select(key, F.posexplode_outer(column).alias("pos", "s")).filter("s IS NOT NULL").select(key, "pos", T.strip(F.col("s.text")).alias("term"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))
-    return _first_by_form(rows.filter(validity.is_extractable(F.col("term"))), key).withColumn("domain", scoring.classify_domain(F.col("term")))
+    rows = spans.select(key, F.posexplode_outer(column).alias("pos", "s")).filter("s IS NOT NULL")
+    if "words" in rows.schema["s"].dataType.names:  # a fitted model's: they have no spaces at their edges, and their words are counted
+        rows = rows.filter((F.length("s.text") >= 3) & F.col("s.words").between(1, 6)).select(key, "pos", F.col("s.text").alias("term"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))
+    else:
+        rows = rows.select(key, "pos", T.strip(F.col("s.text")).alias("term"), F.col("s.start").alias("start"), F.col("s.end").alias("end")).filter(validity.is_extractable(F.col("term")))
+    return _first_by_form(rows, key).withColumn("domain", scoring.domain_of(F.col("normalized_term")))
 
 
 def _first_by_form(rows: DataFrame, key: str) -> DataFrame:

@@ -97,3 +97,16 @@ def test_fixed_tables_have_their_sizes():
     assert sum(map(len, fixed.DOMAIN_SEEDS.values())) == 141
     assert len(fixed.EXPORT_EXCLUSIONS) == 41
     assert len(fixed.PHRASE_BLACKLIST) == 18
+
+
+def test_domains_read_a_term_once(spark):
+    """The term is normalised once, not for each seed, and domains are those of all seeds looked through one by one."""
+    seeds = [(s.lower(), d) for d, many in fixed.DOMAIN_SEEDS.items() for s in many]
+    odd = [None, "", " ", "o", "cotton\nhoodie", "hoodie\ncardigan", "ORGANIC cottons", "fit", "a bib x", "\u0130 wool", "zip clos", "knitwear", "x" * 50]
+    odd += [s[1:] for s, _ in seeds] + [f"my {s}s" for s, _ in seeds] + [s.upper() for s, _ in seeds] + [s[:-2] + "zz" for s, _ in seeds]
+    rows = spark.createDataFrame([(t,) for t in odd], "term string").select("term", scoring.classify_domain(F.col("term")).alias("domain"))
+    for r in rows.collect():
+        t = (r.term or "").lower().strip()
+        near = next((d for s, d in seeds if s in t or t in s), "general")
+        assert r.domain == ("general" if r.term is None else dict(seeds).get(t, near)), r
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
