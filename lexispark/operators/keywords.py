@@ -7,7 +7,11 @@ to the first term in code-point order; other columns are not looked at, whatever
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lexispark import fixed
 from lexispark.functions import text as T
+from lexispark.operators.tagging import portions
 from lexispark.session import ship
 
 SENTENCE = r"(?<=[.!?])\s+|\n+"
@@ -26,6 +31,7 @@ DIMENSIONS = 64
 BLOCK = 4_096
 PART_CHARS = 1 << 21  # of texts whose words or n-grams become rows of one task
 WORDS = 4_096  # whose n-grams are hashed together
+_STOP = frozenset(fixed.STOPWORDS)
 
 
 # --- statistics ---
@@ -37,12 +43,22 @@ def statistical(texts: DataFrame, key: str, text: str, longest: int = 4, top: in
     different neighbours it has on either side. An n-gram's score is the product of its words' weights over its frequency times one plus their sum; a stopword inside counts by
     the probability of the pairs that it forms. n-grams stay within a run of words without signs between them; none starts or ends with a stopword, or holds a word with digits.
 
-    Texts are shuffled once, by key; words, weights, n-grams and ranks keep that partitioning. The choice reads the ranked n-grams as a stream and holds `top` of them.
+    Texts are shuffled once, by key. Words, weights and n-grams of a portion of texts are arrays of a task, as rows they would be some hundred times the texts; `word_weights` gives the same
+    weights as rows. The choice goes through a text's n-grams by score and holds `top` of them.
     """
     ship(texts.sparkSession)
-    words = _words(texts, key, text)
-    ranked = _ranked(_candidates(words, _weights(words), longest))
-    chosen = ranked.mapInArrow(lambda batches: _unlike(batches, top, alike), ranked.schema)
+    base = dealt(texts.select(F.col(key).alias("k"), F.col(text).alias("x")), "k", "x")
+    kind = base.schema["k"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in portions(batch.column(1)):
+                part = batch.slice(a, b - a)
+                row, term, rank, score = _chosen([t or "" for t in part.column(1).to_pylist()], longest, top, alike)
+                columns = [part.column(0).take(pa.array(row, pa.int64())), pa.array(term, pa.string()), pa.array(rank, pa.int32()), pa.array(score, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, ["k", "term", "rank", "score"])
+
+    chosen = base.mapInArrow(run, f"k {kind}, term string, rank int, score double")
     return chosen.select(F.col("k").alias(key), "term", "rank", "score")
 
 
@@ -109,86 +125,200 @@ def _weights(words: DataFrame) -> DataFrame:
     return by.select("k", "t", "stop", "tf", F.when(F.col("stop"), 0.0).otherwise(weight).alias("weight"))
 
 
-def _candidates(words: DataFrame, weights: DataFrame, longest: int) -> DataFrame:
-    """k, term, score of each different n-gram.
-
-    Weights reach the words as rows of one more kind in a window by word: as a join, both sides would be shuffled anew.
-    """
-    none = lambda kind: F.lit(None).cast(kind)
-    rows = words.select("k", "s", "at", "t", "l", "stop", none("double").alias("tf"), none("double").alias("weight")).unionByName(
-        weights.select("k", none("int").alias("s"), none("int").alias("at"), "t", none("string").alias("l"), "stop", "tf", "weight")
-    )
-    by_pair, by_word = Window.partitionBy("k", "t", "l"), Window.partitionBy("k", "t")
-    rows = rows.withColumn("pairs", F.count("s").over(by_pair).cast("double")).withColumns({c: F.max(c).over(by_word) for c in ("tf", "weight")}).filter("s IS NOT NULL")
-    in_sentence = Window.partitionBy("k", "s").orderBy("at")
-    here = F.struct("t", "tf", "weight", "pairs", "stop", F.col("l").isNull().alias("opens"))
-    rows = rows.withColumn("w0", here).withColumns({f"w{i}": F.lag("w0", i).over(in_sentence) for i in range(1, longest)})
-
-    def of_size(size: int) -> Column:
-        run = [F.col(f"w{i}") for i in reversed(range(size))]
-        unbroken = ~run[0]["stop"] & ~run[-1]["stop"]
-        for w in run[1:]:
-            unbroken &= ~w["opens"]
-        product, total = F.lit(1.0), F.lit(1.0)
-        for i, w in enumerate(run):
-            if 0 < i < size - 1:
-                after = run[i + 1]
-                pairs = w["pairs"] / run[i - 1]["tf"] * (after["pairs"] / w["tf"])
-                product = product * F.when(w["stop"], 2 - pairs).otherwise(w["weight"])
-                total = total + F.when(w["stop"], pairs - 1).otherwise(w["weight"])
-            else:
-                product, total = product * w["weight"], total + w["weight"]
+# --- statistics of a portion of texts, as arrays ---
+
+LETTER, UPPER, NUMBER, SPACE, BLANK, STOP = 1, 2, 4, 8, 16, 32
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """What each code point is: letter, upper-case letter, number, white space (of words), white space of a sentence's end, sign of a sentence's end."""
+    out = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
+    for i in range(len(out)):
+        kind = unicodedata.category(chr(i))
+        out[i] = LETTER | UPPER * (kind == "Lu") if kind[0] == "L" else NUMBER * (kind[0] == "N")
+    for i in (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000):
+        out[i] |= SPACE | BLANK * (i <= 32)
+    for c in ".!?":
+        out[ord(c)] |= STOP
+    return out
+
+
+@dataclass
+class _Words:
+    """The words with a letter and without digits, as _words() gives them: the number of their text and sentence, of their lower-case form (in forms), and what the statistics ask of them."""
+
+    of: np.ndarray
+    sentence: np.ndarray
+    sentences: np.ndarray
+    form: np.ndarray
+    forms: list[str]
+    linked: np.ndarray  # to the word before, without signs between them
+    upper: np.ndarray
+    acronym: np.ndarray
+
+
+def _words_of(texts: list[str]) -> _Words:
+    joined = "\n".join(texts)
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    kinds = _kinds()[points]
+    there = lambda flag: (kinds & flag) > 0
+    ends = points == 10
+    ends[1:] |= there(BLANK)[1:] & there(STOP)[:-1]
+    part = np.cumsum(ends, dtype=np.int32)
+    core, solid = np.flatnonzero(there(LETTER | NUMBER)), ~there(SPACE)
+    # sentences are parts with a letter or digit, numbered within their text
+    parts = np.unique(part[core])
+    text_of_part = np.searchsorted(part[np.cumsum([len(t) + 1 for t in texts])[:-1] - 1], parts, "right")
+    sentences = np.bincount(text_of_part, minlength=len(texts))
+    number = np.arange(len(parts)) - (np.cumsum(sentences) - sentences)[text_of_part]
+    edges = np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8))
+    start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    before = lambda flag: np.concatenate([[0], np.cumsum(there(flag), dtype=np.int32)])
+    letters, numbers, uppers = before(LETTER), before(NUMBER), before(UPPER)
+    plain = (letters[end] > letters[start]) & (numbers[end] == numbers[start])
+    opens, closes = there(LETTER | NUMBER)[start], there(LETTER | NUMBER)[end - 1]
+    own = part[start]
+    follows = np.append(False, own[1:] == own[:-1])[: len(start)]
+    linked = follows & plain & opens
+    linked[1:] &= plain[:-1] & closes[:-1]
+    start, end, own, follows, linked = (c[plain] for c in (start, end, own, follows, linked))
+    a, b = core[np.searchsorted(core, start)], core[np.searchsorted(core, end) - 1] + 1
+    high = uppers[b] - uppers[a]
+    acronym = (b - a > 1) & (high == b - a)
+    upper = ~acronym & follows & there(UPPER)[a]
+    code: dict[str, int] = {}
+    form = np.fromiter((code.setdefault(joined[x:y].lower(), len(code)) for x, y in zip(a.tolist(), b.tolist(), strict=True)), np.int64, len(a))
+    at = np.searchsorted(parts, own)
+    return _Words(text_of_part[at], number[at], sentences, form, list(code), linked, upper, acronym)
+
+
+def _scored(w: _Words, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """text, last word, size and score of each different n-gram; the weights are those of _weights()."""
+    if not len(w.of):
+        return (np.zeros(0, dtype=np.int64),) * 4
+    size, stops = np.array([len(f) for f in w.forms]), np.array([f in _STOP or len(f) < SHORT for f in w.forms])
+    kind, u = np.unique(w.of * len(w.forms) + w.form, return_inverse=True)  # a text's different words
+    of, form = np.divmod(kind, len(w.forms))
+    many, stop, tf = len(kind), stops[form], np.bincount(u).astype(np.float64)
+    sum_of = lambda at, weights=None: np.bincount(at, weights, many)
+    j = np.flatnonzero(w.linked)
+    pair, pairs, often = np.unique(u[j - 1] * many + u[j], return_inverse=True, return_counts=True)
+    left, right = np.divmod(pair, many)
+    share = lambda ends, counts: sum_of(ends) / np.maximum(sum_of(ends, counts), 1)
+    spot = np.unique(u * (len(w.of) + 1) + w.sentence)
+    held, place = np.divmod(spot, len(w.of) + 1)
+    spread = sum_of(held)
+    first = np.cumsum(spread) - spread
+    median = (place[first + (spread - 1) // 2] + place[first + spread // 2]) / 2
+    texts = len(w.sentences)
+    content = lambda c: np.bincount(of, np.where(stop, 0.0, c), texts)
+    m = np.maximum(content(1.0), 1.0)
+    mean = content(tf) / m
+    usual = np.maximum(mean + np.sqrt(np.maximum(content(tf * tf) / m - mean * mean, 0.0)), 1.0)[of]
+    most = np.zeros(texts)
+    np.maximum.at(most, of, tf)
+    case = np.maximum(sum_of(u, w.upper), sum_of(u, w.acronym))
+    rel = 1 + (share(right, often) + share(left, often)) * tf / most[of]
+    weight = rel * np.log(np.log(3 + median)) / (case / (1 + np.log(tf)) + tf / usual / rel + spread / w.sentences[of] / rel)
+    weight[stop] = 0.0
+    # each word's pair with the one before, and how often that stands in the text
+    by, count = np.zeros(len(u), dtype=np.int64), np.zeros(len(u))
+    by[j], count[j] = pairs, often[pairs]
+    out, silent, chars = [], stop[u], size[w.form]
+    unbroken = np.ones(len(u), dtype=bool)
+    for n in range(1, longest + 1):
+        if n > 1:
+            unbroken = np.append(False, unbroken[:-1])[: len(u)] & w.linked
+            chars = np.append(0, chars[:-1])[: len(u)] + 1 + size[w.form]
+        last = np.flatnonzero(unbroken & ~silent & (chars <= LONGEST_CHARS))
+        last = last[~silent[last - n + 1]]
+        if not len(last):
+            continue
+        name = u[last] if n == 1 else by[last - n + 2]
+        for back in range(n - 3, -1, -1):
+            name = np.unique(name, return_inverse=True)[1] * (len(pair) + 1) + by[last - back]
+        _, at, times = np.unique(name, return_index=True, return_counts=True)
+        last = last[at]
+        product = total = np.ones(len(last))
+        for i in range(n):
+            x = last - n + 1 + i
+            value, added = weight[u[x]], weight[u[x]]
+            if 0 < i < n - 1:
+                p = count[x] / tf[u[x - 1]] * (count[x + 1] / tf[u[x]])
+                value, added = np.where(silent[x], 2 - p, value), np.where(silent[x], p - 1, added)
+            product, total = product * value, total + added
         # stopwords of unlikely pairs may take the sum to zero or below: such an n-gram goes last
-        term = F.concat_ws(" ", *[w["t"] for w in run])
-        return F.when(unbroken & (F.length(term) <= LONGEST_CHARS), F.struct(term.alias("term"), (product / F.greatest(total, F.lit(1e-9))).alias("score")))
-
-    grams = rows.select("k", F.explode_outer(F.array_compact(F.array(*[of_size(n) for n in range(1, longest + 1)]))).alias("g")).filter("g IS NOT NULL").select("k", "g.*")
-    return grams.groupBy("k", "term").agg(F.round(F.min("score") / F.count("*"), 12).alias("score"))
-
-
-def _ranked(candidates: DataFrame) -> DataFrame:
-    return candidates.select("k", "term", F.row_number().over(Window.partitionBy("k").orderBy("score", "term")).alias("rank"), "score")
-
+        score = product / np.maximum(total, 1e-9) / times
+        # large ones have no twelfth place
+        out.append((w.of[last], last, np.full(len(last), n), np.where(score < 1e3, np.round(score, 12), score)))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, dtype=np.int64),) * 4
+
+
+def _chosen(texts: list[str], longest: int, top: int, alike: float) -> tuple[list[int], list[str], list[int], list[float]]:
+    """text, term, rank and score: the best terms of each text in the order of score and term, none like a better one."""
+    w = _words_of(texts)
+    rows: tuple[list[int], list[str], list[int], list[float]] = ([], [], [], [])
+    of, last, size, score = _scored(w, longest)
+    if not len(of):
+        return rows
+    order = np.lexsort((score, of))
+    of, last, size, score = (c[order] for c in (of, last, size, score))
+    new = np.append(True, (of[1:] != of[:-1]) | (score[1:] != score[:-1]))[: len(of)]
+    heads = np.flatnonzero(new)
+    kept, before = Unlike(alike), -1
+    # the n-grams of one text and score at a time
+    for a, b, text in zip(heads.tolist(), [*heads[1:].tolist(), len(of)], of[heads].tolist(), strict=True):
+        if text != before:
+            kept, before = Unlike(alike), text
+        if len(kept.places) >= top:
+            continue
+        for term in sorted(" ".join([w.forms[f] for f in w.form[x - n + 1 : x + 1]]) for x, n in zip(last[a:b].tolist(), size[a:b].tolist(), strict=True)):
+            if len(kept.places) < top and not kept.holds_like(term):
+                kept.add(term)
+                for column, value in zip(rows, (text, term, len(kept.places), float(score[a])), strict=True):
+                    column.append(value)
+    return rows
+
+
+class Unlike:
+    """Terms of a text, and whether another is more alike to one of them than `alike`, by edit distance.
+
+    The tables of distances to all terms are worked off together: a column of them is two whole numbers, bit by bit whether the distance rises or falls there, and each term has its own
+    bits with an empty one behind.
+    """
 
-def distance(a: str, b: str, most: int) -> int:
-    """Edit distance, or some number above `most` where it is greater."""
-    if abs(len(a) - len(b)) > most or max(len(set(a) - set(b)), len(set(b) - set(a))) > most:
-        return most + 1
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        if min(row) > most:
-            return most + 1
-    return row[-1]
+    def __init__(self, alike: float):
+        self.alike, self.places, self.width, self.lowest, self.every = alike, [], 0, 0, 0
+        self.at: dict[str, int] = {}
+
+    def add(self, term: str) -> None:
+        for i, c in enumerate(term, self.width):
+            self.at[c] = self.at.get(c, 0) | 1 << i
+        bits = (1 << len(term)) - 1
+        self.places.append((self.width, bits, len(term)))
+        self.lowest |= 1 << self.width
+        self.every |= bits << self.width
+        self.width += len(term) + 1
+
+    def holds_like(self, term: str) -> bool:
+        at, every, lowest, up, down = self.at, self.every, self.lowest, self.every, 0
+        for c in term:
+            same = at.get(c, 0) | down
+            cross = (((same & up) + up) ^ up | same) & every
+            rise, fall = (down | every & ~(cross | up)) << 1 | lowest, (up & cross) << 1
+            up, down = (fall | ~(cross | rise)) & every, rise & cross & every
+        for first, bits, n in self.places:
+            far = len(term) + (up >> first & bits).bit_count() - (down >> first & bits).bit_count()
+            if 1 - far / max(n, len(term)) > self.alike:
+                return True
+        return False
 
 
 def look_alike(a: str, b: str, alike: float) -> bool:
-    size = max(len(a), len(b))
-    most = int((1 - alike) * size) + 1
-    return 1 - distance(a, b, most) / size > alike
-
-
-def _unlike(batches: Iterator[pa.RecordBatch], top: int, alike: float) -> Iterator[pa.RecordBatch]:
-    """The best terms of each text, none like a better one. Rows come text by text in the order of rank; a rank of 1 starts a text."""
-    kept: list[str] = []
-    for batch in batches:
-        rank, rows, ranks = batch.column("rank").to_numpy(), [], []
-        starts = np.nonzero(rank == 1)[0].tolist()
-        for a, b in zip([0, *starts], [*starts, len(rank)], strict=True):
-            if a < b and rank[a] == 1:
-                kept = []
-            for i in range(a, b):
-                if len(kept) >= top:
-                    break
-                term = batch.column("term")[i].as_py()
-                if not any(look_alike(term, k, alike) for k in kept):
-                    kept.append(term)
-                    rows.append(i)
-                    ranks.append(len(kept))
-        out = batch.take(pa.array(rows, pa.int64()))
-        yield out.set_column(out.schema.get_field_index("rank"), "rank", pa.array(ranks, pa.int32()))
+    held = Unlike(alike)
+    held.add(a)
+    return held.holds_like(b)
 
 
 # --- nearness to the whole text ---
@@ -204,9 +334,6 @@ def word_vector(word: str) -> np.ndarray:
     return out / norm if norm else out
 
 
-_STOP = frozenset(fixed.STOPWORDS)
-
-
 def content_words(text: str) -> list[str]:
     """Lower-cased words of two letters or digits and more, without stopwords: n-grams are made of what is left."""
     return [w for w in re.findall(r"\b\w\w+\b", text.lower()) if w not in _STOP]

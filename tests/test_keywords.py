@@ -178,3 +178,30 @@ def test_word_vectors_are_hashed_together(monkeypatch):
     assert np.array_equal(keywords.word_vectors(words), want)
     monkeypatch.setattr(keywords, "WORDS", 7)
     assert np.array_equal(keywords.word_vectors(words), want) and len(keywords.nearest(" ".join(words), 4, 10)) == 10
+
+
+def test_no_row_for_each_word(texts):
+    """Words and n-grams of a portion of texts are arrays of a task: nothing is sorted, ranked or grouped as rows, which took some hundred times the texts."""
+    plan = keywords.statistical(texts, "id", "text")._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert not [w for w in ("Window", "Generate", "Aggregate", "Sort") if w in plan] and plan.count("Exchange") == 1, plan
+
+
+def test_a_portion_gives_what_its_texts_give(texts):
+    held = [r.text or "" for r in texts.orderBy("id").collect()]
+    held += ["A. B wool. Xy  cotton\u00a0wool", "a.b wool \n\n Big Wool-Box", "\u0391\u03a3 \u03a3\u0391\u03a3. soft \u03a3\u0391\u03a3", "A", "the wool of the soft. Wool of the soft box, wool of THE soft", "..! Wool? soft\n? wool"]
+    row, term, _, score = keywords._chosen(held, 4, 15, 0.7)
+    for i, t in enumerate(held):
+        found = [(x, s) for r, x, s in zip(row, term, score, strict=True) if r == i]
+        alone = keywords._chosen([t], 4, 15, 0.7)
+        assert found == list(zip(alone[1], alone[3], strict=True))
+        same(found, plain_statistical(t), 1e-9)
+
+
+def test_terms_are_held_against_all_kept_ones():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        term, *others = ("".join(rng.choice(list("ab\u6f22"), rng.integers(1, 14))) for _ in range(5))
+        held = keywords.Unlike(0.7)
+        for other in others:
+            held.add(other)
+        assert held.holds_like(term) == any(1 - levenshtein(term, o) / max(len(term), len(o)) > 0.7 for o in others)
